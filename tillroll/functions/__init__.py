@@ -1,6 +1,7 @@
 from tillroll.functions.expr import (  # noqa: F401
     clamp_non_negative,
     concat_strict,
+    exact_sum,
     file_extension,
     file_base_name,
     file_identity,

@@ -23,9 +23,8 @@ def latest_per_key(df: DataFrame, key: str | Sequence[str], order: Sequence[str]
                    columns: Sequence[str] | None = None) -> DataFrame:
     """Keep one row per ``key``: the greatest under ``order``, ties broken by
     the remaining columns in declared order (a total, deterministic order;
-    NULL sorts lowest).  Rows with a NULL key are kept as one group, like a
-    MERGE source whose NULL keys never match and are each inserted — callers
-    that need that exact behaviour filter NULL keys first.
+    NULL sorts lowest).  NULL keys form one group here; see
+    ``silver.upsert_orders`` for MERGE semantics of NULL keys.
     """
     keys = [key] if isinstance(key, str) else list(key)
     cols = list(columns or df.columns)

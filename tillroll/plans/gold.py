@@ -20,6 +20,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tillroll.functions.expr import EXACT_SUM_TYPE, exact_sum
 from tillroll.functions.expr import round_half_away as r2
 
 R = F.col
@@ -30,7 +31,7 @@ def fact_decisions(pos: DataFrame) -> DataFrame:
     """G1 store × category × day fact."""
     return (pos.groupBy("store_id", "store_name", "store_city", "store_region", "category",
                         F.to_date("transaction_date").alias("report_date"))
-               .agg(F.sum("total_orderline").alias("total_revenue"),
+               .agg(exact_sum("total_orderline").alias("total_revenue"),
                     F.sum("quantity").alias("total_number_of_unit"),
                     F.count_distinct("transaction_id").alias("total_transaction"),
                     F.count_distinct("customer_id").alias("unique_customers"),
@@ -43,7 +44,7 @@ def kpi_summary(pos: DataFrame) -> DataFrame:
     """G2 one-row KPI summary (a global aggregate: one row even when empty)."""
     return pos.agg(F.count_distinct("transaction_id").alias("total_transactions"),
                    F.count_distinct("customer_id").alias("total_unique_customers"),
-                   F.sum("total_orderline").alias("total_revenue"),
+                   exact_sum("total_orderline").alias("total_revenue"),
                    F.avg("discount_pct").alias("avg_discount"),
                    F.sum("quantity").alias("total_units"))
 
@@ -57,7 +58,7 @@ def store_revenue(fact: DataFrame, days: int = 30) -> DataFrame:
     latest = fact.select(F.max("report_date")).scalar()
     return (fact.filter(R("report_date") >= F.date_sub(latest, days))
                 .groupBy("store_id", "store_name", "store_city", "store_region")
-                .agg(F.sum("total_revenue").alias("rolling_revenue"),
+                .agg(exact_sum("total_revenue").alias("rolling_revenue"),
                      F.sum("total_number_of_unit").alias("rolling_units"),
                      F.sum("total_transaction").alias("rolling_transactions"),
                      F.sum("unique_customers").alias("rolling_customers"),
@@ -70,7 +71,7 @@ def category_by_region(fact: DataFrame) -> DataFrame:
     """G4 re-aggregation of the fact (its sums are additive).
     ``total_unique_stores`` is ``COUNT(store_id)``: fact rows, as published."""
     return (fact.groupBy("category", "store_region")
-                .agg(F.sum("total_revenue").alias("total_revenue"),
+                .agg(exact_sum("total_revenue").alias("total_revenue"),
                      F.sum("total_number_of_unit").alias("total_units"),
                      F.count("store_id").alias("total_unique_stores")))
 
@@ -79,7 +80,7 @@ def category_by_region(fact: DataFrame) -> DataFrame:
 def daily_revenue(pos: DataFrame) -> DataFrame:
     """G5 per-day revenue, newest first (NULL date sorts as highest)."""
     return (pos.groupBy(F.to_date("transaction_date").alias("transaction_date"))
-               .agg(F.sum("total_orderline").alias("daily_revenue"),
+               .agg(exact_sum("total_orderline").alias("daily_revenue"),
                     F.count("transaction_id").alias("number_of_transactions"),
                     F.count_distinct("transaction_id").alias("unique_transactions"),
                     F.count_distinct("customer_id").alias("unique_customers"),
@@ -91,7 +92,7 @@ def daily_revenue_by_payment(pos: DataFrame) -> DataFrame:
     """G6 per day × payment method, with the largest line."""
     return (pos.groupBy(F.to_date("transaction_date").alias("transaction_date"),
                         "payment_method")
-               .agg(F.sum("total_orderline").alias("daily_revenue"),
+               .agg(exact_sum("total_orderline").alias("daily_revenue"),
                     F.count("transaction_id").alias("number_of_transactions"),
                     F.count_distinct("transaction_id").alias("unique_transactions"),
                     F.count_distinct("customer_id").alias("unique_customers"),
@@ -141,7 +142,7 @@ def sales_kg_sensor(pos: DataFrame, iot: DataFrame) -> DataFrame:
     """
     t = (pos.groupBy("store_id", "store_name",
                      F.to_date("transaction_date").alias("sale_date"))
-            .agg(F.sum("total_orderline").alias("_rev"),
+            .agg(exact_sum("total_orderline").alias("_rev"),
                  F.count_distinct("transaction_id").alias("unique_transactions")))
     s = (iot.filter(_kg_unit(R("sensor_unit")))
             .groupBy("store_id", F.to_date("event_ts").alias("sale_date"))
@@ -164,7 +165,7 @@ def sales_kg_sensor_fanout(pos: DataFrame, iot: DataFrame) -> DataFrame:
         R("store_id").alias("_sid"), F.to_date("event_ts").alias("_d"), "sensor_value")
     j = t.join(s, (R("store_id") == R("_sid")) & (R("sale_date") == R("_d")))
     return (j.groupBy("store_id", "store_name", "sale_date")
-             .agg(F.sum("total_orderline").alias("total_revenue"),
+             .agg(exact_sum("total_orderline").alias("total_revenue"),
                   F.count_distinct("transaction_id").alias("unique_transactions"),
                   F.avg("sensor_value").alias("avg_self_value")))
 
@@ -174,7 +175,7 @@ def gross_margin(pos: DataFrame, erp: DataFrame) -> DataFrame:
     """G10 store × category margin.  ``erp.total_cost`` is the rounded
     *average* unit cost (as published); cost = units sold × that average."""
     p = (pos.groupBy("store_id", "store_name", "store_city", "category")
-            .agg(r2(F.sum("total_orderline")).alias("total_revenue"),
+            .agg(r2(exact_sum("total_orderline")).alias("total_revenue"),
                  F.sum("quantity").alias("total_units_sold")))
     e = (erp.groupBy("store_id", "category")
             .agg(r2(F.avg("unit_cost")).alias("_avg_cost"),
@@ -261,7 +262,7 @@ def quarter_change(pos: DataFrame) -> DataFrame:
             .groupBy(F.year(d).alias("year"), F.quarter(d).alias("quarter"))
             .agg(F.avg("total_orderline").alias("avg_cart"),
                  F.sum("quantity").alias("total_units"),
-                 F.sum("total_orderline").alias("total_revenue"),
+                 exact_sum("total_orderline").alias("total_revenue"),
                  F.count_distinct("transaction_id").alias("total_transactions"),
                  F.count_distinct("customer_id").alias("total_customers")))
     w = Window.orderBy("year", "quarter")
@@ -275,7 +276,7 @@ def quarter_change(pos: DataFrame) -> DataFrame:
 # ------------------------------------------------------------------ G15
 def revenue_by_city(pos: DataFrame) -> DataFrame:
     return (pos.groupBy("store_city")
-               .agg(F.sum("total_orderline").alias("total_revenue"),
+               .agg(exact_sum("total_orderline").alias("total_revenue"),
                     F.count_distinct("transaction_id").alias("total_transactions"),
                     F.count_distinct("customer_id").alias("unique_customers")))
 
@@ -287,8 +288,9 @@ def units_by_category(pos: DataFrame) -> DataFrame:
 def payment_share(pos: DataFrame) -> DataFrame:
     """Revenue share per payment method.  The total is a window over the
     aggregated methods (a handful of rows), so the sales are scanned once."""
-    m = pos.groupBy("payment_method").agg(F.sum("total_orderline").alias("total_revenue"))
-    total = F.sum("total_revenue").over(Window.partitionBy())
+    m = pos.groupBy("payment_method").agg(exact_sum("total_orderline").alias("total_revenue"))
+    total = (F.sum(R("total_revenue").cast(EXACT_SUM_TYPE)).over(Window.partitionBy())
+             .cast("double"))
     return m.select("payment_method", "total_revenue",
                     (R("total_revenue") / F.nullif(total, F.lit(0)) * 100).alias("revenue_share_pct"))
 
@@ -296,7 +298,7 @@ def payment_share(pos: DataFrame) -> DataFrame:
 def monthly_revenue(pos: DataFrame) -> DataFrame:
     d = F.to_date("transaction_date")
     return (pos.groupBy(F.trunc(d, "month").alias("month"))
-               .agg(F.sum("total_orderline").alias("total_revenue"),
+               .agg(exact_sum("total_orderline").alias("total_revenue"),
                     F.count_distinct("transaction_id").alias("total_transactions"),
                     F.count_distinct("customer_id").alias("unique_customers")))
 

@@ -26,6 +26,7 @@ from pyspark.sql import functions as F
 from tillroll import schemas
 from tillroll.functions.expr import to_long_rounded
 from tillroll.plans import silver
+from tillroll.sources.tables import read_columns
 
 # Fixed values of the model.
 STORE_COUNT = 25                     # stores = nations
@@ -42,12 +43,18 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def fact_table(spark: SparkSession, sf_dir: str, name: str, columns: list[str],
+               key: str) -> DataFrame:
+    """A fact table's needed columns, spread on ``key`` if under-split."""
+    return read_columns(spark, f"{sf_dir}/{name}.parquet", columns, spread_key=key)
+
+
 # ---------------------------------------------------------------- POS feed
 def pos_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     """POS lines in the 19-field CSV layout (date and time as text)."""
-    li = table(spark, sf_dir, "lineitem").select(
+    li = fact_table(spark, sf_dir, "lineitem", [
         "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity",
-        "l_extendedprice", "l_discount", "l_tax", "l_returnflag")
+        "l_extendedprice", "l_discount", "l_tax", "l_returnflag"], "l_orderkey")
     o = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate",
                                               "o_orderpriority")
     c = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey", "c_acctbal")
@@ -120,9 +127,9 @@ def _unit(idx):
 
 def iot_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One nested event struct per ``events`` row (plus grouping columns)."""
-    ev = table(spark, sf_dir, "events").select(
-        "event_id", "ts", "user_id", "event_type", "value",
-        F.get_json_object("props", "$.k").cast("int").alias("k"))
+    ev = fact_table(spark, sf_dir, "events", [
+        "event_id", "ts", "user_id", "event_type", "value", "props"], "event_id"
+    ).withColumn("k", F.get_json_object("props", "$.k").cast("int")).drop("props")
     n = table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
     ev = ev.join(n, (F.col("user_id") % STORE_COUNT) == F.col("n_nationkey"))
     k = F.col("k")
@@ -181,9 +188,9 @@ def iot_silver(spark: SparkSession, sf_dir: str) -> DataFrame:
 def erp_bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``iot_raw_bronze`` (the ERP order log): one row per order version.
     ``loaded_time`` = ship day (UTC midnight), so later days overwrite."""
-    li = table(spark, sf_dir, "lineitem").select(
+    li = fact_table(spark, sf_dir, "lineitem", [
         "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity",
-        "l_extendedprice", "l_returnflag", "l_linestatus", "l_shipdate")
+        "l_extendedprice", "l_returnflag", "l_linestatus", "l_shipdate"], "l_orderkey")
     s = table(spark, sf_dir, "supplier").select("s_suppkey", "s_name", "s_nationkey")
     p = table(spark, sf_dir, "part").select("p_partkey", "p_type", "p_retailprice")
     n = table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
