@@ -254,3 +254,42 @@ def q_row_counts(spark, d):
         "fact_decisions": gold.fact_decisions(pos),
         "fact_iot_store_daily": gold.iot_store_daily(iot),
     })
+
+
+# ---------------------------------------------------------------- landing
+@register("file_classify")
+def q_file_classify(spark, d):
+    """S1–S3 extension gate per feed and dated landing key."""
+    classified, _, _ = tm.landing_run(spark, d)
+    return classified
+
+
+@register("file_skip_existing")
+def q_file_skip_existing(spark, d):
+    """S4 files whose landing key already exists in the store."""
+    _, marked, _ = tm.landing_run(spark, d)
+    return marked.select("feed", "file_ref", "file_name", "accepted", "landing_key",
+                         "already_exists")
+
+
+@register("landing_ledger")
+def q_landing_ledger(spark, d):
+    """S5 status events appended by the run."""
+    _, _, ledger = tm.landing_run(spark, d)
+    return ledger
+
+
+@register("file_current_status")
+def q_file_current_status(spark, d):
+    """S6 latest status per file."""
+    from tillroll.sources import landing
+    _, _, ledger = tm.landing_run(spark, d)
+    return landing.current_status(ledger)
+
+
+@register("latest_events_topk")
+def q_latest_events(spark, d):
+    """L3 newest ten ledger events."""
+    from tillroll.sources import landing
+    _, _, ledger = tm.landing_run(spark, d)
+    return landing.latest_events(ledger, 10)

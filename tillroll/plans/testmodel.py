@@ -246,3 +246,71 @@ def order_change_log(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("order_date").cast("timestamp_ntz").alias("commit_ts"),
         F.when(F.col("order_status") == "CANCELLED", "DELETE").otherwise("INSERT").alias("action"),
         "source_file", *payload)
+
+
+# ---------------------------------------------------------------- landing feed
+# File-name extensions given to the offered files.
+DRIVE_EXT_BY_EVENT_TYPE = {"click": ".json", "view": ".JSON", "purchase": ".xlsx",
+                           "signup": "", "error": ".json"}
+FTP_EXT_BY_PRIORITY = {"1-URGENT": ".csv", "2-HIGH": ".parquet", "3-MEDIUM": ".CSV",
+                       "4-NOT SPECIFIED": ".txt", "5-LOW": ".csv"}
+
+
+def _map_text(c, mapping: dict, default: str = ""):
+    out = None
+    for k, v in mapping.items():
+        out = F.when(c == k, F.lit(v)) if out is None else out.when(c == k, F.lit(v))
+    return out.otherwise(F.lit(default))
+
+
+def landing_listing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Files offered to the two landing feeds, one per source row:
+    Drive (JSON feed) ← events, FTP (CSV/Parquet feed) ← orders and web-page
+    names.  Columns: ``feed, file_ref, file_name, length, modified_at``."""
+    from tillroll.functions.expr import file_base_name
+    ev = fact_table(spark, sf_dir, "events", ["event_id", "user_id", "event_type", "value", "ts"],
+                    "event_id")
+    drive = ev.select(
+        F.lit("drive").alias("feed"),
+        F.concat(F.lit("drv-"), F.col("event_id").cast("string")).alias("file_ref"),
+        F.concat(F.lit("iot_events_"), F.col("user_id").cast("string"), F.lit("_"),
+                 F.col("event_id").cast("string"),
+                 _map_text(F.col("event_type"), DRIVE_EXT_BY_EVENT_TYPE)).alias("file_name"),
+        F.floor(F.col("value") * 1000).cast("bigint").alias("length"),
+        F.col("ts").alias("modified_at"))
+    o = table(spark, sf_dir, "orders").select("o_orderkey", "o_orderpriority", "o_totalprice",
+                                              "o_orderdate")
+    ftp = o.select(
+        F.lit("ftp").alias("feed"),
+        F.concat(F.lit("ftp-"), F.col("o_orderkey").cast("string")).alias("file_ref"),
+        F.concat(F.lit("pos_"), F.col("o_orderkey").cast("string"),
+                 _map_text(F.col("o_orderpriority"), FTP_EXT_BY_PRIORITY)).alias("file_name"),
+        F.floor(F.col("o_totalprice")).cast("bigint").alias("length"),
+        F.col("o_orderdate").alias("modified_at"))
+    pg = table(spark, sf_dir, "pages").select("page_id", "url", "html")
+    web = pg.select(
+        F.lit("ftp").alias("feed"),
+        F.concat(F.lit("web-"), F.col("page_id").cast("string")).alias("file_ref"),
+        file_base_name(F.col("url")).alias("file_name"),
+        F.length("html").cast("bigint").alias("length"),
+        F.lit(None).cast("timestamp_ntz").alias("modified_at"))
+    return drive.unionByName(ftp).unionByName(web)
+
+
+def landing_run(spark: SparkSession, sf_dir: str):
+    """One landing run per feed on the feed's last arrival day: files are
+    keyed by arrival day; keys of files that arrived on earlier days are
+    already in the store (landed by earlier daily runs).  Returns
+    ``(classified, marked, ledger)``."""
+    from tillroll.sources import landing
+    listing = landing_listing(spark, sf_dir)
+    day = F.to_date("modified_at")
+    classified = landing.classify(listing, day)
+    last = listing.groupBy("feed").agg(F.max(day).alias("_last_day"))
+    with_last = classified.join(last, "feed")
+    store = with_last.filter(F.col("accepted") & (day < F.col("_last_day"))).select(
+        F.col("landing_key").alias("key"))
+    marked = landing.mark_existing(with_last, store)
+    run_ts = F.col("_last_day").cast("timestamp_ntz") + F.make_dt_interval(mins=F.lit(5))
+    ledger = landing.status_events(marked, run_ts)
+    return classified, marked.drop("_last_day"), ledger
