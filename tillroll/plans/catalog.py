@@ -293,3 +293,39 @@ def q_latest_events(spark, d):
     from tillroll.sources import landing
     _, _, ledger = tm.landing_run(spark, d)
     return landing.latest_events(ledger, 10)
+
+
+# ---------------------------------------------------------------- more sources
+@register("silver_iot_typed")
+def q_silver_iot_typed(spark, d):
+    """B2 over the typed path: payload events read as ``IOT_EVENT`` rows."""
+    from tillroll import schemas
+    from tillroll.plans import silver
+    b = tm.iot_bronze(spark, d)
+    ev = (b.lateralJoin(spark.tvf.variant_explode(F.col("raw_payload").outer()))
+           .select(F.try_variant_get("value", "$", schemas.IOT_EVENT.simpleString()).alias("e"),
+                   "source_file", "loaded_time")
+           .select("e.*", "source_file", "loaded_time"))
+    return silver.flatten_iot_typed(ev)
+
+
+@register("name_normalize")
+def q_name_normalize(spark, d):
+    """S22 order files whose column names differ per batch (case, spaces)
+    conformed back to the declared schema."""
+    from tillroll import schemas
+    from tillroll.sources.readers import conform
+    files = tm.erp_bronze(spark, d)
+    odd = files.toDF(*[(c.upper() if i % 2 else f" {c.replace('_', ' ').title()} ")
+                       for i, c in enumerate(files.columns)])
+    return conform(odd, schemas.ERP_ORDERS)
+
+
+@register("pos_quarantine")
+def q_pos_quarantine(spark, d):
+    """Quarantine split of the POS lines: rows that cannot be staged, with why."""
+    from tillroll.sources import readers
+    raw = tm.pos_lines(spark, d).withColumn(readers.CORRUPT, F.lit(None).cast("string")) \
+        .withColumn("loaded_time", F.current_timestamp())
+    _, bad = readers.split_pos(raw)
+    return bad.drop(readers.CORRUPT)
