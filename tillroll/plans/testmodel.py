@@ -368,8 +368,14 @@ def landing_run(spark: SparkSession, sf_dir: str):
     listing = landing_listing(spark, sf_dir)
     day = F.to_date("modified_at")
     classified = landing.classify(listing, day)
-    last = listing.groupBy("feed").agg(F.max(day).alias("_last_day"))
-    with_last = classified.join(last, "feed")
+    # Each feed's last arrival day is an uncorrelated scalar subquery: a
+    # join on the two-valued ``feed`` column could put a whole feed in one task.
+    last_day = None
+    for feed in (landing.FEED_DRIVE, landing.FEED_FTP):
+        v = listing.filter(F.col("feed") == feed).select(F.max(day)).scalar()
+        last_day = (F.when(F.col("feed") == feed, v) if last_day is None
+                    else last_day.when(F.col("feed") == feed, v))
+    with_last = classified.withColumn("_last_day", last_day)
     store = with_last.filter(F.col("accepted") & (day < F.col("_last_day"))).select(
         F.col("landing_key").alias("key"))
     marked = landing.mark_existing(with_last, store)
