@@ -83,3 +83,17 @@ def test_update_where(spark):
     df = spark.createDataFrame([(5.0,), (None,), (12.0,)], "d double")
     out = changes.update_where(df, {"d": F.lit(99.0)}, F.col("d") < 10)
     assert [r[0] for r in out.collect()] == [99.0, None, 12.0]
+
+
+def test_one_pass_forms_equal_two_pass(spark):
+    log = _log(spark)
+    old_b = F.lit("2024-01-02 00:00:00").cast("timestamp_ntz")
+    new_b = changes.last_commit(log)
+    st = lambda b, inc=True: changes.state_as_of(log, "order_id", b, inclusive=inc,
+                                                  tie_cols=("source_file",))
+    two = changes.snapshot_diff(st(old_b), st(new_b), "order_id")
+    one = changes.log_diff(log, "order_id", old_b, new_b, tie_cols=("source_file",))
+    assert rows(one) == rows(two) and one.count() > 0
+    two = changes.restore_columns(st(new_b), st(new_b, False), "order_id", ["q"])
+    one = changes.log_restore(log, "order_id", new_b, new_b, ["q"], tie_cols=("source_file",))
+    assert rows(one) == rows(two)

@@ -130,3 +130,75 @@ def restore_columns(current: DataFrame, earlier: DataFrame, key, columns: Sequen
         v = F.col(f"_e_{c}")
         j = j.withColumn(c, v if where is None else F.when(where, v).otherwise(F.col(c)))
     return j.select(*current.columns)
+
+
+# ---------------------------------------------------------------- one-pass forms
+def states_at(log: DataFrame, key, bounds: Mapping[str, tuple[Column, bool]], *,
+              commit_col: str = "commit_ts", action_col: str = "action",
+              tie_cols: Sequence[str] = ()) -> tuple[DataFrame, list[str]]:
+    """Several as-of states of one log in a single aggregation.
+
+    ``bounds`` maps a name to ``(bound, inclusive)``.  Returns one row per key
+    with a struct column per name holding that state's payload (NULL when the
+    key has no version by then or its last version is a delete), and the
+    payload column names.  One shuffle on the key, combined map-side."""
+    keys = _keys(key)
+    payload = [c for c in log.columns if c not in keys and c not in (commit_col, action_col)]
+    head = [commit_col, *tie_cols, action_col]
+    rest = [c for c in payload if c not in tie_cols]
+    ranked = F.struct(*[F.col(c) for c in head + rest])
+    aggs = []
+    for name, (bound, inclusive) in bounds.items():
+        cond = F.col(commit_col) <= bound if inclusive else F.col(commit_col) < bound
+        aggs.append(F.max(F.when(cond, ranked)).alias(f"_s_{name}"))
+    out = log.groupBy(*keys).agg(*aggs)
+    cols = []
+    for name in bounds:
+        s = F.col(f"_s_{name}")
+        alive = s.isNotNull() & (s.getField(action_col) != ACTION_DELETE)
+        cols.append(F.when(alive, F.struct(*[s.getField(c).alias(c) for c in payload])).alias(name))
+    return out.select(*keys, *cols), payload
+
+
+def log_diff(log: DataFrame, key, old_bound: Column, new_bound: Column, **kw) -> DataFrame:
+    """``snapshot_diff(state_as_of(log, old), state_as_of(log, new))`` in one
+    aggregation and no join: both states come from the same log."""
+    keys = _keys(key)
+    st, payload = states_at(log, key, {"o": (old_bound, True), "n": (new_bound, True)}, **kw)
+    o, n = F.col("o"), F.col("n")
+    same = None
+    for c in payload:
+        e = o.getField(c).eqNullSafe(n.getField(c))
+        same = e if same is None else same & e
+    both = o.isNotNull() & n.isNotNull()
+    is_upd = both & ~same
+    emit_del = (o.isNotNull() & n.isNull()) | is_upd
+    emit_ins = (n.isNotNull() & o.isNull()) | is_upd
+
+    def side(s, action, emit):
+        return F.when(emit, F.struct(*[s.getField(c).alias(c) for c in payload],
+                                     F.lit(action).alias("change_action"),
+                                     is_upd.alias("change_isupdate")))
+
+    rows = F.filter(F.array(side(o, ACTION_DELETE, emit_del), side(n, ACTION_INSERT, emit_ins)),
+                    lambda s: s.isNotNull())
+    kf = None
+    for k in keys:
+        c = F.col(k).isNotNull()
+        kf = c if kf is None else kf & c
+    return (st.filter(kf).select(*keys, F.explode(rows).alias("_c"))
+              .select(*keys, *[F.col(f"_c.{c}").alias(c) for c in payload],
+                      "_c.change_action", "_c.change_isupdate"))
+
+
+def log_restore(log: DataFrame, key, current_bound: Column, earlier_bound: Column,
+                columns: Sequence[str], earlier_inclusive: bool = False, **kw) -> DataFrame:
+    """``restore_columns(state(current), state(earlier), …)`` in one
+    aggregation: rows of the current state with ``columns`` taken from the
+    earlier state (NULL where the key did not exist then)."""
+    keys = _keys(key)
+    st, payload = states_at(log, key, {"c": (current_bound, True),
+                                       "e": (earlier_bound, earlier_inclusive)}, **kw)
+    cur, ear = F.col("c"), F.col("e")
+    return st.filter(cur.isNotNull()).select(
+        *keys, *[(ear.getField(c) if c in columns else cur.getField(c)).alias(c) for c in payload])

@@ -214,9 +214,8 @@ def q_before_version(spark, d):
 def q_changes_diff(spark, d):
     """C3 standard change stream between the T2 state and the current state."""
     log = tm.order_change_log(spark, d)
-    old = _order_state(log, F.lit(AS_OF_TIMESTAMP).cast("timestamp_ntz"))
-    new = _order_state(log, changes.last_commit(log))
-    return changes.snapshot_diff(old, new, "order_id")
+    return changes.log_diff(log, "order_id", F.lit(AS_OF_TIMESTAMP).cast("timestamp_ntz"),
+                            changes.last_commit(log), tie_cols=("source_file",))
 
 
 @register("restore_value")
@@ -224,9 +223,9 @@ def q_restore_value(spark, d):
     """T4/P13 ``UPDATE … SET quantity_ordered = (SELECT … BEFORE(last load)
     WHERE order_id = t.order_id)`` applied to every current order."""
     log = tm.order_change_log(spark, d)
-    cur = _order_state(log, changes.last_commit(log))
-    before = _order_state(log, changes.last_commit(log), inclusive=False)
-    return changes.restore_columns(cur, before, "order_id", ["quantity_ordered"])
+    last = changes.last_commit(log)
+    return changes.log_restore(log, "order_id", last, last, ["quantity_ordered"],
+                               tie_cols=("source_file",))
 
 
 @register("conditional_update")

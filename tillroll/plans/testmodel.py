@@ -79,8 +79,9 @@ def stored_feed(spark: SparkSession, sf_dir: str, name: str, build) -> DataFrame
 
 
 def fact_table(spark: SparkSession, sf_dir: str, name: str, columns: list[str],
-               key: str) -> DataFrame:
-    """A fact table's needed columns, spread on ``key`` if under-split."""
+               key) -> DataFrame:
+    """A fact table's needed columns, spread if under-split on a unique
+    ``key`` (so a hot business key cannot fill one partition)."""
     return read_columns(spark, f"{sf_dir}/{name}.parquet", columns, spread_key=key)
 
 
@@ -89,7 +90,7 @@ def pos_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     """POS lines in the 19-field CSV layout (date and time as text)."""
     li = fact_table(spark, sf_dir, "lineitem", [
         "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity",
-        "l_extendedprice", "l_discount", "l_tax", "l_returnflag"], "l_orderkey")
+        "l_extendedprice", "l_discount", "l_tax", "l_returnflag"], ["l_orderkey", "l_linenumber"])
     o = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate",
                                               "o_orderpriority")
     c = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey", "c_acctbal")
@@ -246,7 +247,7 @@ def build_erp_bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
     ``loaded_time`` = ship day (UTC midnight), so later days overwrite."""
     li = fact_table(spark, sf_dir, "lineitem", [
         "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity",
-        "l_extendedprice", "l_returnflag", "l_linestatus", "l_shipdate"], "l_orderkey")
+        "l_extendedprice", "l_returnflag", "l_linestatus", "l_shipdate"], ["l_orderkey", "l_linenumber"])
     s = table(spark, sf_dir, "supplier").select("s_suppkey", "s_name", "s_nationkey")
     p = table(spark, sf_dir, "part").select("p_partkey", "p_type", "p_retailprice")
     n = table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
