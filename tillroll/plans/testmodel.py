@@ -54,8 +54,14 @@ FEED_TABLES = {"pos_lines": ["lineitem", "orders", "customer", "nation", "region
 
 
 def _input_signature(spark: SparkSession, sf_dir: str, tables: list[str]) -> str:
-    """Path, size and modification time of the input tables (metadata only)."""
+    """Path, size and modification time of the input tables (metadata only),
+    plus the source of the code that derives the feeds, so a changed
+    derivation never reuses an old stored feed."""
     import hashlib
+    import inspect
+
+    from tillroll import schemas as _schemas
+    from tillroll.functions import expr as _expr
     jvm = spark.sparkContext._jvm
     conf = spark.sparkContext._jsc.hadoopConfiguration()
     parts = []
@@ -64,17 +70,33 @@ def _input_signature(spark: SparkSession, sf_dir: str, tables: list[str]) -> str
         fs = p.getFileSystem(conf)
         st = fs.getFileStatus(p)
         parts.append(f"{st.getPath().toString()}:{st.getLen()}:{st.getModificationTime()}")
+    for mod in (_schemas, _expr, inspect.getmodule(_input_signature)):
+        parts.append(hashlib.sha1(inspect.getsource(mod).encode()).hexdigest())
     return hashlib.sha1("|".join(parts).encode()).hexdigest()[:16]
 
 
 def stored_feed(spark: SparkSession, sf_dir: str, name: str, build) -> DataFrame:
+    """Write ``build()`` once per input state and code version, then read it.
+
+    The feed is written to a unique sibling path and renamed into place, so
+    a concurrent session never reads a half-written feed; if another session
+    published first, its copy is used."""
+    import uuid
+
     from tillroll.session import state_path
     sig = _input_signature(spark, sf_dir, FEED_TABLES[name])
     path = state_path(spark, "feeds", f"{name}-{sig}")
     jvm = spark.sparkContext._jvm
-    done = jvm.org.apache.hadoop.fs.Path(f"{path}/_SUCCESS")
-    if not done.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(done):
-        build().write.mode("overwrite").parquet(path)
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    target = jvm.org.apache.hadoop.fs.Path(path)
+    fs = target.getFileSystem(conf)
+    if not fs.exists(jvm.org.apache.hadoop.fs.Path(f"{path}/_SUCCESS")):
+        tmp = f"{path}.tmp-{uuid.uuid4().hex}"
+        build().write.mode("overwrite").parquet(tmp)
+        tmp_path = jvm.org.apache.hadoop.fs.Path(tmp)
+        # rename onto an existing directory would nest the copy inside it
+        if fs.exists(target) or not fs.rename(tmp_path, target):
+            fs.delete(tmp_path, True)
     return spark.read.parquet(path)
 
 
