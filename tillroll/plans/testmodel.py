@@ -90,10 +90,13 @@ def stored_feed(spark: SparkSession, sf_dir: str, name: str, build) -> DataFrame
     conf = spark.sparkContext._jsc.hadoopConfiguration()
     target = jvm.org.apache.hadoop.fs.Path(path)
     fs = target.getFileSystem(conf)
-    if not fs.exists(jvm.org.apache.hadoop.fs.Path(f"{path}/_SUCCESS")):
+    success = jvm.org.apache.hadoop.fs.Path(f"{path}/_SUCCESS")
+    if not fs.exists(success):
         tmp = f"{path}.tmp-{uuid.uuid4().hex}"
         build().write.mode("overwrite").parquet(tmp)
         tmp_path = jvm.org.apache.hadoop.fs.Path(tmp)
+        if fs.exists(target) and not fs.exists(success):
+            fs.delete(target, True)                     # a partial copy from a failed run
         # rename onto an existing directory would nest the copy inside it
         if fs.exists(target) or not fs.rename(tmp_path, target):
             fs.delete(tmp_path, True)
