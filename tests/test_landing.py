@@ -78,3 +78,16 @@ def test_list_files(spark, scratch):
     lst = landing.list_files(spark, f"{scratch}/a", "drive")
     got = sorted((r.file_name, r.length) for r in lst.collect())
     assert got == [("x.json", 5), ("y.csv", 5)]
+
+
+def test_content_identity_lands_a_file_once(spark):
+    # the same unchanged file offered on two run days
+    day1 = _listing(spark).filter("file_ref = 'd4'")
+    c1 = landing.with_content_id(landing.classify(day1, F.lit("2024-01-01").cast("date")))
+    c2 = landing.with_content_id(landing.classify(day1, F.lit("2024-01-02").cast("date")))
+    store_dated = c1.select(F.col("landing_key").alias("key"))
+    store_content = c1.select(F.col("content_id").alias("key"))
+    dated = landing.mark_existing(c2, store_dated).collect()[0]
+    content = landing.mark_existing(c2, store_content, key="content_id").collect()[0]
+    assert dated.already_exists is False        # dated key: landed again under the new day
+    assert content.already_exists is True       # content identity: recognised

@@ -25,7 +25,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tillroll import schemas
-from tillroll.functions.expr import file_extension
+from tillroll.functions.expr import file_extension, file_identity
 
 # Feeds, accepted extensions, rejection statuses, key prefixes.
 FEED_DRIVE = "drive"
@@ -83,6 +83,14 @@ def classify(listing: DataFrame, run_day: Column) -> DataFrame:
         F.when(accepted, key).alias("landing_key"))
 
 
+def with_content_id(listing: DataFrame) -> DataFrame:
+    """Content identity of an offered file: md5 of (name, length, modified
+    time).  Keying the existence check on it lands an unchanged file once,
+    whatever day it is offered again; the dated ``landing_key`` (the default)
+    lands it again under each new day's folder."""
+    return listing.withColumn("content_id", file_identity("file_name", "length", "modified_at"))
+
+
 def mark_existing(classified: DataFrame, store_keys: DataFrame, key: str = "landing_key",
                   store_key: str = "key") -> DataFrame:
     """Flag accepted files whose key is already in the store.
