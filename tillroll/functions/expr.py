@@ -70,7 +70,8 @@ ROUND_NUDGE_REL = 1e-14
 def round_half_away(x, scale: int = 2) -> Column:
     x = _c(x)
     nudge = F.greatest(F.lit(ROUND_NUDGE_ABS), F.abs(x) * F.lit(ROUND_NUDGE_REL))
-    return F.round(x + F.signum(x) * nudge, scale)
+    # "+ 0.0" maps a rounded -0.0 to 0.0 (IEEE), so no engine prints "-0.0"
+    return F.round(x + F.signum(x) * nudge, scale) + F.lit(0.0)
 
 
 # Money sums are accumulated exactly in DECIMAL and returned as DOUBLE: a
