@@ -72,3 +72,16 @@ def test_kg_join_rewrite_equals_fanout(spark):
     slow = present(gold.sales_kg_sensor_fanout(pos, iot))
     assert fast.count() > 0
     assert rows(fast) == rows(slow)
+
+
+def test_flatten_array_object_and_empty(spark):
+    from pyspark.sql import functions as F
+    from tillroll.operators.flatten import flatten
+    df = spark.createDataFrame([(1, '[10, 20]'), (2, '{"a": 1, "b": 2}'), (3, '[]'), (4, None)],
+                               "id int, s string").select("id", F.parse_json("s").alias("v"))
+    inner = flatten(spark, df, "v").select("id", "index", "key",
+                                           F.to_json("value").alias("value"))
+    assert sorted(tuple(r) for r in inner.collect()) == [
+        (1, 0, None, "10"), (1, 1, None, "20"), (2, 0, "a", "1"), (2, 1, "b", "2")]
+    outer = flatten(spark, df, "v", outer=True)
+    assert sorted(r.id for r in outer.collect()) == [1, 1, 2, 2, 3, 4]

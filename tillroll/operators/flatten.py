@@ -80,3 +80,12 @@ def flatten_typed_events(events: DataFrame,
         first_alert.getField("alert_type").alias("alert_type"),
         first_alert.getField("severity").alias("alert_severity"),
     )
+
+
+def flatten(spark: SparkSession, df: DataFrame, column: str, outer: bool = False) -> DataFrame:
+    """``LATERAL FLATTEN(INPUT => column)`` on a VARIANT column: one row per
+    array element (``index``) or object field (``key``), with ``value``.
+    Empty, NULL or scalar input yields no row unless ``outer``."""
+    tvf = spark.tvf.variant_explode_outer if outer else spark.tvf.variant_explode
+    return (df.lateralJoin(tvf(F.col(column).outer()))
+              .withColumnRenamed("pos", "index"))

@@ -328,3 +328,15 @@ def q_pos_quarantine(spark, d):
         .withColumn("loaded_time", F.current_timestamp())
     _, bad = readers.split_pos(raw)
     return bad.drop(readers.CORRUPT)
+
+
+@register("json_flatten")
+def q_json_flatten(spark, d):
+    """J4 ``SELECT value FROM json_data, LATERAL FLATTEN(input => raw_data)``:
+    one row per event of every payload."""
+    from tillroll.operators.flatten import flatten
+    rows = flatten(spark, tm.iot_bronze(spark, d), "raw_payload")
+    return rows.select("source_file",
+                       F.try_variant_get("value", "$.event_id", "string").alias("event_id"),
+                       F.try_variant_get("value", "$.event_type", "string").alias("event_type"),
+                       F.schema_of_variant("value").startswith("OBJECT").alias("is_object"))
