@@ -39,3 +39,11 @@ def test_store_revenue_window_has_at_most_31_dates(spark):
     assert out
     for r in out:
         assert (r.to_date - r.from_date).days <= 30
+
+
+def test_store_revenue_cutoff_from_lines_equals_from_fact(spark):
+    pos = tm.pos_silver(spark, SF001)
+    fact = gold.fact_decisions(pos)
+    a = gold.store_revenue(fact).drop("rolling_revenue")
+    b = gold.store_revenue(fact, latest=gold.latest_sale_date(pos)).drop("rolling_revenue")
+    assert sorted(map(tuple, a.collect())) == sorted(map(tuple, b.collect()))

@@ -100,7 +100,8 @@ def q_kpi(spark, d):
 
 @register("store_revenue_30d")
 def q_store_revenue(spark, d):
-    return gold.store_revenue(gold.fact_decisions(tm.pos_silver(spark, d)))
+    pos = tm.pos_silver(spark, d)
+    return gold.store_revenue(gold.fact_decisions(pos), latest=gold.latest_sale_date(pos))
 
 
 @register("category_by_region")

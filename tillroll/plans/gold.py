@@ -50,12 +50,16 @@ def kpi_summary(pos: DataFrame) -> DataFrame:
 
 
 # ------------------------------------------------------------------ G3
-def store_revenue(fact: DataFrame, days: int = 30) -> DataFrame:
+def store_revenue(fact: DataFrame, days: int = 30, latest: Column | None = None) -> DataFrame:
     """G3 rolling window per store: fact rows dated on or after (latest date −
     ``days``), i.e. up to ``days + 1`` dates.  The latest date is an
-    uncorrelated scalar subquery, run once.  Sums of daily distinct counts
-    over-count repeat customers; kept as published."""
-    latest = fact.select(F.max("report_date")).scalar()
+    uncorrelated scalar subquery, run once; over a stored fact it reads the
+    fact, while a caller computing the fact on the fly can pass the same
+    date from the silver lines (``latest_sale_date``) and skip a second
+    aggregation.  Sums of daily distinct counts over-count repeat customers;
+    kept as published."""
+    if latest is None:
+        latest = fact.select(F.max("report_date")).scalar()
     return (fact.filter(R("report_date") >= F.date_sub(latest, days))
                 .groupBy("store_id", "store_name", "store_city", "store_region")
                 .agg(exact_sum("total_revenue").alias("rolling_revenue"),
@@ -66,6 +70,12 @@ def store_revenue(fact: DataFrame, days: int = 30) -> DataFrame:
                      F.max("report_date").alias("to_date")))
 
 
+def latest_sale_date(pos: DataFrame) -> Column:
+    """``max(report_date)`` of ``fact_decisions(pos)`` without building the
+    fact: every dated line yields a fact row of its date."""
+    return pos.select(F.max(F.to_date("transaction_date"))).scalar()
+
+
 # ------------------------------------------------------------------ G4
 def category_by_region(fact: DataFrame) -> DataFrame:
     """G4 re-aggregation of the fact (its sums are additive).
