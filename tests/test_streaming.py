@@ -135,3 +135,24 @@ def test_orders_pipe_pattern_and_merge(spark, scratch):
     cur = {r.order_id: r.quantity_ordered for r in tasks.read_current(spark, root).collect()}
     assert cur == {"O1": 50, "O2": 6, "O3": 7}
     assert silver.upsert_orders(spark.read.parquet(bronze)).count() == 3
+
+
+def test_processing_time_task_runs_only_with_new_data(spark, scratch):
+    """C4: a running task with a processing-time trigger picks up new bronze
+    files and runs no batch while nothing new arrives."""
+    import time
+    staged = tm.pos_staging(spark, SF001)
+    first, second = staged.limit(50), staged.filter("transaction_id = '1'")
+    bronze, silv = f"{scratch}/bronze", f"{scratch}/silver"
+    first.write.parquet(f"{bronze}/b1")
+    q = tasks.pos_task(spark, bronze, silv, f"{scratch}/ck", trigger="1 second")
+    try:
+        q.processAllAvailable()
+        n_batches = len([p for p in q.recentProgress if p["numInputRows"] > 0])
+        time.sleep(3)
+        assert len([p for p in q.recentProgress if p["numInputRows"] > 0]) == n_batches
+        second.write.parquet(f"{bronze}/b2")
+        q.processAllAvailable()
+        assert spark.read.parquet(silv).count() == 50 + second.count()
+    finally:
+        q.stop()
