@@ -144,14 +144,14 @@ def test_processing_time_task_runs_only_with_new_data(spark, scratch):
     staged = tm.pos_staging(spark, SF001)
     first, second = staged.limit(50), staged.filter("transaction_id = '1'")
     bronze, silv = f"{scratch}/bronze", f"{scratch}/silver"
-    first.write.parquet(f"{bronze}/b1")
+    first.write.parquet(bronze)
     q = tasks.pos_task(spark, bronze, silv, f"{scratch}/ck", trigger="1 second")
     try:
         q.processAllAvailable()
         n_batches = len([p for p in q.recentProgress if p["numInputRows"] > 0])
         time.sleep(3)
         assert len([p for p in q.recentProgress if p["numInputRows"] > 0]) == n_batches
-        second.write.parquet(f"{bronze}/b2")
+        second.write.mode("append").parquet(bronze)
         q.processAllAvailable()
         assert spark.read.parquet(silv).count() == 50 + second.count()
     finally:
