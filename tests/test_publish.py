@@ -36,3 +36,11 @@ def test_views_are_queryable(spark):
                                    "fact_kpi_summary": gold.kpi_summary(pos)})
     n = spark.sql("SELECT total_transactions FROM fact_kpi_summary").collect()[0][0]
     assert n == pos.select("transaction_id").distinct().count()
+
+
+def test_publish_replaces_all_partitions(spark, scratch):
+    path = f"{scratch}/t"
+    a = spark.createDataFrame([(1, "2024-01-01"), (2, "2024-01-02")], "v int, d string")
+    publish.publish(a, path, ("d",))
+    publish.publish(a.filter("d = '2024-01-02'"), path, ("d",))
+    assert [r.d for r in spark.read.parquet(path).collect()] == ["2024-01-02"]

@@ -20,7 +20,10 @@ from pyspark.sql import functions as F
 
 
 def publish(df: DataFrame, path: str, partition_by: tuple[str, ...] = ()) -> None:
-    w = df.write.mode("overwrite")
+    """Full replace (``CREATE OR REPLACE TABLE … AS SELECT``).  The session
+    default is dynamic partition overwrite (for day refreshes), so a full
+    replace asks for static mode: partitions absent from ``df`` go away."""
+    w = df.write.mode("overwrite").option("partitionOverwriteMode", "static")
     if partition_by:
         w = w.partitionBy(*partition_by)
     w.parquet(path)
