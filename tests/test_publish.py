@@ -43,4 +43,4 @@ def test_publish_replaces_all_partitions(spark, scratch):
     a = spark.createDataFrame([(1, "2024-01-01"), (2, "2024-01-02")], "v int, d string")
     publish.publish(a, path, ("d",))
     publish.publish(a.filter("d = '2024-01-02'"), path, ("d",))
-    assert [r.d for r in spark.read.parquet(path).collect()] == ["2024-01-02"]
+    assert [str(r.d) for r in spark.read.parquet(path).collect()] == ["2024-01-02"]
