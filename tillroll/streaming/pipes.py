@@ -42,7 +42,10 @@ def to_parquet(df: DataFrame, path: str, checkpoint: str, trigger: str | None =
 def pos_pipe(spark: SparkSession, source: str, bronze: str, quarantine: str,
              checkpoint: str, trigger: str | None = None) -> list[StreamingQuery]:
     """CSV stage → ``stg_csv_transaction`` (good rows) and a quarantine of
-    rows that cannot be staged.  Two queries, one sink each."""
+    rows that cannot be staged.  Two queries, one file sink each: every file
+    is parsed twice, which is the price of keeping both outputs exactly-once
+    without a transactional table format (a ``foreachBatch`` writing both
+    would duplicate files on replay)."""
     good, _ = readers.split_pos(readers.read_pos_csv(spark, source, stream=True))
     _, bad = readers.split_pos(readers.read_pos_csv(spark, source, stream=True))
     return [to_parquet(good, bronze, f"{checkpoint}/good", trigger, "pos_pipe"),
