@@ -40,3 +40,14 @@ def test_orders_glob_matches_base_name_regex_matches_path(spark, scratch):
     names = lambda df: sorted(os.path.basename(r.source_file) for r in df.collect())
     assert names(by_glob) == ["erp_orders_1.parquet"]
     assert names(by_regex) == ["erp_orders_1.parquet", "zz.parquet"]
+
+
+def test_read_parquet_batches_by_folder(spark, scratch):
+    os.makedirs(f"{scratch}/d1")
+    os.makedirs(f"{scratch}/d2")
+    pq.write_table(_orders({}), f"{scratch}/d1/a.parquet")
+    pq.write_table(_orders({}), f"{scratch}/d1/b.parquet")
+    pq.write_table(_orders({"order_id": "ORDER ID"}, pa.int32()), f"{scratch}/d2/c.parquet")
+    files = [f"{scratch}/d1/a.parquet", f"{scratch}/d1/b.parquet", f"{scratch}/d2/c.parquet"]
+    df = readers.read_parquet_batches(spark, files, schemas.ERP_ORDERS, group_by="folder")
+    assert sorted(r.order_id for r in df.collect()) == ["A", "A", "A"]

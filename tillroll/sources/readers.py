@@ -188,13 +188,23 @@ def conform(df: DataFrame, schema: StructType, keep: tuple[str, ...] = ()) -> Da
     return renamed.select(*out, *keep)
 
 
-def read_parquet_batches(spark: SparkSession, files: list[str], schema: StructType) -> DataFrame:
+def read_parquet_batches(spark: SparkSession, files: list[str], schema: StructType,
+                         group_by: str = "file") -> DataFrame:
     """Files whose column names, order or widths differ per batch: files are
     grouped by their footer schema (metadata only), each group is read once
-    and conformed, and the groups are unioned by name."""
-    groups: dict[str, list[str]] = {}
+    and conformed, and the groups are unioned by name.
+
+    ``group_by='folder'`` trusts that all files of one folder (one delivery)
+    share a layout: one footer is read per folder instead of per file."""
+    if group_by not in ("file", "folder"):
+        raise ValueError("group_by must be 'file' or 'folder'")
+    units: dict[str, list[str]] = {}
     for f in files:
-        groups.setdefault(spark.read.parquet(f).schema.json(), []).append(f)
+        unit = f.rsplit("/", 1)[0] if group_by == "folder" else f
+        units.setdefault(unit, []).append(f)
+    groups: dict[str, list[str]] = {}
+    for members in units.values():
+        groups.setdefault(spark.read.parquet(members[0]).schema.json(), []).extend(members)
     out = None
     for paths in groups.values():
         raw = spark.read.parquet(*paths)
