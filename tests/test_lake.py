@@ -57,6 +57,12 @@ def test_lake_end_to_end(spark, scratch):
     assert keys.count() == keys.distinct().count() == \
         silver.upsert_orders(tm.erp_bronze(spark, SF001)).count()
 
+    # a load-window read of bronze prunes ingest-day folders
+    win = jobs.load_time_window(spark.read.parquet(lake.bronze("pos")), "2000-01-01 00:00:00")
+    plan = win._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(ingest_date" in plan
+    assert win.count() == spark.read.parquet(lake.bronze("pos")).count()
+
     # views are registered and queryable
     n = spark.sql("SELECT count(*) FROM fact_sales_verses_iot").collect()[0][0]
     assert n == out["fact_sales_verses_iot"].count() > 0

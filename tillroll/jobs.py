@@ -143,5 +143,9 @@ def build_gold(spark: SparkSession, lake: Lake) -> dict[str, DataFrame]:
 
 def load_time_window(df: DataFrame, since) -> DataFrame:
     """Rows loaded at or after ``since`` (reads of a stream's table between
-    runs; reading does not consume)."""
-    return df.filter(F.col("loaded_time") >= F.lit(since).cast("timestamp"))
+    runs; reading does not consume).  On bronze the day condition prunes
+    ``ingest_date`` folders before any file is opened."""
+    ts = F.lit(since).cast("timestamp")
+    if "ingest_date" in df.columns:
+        df = df.filter(F.col("ingest_date") >= F.to_date(ts))
+    return df.filter(F.col("loaded_time") >= ts)

@@ -16,6 +16,7 @@ Checkpoints belong under the shared folder named by ``spark.checkpoint.dir``
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from tillroll.sources import readers
@@ -39,6 +40,17 @@ def to_parquet(df: DataFrame, path: str, checkpoint: str, trigger: str | None =
     return _trigger(w, trigger).start()
 
 
+INGEST_DATE = "ingest_date"
+
+
+def to_bronze(df: DataFrame, path: str, checkpoint: str, trigger: str | None = None,
+              name: str | None = None) -> StreamingQuery:
+    """Append to a bronze dataset partitioned by load day (``ingest_date``), so
+    a read of one load window prunes to its day folders."""
+    dated = df.withColumn(INGEST_DATE, F.to_date("loaded_time"))
+    return to_parquet(dated, path, checkpoint, trigger, name, partition_by=(INGEST_DATE,))
+
+
 def pos_pipe(spark: SparkSession, source: str, bronze: str, quarantine: str,
              checkpoint: str, trigger: str | None = None) -> list[StreamingQuery]:
     """CSV stage → ``stg_csv_transaction`` (good rows) and a quarantine of
@@ -48,26 +60,26 @@ def pos_pipe(spark: SparkSession, source: str, bronze: str, quarantine: str,
     would duplicate files on replay)."""
     good, _ = readers.split_pos(readers.read_pos_csv(spark, source, stream=True))
     _, bad = readers.split_pos(readers.read_pos_csv(spark, source, stream=True))
-    return [to_parquet(good, bronze, f"{checkpoint}/good", trigger, "pos_pipe"),
-            to_parquet(bad, quarantine, f"{checkpoint}/bad", trigger, "pos_quarantine")]
+    return [to_bronze(good, bronze, f"{checkpoint}/good", trigger, "pos_pipe"),
+            to_bronze(bad, quarantine, f"{checkpoint}/bad", trigger, "pos_quarantine")]
 
 
 def json_pipe(spark: SparkSession, source: str, bronze: str, checkpoint: str,
               layout: str = "array", trigger: str | None = None) -> StreamingQuery:
     """JSON stage → ``stg_json_iot`` (VARIANT payload + lineage)."""
     df = readers.read_json_payload(spark, source, layout, stream=True)
-    return to_parquet(df, bronze, checkpoint, trigger, "json_pipe")
+    return to_bronze(df, bronze, checkpoint, trigger, "json_pipe")
 
 
 def orders_pipe(spark: SparkSession, source: str, bronze: str, checkpoint: str,
                 trigger: str | None = None) -> StreamingQuery:
     """Parquet stage, files named ``*orders*.parquet`` → order log bronze."""
     df = readers.read_erp_orders(spark, source, stream=True)
-    return to_parquet(df, bronze, checkpoint, trigger, "orders_pipe")
+    return to_bronze(df, bronze, checkpoint, trigger, "orders_pipe")
 
 
 def inventory_pipe(spark: SparkSession, source: str, bronze: str, checkpoint: str,
                    trigger: str | None = None) -> StreamingQuery:
     """Parquet stage, files named ``*inventory*.parquet`` → inventory bronze."""
     df = readers.read_erp_inventory(spark, source, stream=True)
-    return to_parquet(df, bronze, checkpoint, trigger, "inventory_pipe")
+    return to_bronze(df, bronze, checkpoint, trigger, "inventory_pipe")
