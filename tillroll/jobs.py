@@ -149,3 +149,33 @@ def load_time_window(df: DataFrame, since) -> DataFrame:
     if "ingest_date" in df.columns:
         df = df.filter(F.col("ingest_date") >= F.to_date(ts))
     return df.filter(F.col("loaded_time") >= ts)
+
+
+def main(argv: list[str] | None = None) -> None:
+    """``python -m tillroll.jobs ROOT [--trigger "1 minute"] [--json-layout lines]``
+
+    Without ``--trigger``: back-fill everything landed so far, refine, publish
+    gold, print the row counts.  With it: keep the pipes and tasks running."""
+    import argparse
+
+    from tillroll.session import build_session
+    ap = argparse.ArgumentParser(prog="tillroll.jobs")
+    ap.add_argument("root")
+    ap.add_argument("--trigger", default=None)
+    ap.add_argument("--json-layout", default="array", choices=["array", "lines"])
+    args = ap.parse_args(argv)
+    spark = build_session()
+    lake = Lake(args.root)
+    if args.trigger:
+        qs = ingest(spark, lake, args.trigger, args.json_layout) + refine(spark, lake, args.trigger)
+        spark.streams.awaitAnyTermination()
+        for q in qs:
+            q.stop()
+        return
+    await_all(ingest(spark, lake, None, args.json_layout))
+    await_all(refine(spark, lake))
+    build_gold(spark, lake)["row_counts"].show(truncate=False)
+
+
+if __name__ == "__main__":
+    main()
