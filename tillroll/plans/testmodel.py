@@ -16,6 +16,10 @@ Edge cases the cleaning rules exist for (negative quantity and price, NULL
 discount, unparsable time, missing metadata, empty readings, a ``KG_net``
 unit, two alerts, NULL delivery dates) are derived from the data as well.
 The SQL oracle (:mod:`tillroll.plans.oracle`) re-derives the same feeds.
+
+The modulo rules below *assign* attributes (a store from a user id, a unit
+and a number of readings from a property value); none of them selects a
+subset of rows.  Every row of every source table feeds the jobs, whole.
 """
 
 from __future__ import annotations
