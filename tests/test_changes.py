@@ -97,3 +97,11 @@ def test_one_pass_forms_equal_two_pass(spark):
     two = changes.restore_columns(st(new_b), st(new_b, False), "order_id", ["q"])
     one = changes.log_restore(log, "order_id", new_b, new_b, ["q"], tie_cols=("source_file",))
     assert rows(one) == rows(two)
+
+
+def test_unbounded_latest_equals_last_commit_bound(spark):
+    log = _log(spark)
+    old_b = F.lit("2024-01-02 00:00:00").cast("timestamp_ntz")
+    a = changes.log_diff(log, "order_id", old_b, changes.last_commit(log), tie_cols=("source_file",))
+    b = changes.log_diff(log, "order_id", old_b, None, tie_cols=("source_file",))
+    assert rows(a) == rows(b)

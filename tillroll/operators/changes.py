@@ -138,7 +138,8 @@ def states_at(log: DataFrame, key, bounds: Mapping[str, tuple[Column, bool]], *,
               tie_cols: Sequence[str] = ()) -> tuple[DataFrame, list[str]]:
     """Several as-of states of one log in a single aggregation.
 
-    ``bounds`` maps a name to ``(bound, inclusive)``.  Returns one row per key
+    ``bounds`` maps a name to ``(bound, inclusive)``; a ``None`` bound means
+    the latest state (no filter, so no scalar subquery scan).  Returns one row per key
     with a struct column per name holding that state's payload (NULL when the
     key has no version by then or its last version is a delete), and the
     payload column names.  One shuffle on the key, combined map-side."""
@@ -149,6 +150,9 @@ def states_at(log: DataFrame, key, bounds: Mapping[str, tuple[Column, bool]], *,
     ranked = F.struct(*[F.col(c) for c in head + rest])
     aggs = []
     for name, (bound, inclusive) in bounds.items():
+        if bound is None:
+            aggs.append(F.max(ranked).alias(f"_s_{name}"))
+            continue
         cond = F.col(commit_col) <= bound if inclusive else F.col(commit_col) < bound
         aggs.append(F.max(F.when(cond, ranked)).alias(f"_s_{name}"))
     out = log.groupBy(*keys).agg(*aggs)
@@ -160,9 +164,11 @@ def states_at(log: DataFrame, key, bounds: Mapping[str, tuple[Column, bool]], *,
     return out.select(*keys, *cols), payload
 
 
-def log_diff(log: DataFrame, key, old_bound: Column, new_bound: Column, **kw) -> DataFrame:
+def log_diff(log: DataFrame, key, old_bound: Column, new_bound: Column | None = None,
+             **kw) -> DataFrame:
     """``snapshot_diff(state_as_of(log, old), state_as_of(log, new))`` in one
-    aggregation and no join: both states come from the same log."""
+    aggregation and no join: both states come from the same log.
+    ``new_bound=None`` compares with the latest state."""
     keys = _keys(key)
     st, payload = states_at(log, key, {"o": (old_bound, True), "n": (new_bound, True)}, **kw)
     o, n = F.col("o"), F.col("n")

@@ -216,7 +216,7 @@ def q_changes_diff(spark, d):
     """C3 standard change stream between the T2 state and the current state."""
     log = tm.order_change_log(spark, d)
     return changes.log_diff(log, "order_id", F.lit(AS_OF_TIMESTAMP).cast("timestamp_ntz"),
-                            changes.last_commit(log), tie_cols=("source_file",))
+                            None, tie_cols=("source_file",))
 
 
 @register("restore_value")
