@@ -6,7 +6,7 @@ TPC-H-style tables, so every job's work grows with the tables:
 
 * POS lines   = lineitem ⋈ orders ⋈ customer ⋈ nation ⋈ region ⋈ part
 * IoT payload = events (+ nation for store names), nested into arrays of
-                events per (store, block of 16 event ids), each event with
+                the events of each block of 16 event ids, each event with
                 0–2 readings and 0–2 alerts
 * ERP orders  = lineitem ⋈ supplier ⋈ part ⋈ nation; ``order_id`` =
                 orderkey-linenumber repeats, so the upsert sees real updates
@@ -253,15 +253,16 @@ def iot_bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def build_iot_bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """``stg_json_iot`` rows: ``raw_payload`` VARIANT (array of ≤16 events),
-    ``source_file``, ``loaded_time``.  Group size is bounded by construction
-    (event ids are unique), so no payload can grow with a hot store."""
+    """``stg_json_iot`` rows: ``raw_payload`` VARIANT (array of the ≤16 events
+    of one block of event ids, any stores), ``source_file``, ``loaded_time``.
+    Group size is bounded by construction (event ids are unique), so no
+    payload can grow with a hot store."""
     ev = iot_events(spark, sf_dir)
-    files = ev.groupBy("store_id", "block").agg(F.collect_list("event").alias("events"))
+    files = ev.groupBy("block").agg(F.collect_list("event").alias("events"))
     return files.select(
         F.to_variant_object("events").alias("raw_payload"),
-        F.concat(F.lit("json/iot_events_store_"), F.col("store_id"), F.lit("_"),
-                 F.col("block").cast("string"), F.lit(".json")).alias("source_file"),
+        F.concat(F.lit("json/iot_events_batch_"), F.col("block").cast("string"),
+                 F.lit(".json")).alias("source_file"),
         F.current_timestamp().alias("loaded_time"))
 
 
