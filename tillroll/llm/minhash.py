@@ -159,20 +159,21 @@ def _across(buckets: DataFrame, sets: DataFrame, labels: DataFrame, best: bool)
     rows = buckets.join(labels, "node", "left").withColumn("component", F.coalesce("component", "node"))
     rows = written(rows, "open")
     per = rows.groupBy("bucket", "component").agg(F.count("*").alias("n"))
+    most = F.max(F.struct("n", "component"))
     major = per.groupBy("bucket").agg(
-        F.max(F.struct("n", "component"))["component"].alias("major"),
-        F.count("*").alias("parts"), F.sum("n").alias("all"))
+        most["component"].alias("major"), (F.sum("n") - most["n"]).alias("minors"), F.sum("n").alias("all"))
     # two members have met already; one component needs nothing
-    major = written(major.where("parts > 1 and all > 2")
-                    .withColumn("minors", F.col("all")), "major")
-    rows = rows.join(major, "bucket")
-    few = F.pmod(F.xxhash64("node"), F.ceil(F.col("all") / CHUNK)).cast("int")
-    spread = F.explode(F.sequence(F.lit(0), (F.ceil(F.col("all") / CHUNK) - 1).cast("int")))
-    minors = rows.where("component <> major").withColumn("i", few).withColumn("j", spread)
-    others = rows.withColumn("j", few).withColumn("i", spread)
-    # groups without a minor have nothing to compare
-    has = written(minors.select("bucket", "i").distinct(), "minors")
-    others = others.join(has, ["bucket", "i"], "left_semi")
+    rows = rows.join(written(major.where("minors > 0 and all > 2"), "major"), "bucket")
+
+    def chunk(size):
+        return F.pmod(F.xxhash64("node"), F.ceil(F.col(size) / CHUNK)).cast("int")
+
+    def chunks(size):
+        return F.explode(F.sequence(F.lit(0), (F.ceil(F.col(size) / CHUNK) - 1).cast("int")))
+
+    # block (i, j): the i-th chunk of the minors against the j-th of all
+    minors = rows.where("component <> major").withColumn("i", chunk("minors")).withColumn("j", chunks("all"))
+    others = rows.withColumn("j", chunk("all")).withColumn("i", chunks("minors"))
     cols = ["node", "component", F.xxhash64("bucket", "i", "j").alias("g")]
     work_rows = minors.select(*cols, F.lit(True).alias("minor")).union(
         others.select(*cols, F.lit(False).alias("minor")))

@@ -10,17 +10,35 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tillroll.llm import minhash
+from tillroll.llm import minhash, token_files, toxicity
 from tillroll.llm.common import read_table
 
 
+def tokenizer_path(name: str = "byte_bpe_50k.json") -> str:
+    """Where the installed public vocabulary files lie."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.classify(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
+
+
 def op4_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(read_table(spark, sf_dir, "documents"), k=2, percent=80)
 
 
+def op8_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    manifest = token_files.write_token_files(read_table(spark, sf_dir, "documents"), tokenizer_path(), end_id=2)
+    return token_files.read_token_files(manifest)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op1_toxicity": op1_toxicity,
         "op4_minhash": op4_minhash,
+        "op8_token_files": op8_token_files,
     }
 
 
@@ -31,7 +49,7 @@ WITH RECURSIVE w AS (
 s AS (
   SELECT doc_id, CASE WHEN len(ws) = 0 THEN []
                       WHEN len(ws) = 1 THEN [ws[1]]
-                      ELSE list_distinct(list_transform(range(1, len(ws)), i -> ws[i] || chr(32) || ws[i + 1])) END AS sh
+                      ELSE list_distinct([ws[i] || chr(32) || ws[i + 1] for i in range(1, len(ws))]) END AS sh
   FROM w),
 n AS (SELECT doc_id, len(sh) AS n_shingles FROM s),
 e AS (SELECT doc_id, unnest(sh) AS g FROM s),
