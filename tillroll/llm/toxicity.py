@@ -8,10 +8,10 @@ both dictionaries hold costs the same few bytes, so that differences of two or
 three bytes stand out, which they do not in windows of many random words.
 
 Only documents carry labels, and most words of a toxic document are ordinary.
-So the toxic dictionary is trained on words that, or whose beginnings, several
-toxic documents and no ordinary document of the sample have; a second round takes those of
-them that it really shortens, and moves ordinary words that it shortens by
-mistake into the ordinary samples.  The window threshold is the gain that one
+So the toxic dictionary is trained on words that, or whose beginnings, far more
+toxic than ordinary documents of the sample have, beyond chance; a second round takes those of
+them that it really shortens, and puts common ordinary words that it shortens by
+mistake into the ordinary samples again.  The window threshold is the gain that one
 in ten thousand windows of ordinary documents exceeds.  A document's score is
 a logistic function of its largest gain, its number of windows above the
 threshold and its length, calibrated on documents that the dictionaries have
@@ -39,12 +39,14 @@ from tillroll.llm import text as tx
 PER_CLASS, SAMPLE_CHARS = 3000, 10_000
 ORDINARY_BYTES, TOXIC_BYTES = 64 << 10, 4 << 10
 LEVEL, LEAST_GAIN = 19, 2
-#: A word is taken for the toxic dictionary if so many toxic documents, and this share of them, have it.
-SUPPORT, SUPPORT_SHARE = 3, 0.01
+#: So many toxic documents have to share a word or a beginning.
+SUPPORT = 3
+#: Ordinary words that this share of documents has are common.
+COMMON = 0.01
 REPEATED = 0.3
 WINDOW_BYTES, BATCH_BYTES = 64, 4 << 20
 #: Lengths in bytes at which words of toxic documents are compared: whole, and their beginnings.
-STEMS = (WINDOW_BYTES, 5, 4)
+STEMS = (WINDOW_BYTES, 8, 6, 5, 4)
 KEPT_WINDOWS = 1_000_000
 THRESHOLD = 0.3
 FRAME = b"a window of text: "
@@ -179,6 +181,19 @@ def _words(texts: list[str]) -> list[set[bytes]]:
     return found
 
 
+def _marks(n: int, m: int, toxic: int, ordinary: int, tried: int) -> bool:
+    """Whether n of the toxic and m of the ordinary documents are too uneven for chance.
+
+    Chernoff's bound on the count, against as many tries; and the share among
+    the toxic has to be nine times that among the ordinary.
+    """
+    if n * ordinary < 9 * m * toxic:
+        return False
+    share, usual = n / (n + m), toxic / (toxic + ordinary)
+    gap = share * np.log(share / usual) + (0 if share == 1 else (1 - share) * np.log((1 - share) / (1 - usual)))
+    return (n + m) * gap >= np.log(10 * tried)
+
+
 def dictionaries(toxic: list[str], ordinary: list[str]) -> tuple[bytes, bytes]:
     """The ordinary and the toxic dictionary of two lists of texts."""
     bad, good = _words(toxic), _words(ordinary)
@@ -186,18 +201,17 @@ def dictionaries(toxic: list[str], ordinary: list[str]) -> tuple[bytes, bytes]:
     plain = [w for words in good for w in sorted(words)]
     base = _trained(plain, ORDINARY_BYTES)
     picked = set()
-    for size in STEMS:  # whole words, then beginnings that several toxic words share
+    for size in STEMS:  # whole words, then beginnings that toxic words share
         whole = size == WINDOW_BYTES
-        usual = {w[:size] for w in known}
-        only = Counter(stem for words in bad for stem in
-                       {w[:size] for w in words if whole or len(w) > size} - usual)
-        support = max(SUPPORT, SUPPORT_SHARE * len(bad))
-        stems = {stem for stem, n in only.items() if n >= support}
+        on, off = (Counter(stem for words in texts for stem in {w[:size] for w in words if whole or len(w) > size})
+                   for texts in (bad, good))
+        stems = {stem for stem, n in on.items() if n >= SUPPORT and _marks(n, off[stem], len(bad), len(good), len(on))}
         picked |= {w for words in bad for w in words if w[:size] in stems}
     picked = picked or {w for words in bad for w in words if w not in known} or {w for words in bad for w in words}
     marked = _trained([w for words in bad for w in sorted(words & picked)], TOXIC_BYTES)
     gains = Gains(base, marked)
-    hard = sorted(w for w in known if gains.of(w) >= LEAST_GAIN)
+    often = max(SUPPORT, COMMON * len(good))
+    hard = sorted(w for w, n in known.items() if n >= often and gains.of(w) >= LEAST_GAIN)
     again = {w for w in picked if gains.of(w) >= LEAST_GAIN} or picked
     base = _trained(plain + hard * 20, ORDINARY_BYTES)
     return base, _trained([w for words in bad for w in sorted(words & again)], TOXIC_BYTES)
