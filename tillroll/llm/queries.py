@@ -9,8 +9,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tillroll.llm import minhash, token_files, toxicity
+from tillroll.llm import curriculum, minhash, token_files, toxicity
 from tillroll.llm.common import read_table
 
 
@@ -34,11 +35,17 @@ def op8_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.read_token_files(manifest)
 
 
+def op10_curriculum(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = curriculum.mix(read_table(spark, sf_dir, "documents"))
+    return rows.withColumn("position", F.round("position", 9))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_toxicity": op1_toxicity,
         "op4_minhash": op4_minhash,
         "op8_token_files": op8_token_files,
+        "op10_curriculum": op10_curriculum,
     }
 
 
@@ -67,6 +74,37 @@ SELECT n.doc_id, CAST(n.n_shingles AS BIGINT) AS n_shingles, c.component_id, n.d
 FROM n JOIN c USING (doc_id)
 """
 
+OP10 = r"""
+WITH d AS (
+  SELECT doc_id, source, CAST(len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS BIGINT) AS size,
+         md5(coalesce(CAST(doc_id AS VARCHAR), '')) AS o, coalesce(md5(text), '') AS tie FROM documents),
+s AS (SELECT source, CAST(sum(size) AS BIGINT) AS source_size FROM d GROUP BY source),
+n AS (SELECT *, (row_number() OVER (ORDER BY source ASC NULLS LAST) - 1) % 3 AS k FROM s),
+w AS (SELECT source, source_size, CAST(k + 1 AS DOUBLE) AS weight, 0.5 - 0.5 * k AS slope,
+             CAST(3 * source_size AS DOUBLE) AS most FROM n),
+f AS (SELECT *, sum(source_size) OVER () AS total,
+             coalesce(sum(most) OVER (ORDER BY most / weight, source ASC NULLS LAST
+                      ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS held_before,
+             sum(weight) OVER (ORDER BY most / weight, source ASC NULLS LAST
+                      ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS weight_left FROM w),
+l AS (SELECT *, (CAST(total AS DOUBLE) - held_before) / weight_left AS level FROM f),
+h AS (SELECT *, weight * level > most AS held FROM l),
+g AS (SELECT *, max(CASE WHEN NOT held THEN level END) OVER () AS common FROM h),
+t AS (SELECT source, source_size, slope,
+             coalesce(CASE WHEN held THEN most ELSE least(weight * common, most) END, 0.0) AS target FROM g),
+p AS (SELECT d.*, coalesce(CAST(sum(size) OVER (PARTITION BY source ORDER BY o, doc_id NULLS FIRST, tie, size
+                           ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS BIGINT), 0) AS start FROM d),
+j AS (SELECT p.doc_id, p.size, p.start, t.source_size, t.target, t.slope
+      FROM p JOIN t ON p.source IS NOT DISTINCT FROM t.source),
+k AS (SELECT *, CAST(floor(target) AS BIGINT) AS line FROM j),
+z AS (SELECT *, greatest(0, least(size, line - start)) + greatest(0, least(size, line - start - source_size))
+             + greatest(0, least(size, line - start - 2 * source_size)) AS taken, least(start / target, 1.0) AS share FROM k)
+SELECT doc_id, size, source_size, CAST(target AS DOUBLE) AS target, CAST(taken AS BIGINT) AS taken,
+       CASE WHEN taken > 0 THEN round(CASE WHEN slope = 0 THEN share
+            ELSE 2 * share / ((1 - slope) + sqrt(greatest((1 - slope) * (1 - slope) + 4 * slope * share, 0))) END, 9) END AS position
+FROM z
+"""
+
 
 def oracle_sql() -> dict[str, str]:
-    return {"op4_minhash": OP4}
+    return {"op4_minhash": OP4, "op10_curriculum": OP10}
