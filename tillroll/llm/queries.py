@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillroll.llm import curriculum, minhash, token_files, toxicity
+from tillroll.llm import curriculum, minhash, templates, token_files, toxicity
 from tillroll.llm.common import read_table
 
 
@@ -35,6 +35,10 @@ def op8_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.read_token_files(manifest)
 
 
+def op9_templates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return templates.contaminated(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
+
+
 def op10_curriculum(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = curriculum.mix(read_table(spark, sf_dir, "documents"))
     return rows.withColumn("position", F.round("position", 9))
@@ -45,6 +49,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op1_toxicity": op1_toxicity,
         "op4_minhash": op4_minhash,
         "op8_token_files": op8_token_files,
+        "op9_templates": op9_templates,
         "op10_curriculum": op10_curriculum,
     }
 
