@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillroll.llm import curriculum, minhash, templates, token_files, toxicity
+from tillroll.llm import curriculum, minhash, reputation, templates, token_files, toxicity, warc
 from tillroll.llm.common import read_table
 
 
@@ -26,10 +26,18 @@ def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.classify(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
 
 
+def op2_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.archived(read_table(spark, sf_dir, "pages"))
+
+
 def op4_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(read_table(spark, sf_dir, "documents"), k=2, percent=80)
 
 
+def op7_reputation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return reputation.judge(read_table(spark, sf_dir, "pages"), read_table(spark, sf_dir, "labels"))
+
+
 def op8_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     manifest = token_files.write_token_files(read_table(spark, sf_dir, "documents"), tokenizer_path(), end_id=2)
     return token_files.read_token_files(manifest)
@@ -47,7 +55,9 @@ def op10_curriculum(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_toxicity": op1_toxicity,
+        "op2_warc": op2_warc,
         "op4_minhash": op4_minhash,
+        "op7_reputation": op7_reputation,
         "op8_token_files": op8_token_files,
         "op9_templates": op9_templates,
         "op10_curriculum": op10_curriculum,
@@ -110,6 +120,53 @@ SELECT doc_id, size, source_size, CAST(target AS DOUBLE) AS target, CAST(taken A
 FROM z
 """
 
+OP2 = r"""
+WITH p AS (SELECT page_id, coalesce(html, '') AS html FROM pages),
+d AS (SELECT page_id, CAST(strlen(html) AS BIGINT) AS payload_bytes, sha256(html) AS payload_digest FROM p),
+f AS (SELECT payload_digest, min(page_id) AS first FROM d WHERE payload_bytes >= 100 GROUP BY 1)
+SELECT d.page_id, d.payload_bytes, d.payload_digest,
+       CASE WHEN d.page_id > f.first THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN d.page_id > f.first THEN f.first END AS refers_to
+FROM d LEFT JOIN f USING (payload_digest)
+"""
+
+OP7 = r"""
+WITH u AS (SELECT page_id, CASE WHEN position('://' IN url) > 0 THEN substr(url, position('://' IN url) + 3) ELSE '' END AS rest FROM pages),
+r AS (SELECT page_id, translate(regexp_extract(coalesce(rest, ''), '^([^/?#]*)', 1),
+             'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+             regexp_extract(coalesce(rest, ''), '^[^/?#]*([^?#]*)', 1) AS path FROM u),
+m AS (SELECT doc_id, max(CASE WHEN toxic > 0 OR quality < 1 THEN 1 ELSE 0 END) AS bad FROM labels
+      WHERE toxic IS NOT NULL OR quality IS NOT NULL GROUP BY 1),
+h AS (SELECT host, count(bad) AS n, coalesce(sum(bad), 0) AS k,
+             regexp_extract(host, '([^.]*[.])?[^.]*$') AS domain, regexp_extract(host, '[^.]*$') AS suffix
+      FROM r LEFT JOIN m ON m.doc_id = r.page_id GROUP BY host),
+d AS (SELECT domain, suffix, sum(n) AS n, sum(k) AS k FROM h GROUP BY 1, 2),
+s AS (SELECT suffix, sum(n) AS n, sum(k) AS k FROM d GROUP BY 1),
+g AS (SELECT (sum(k) + 0.5::DOUBLE) / (sum(n) + 1) AS prior FROM s),
+s1 AS (SELECT s.*, least(greatest(prior, 1e-6), 1 - 1e-6) AS p FROM s, g),
+s2 AS (SELECT count(*) AS c, sum(n) AS n, sum(n * n)::DOUBLE AS q, sum(n * (k / n - p) * (k / n - p) / (p * (1 - p))) AS v FROM s1 WHERE n > 0),
+s3 AS (SELECT least(greatest(coalesce(CASE WHEN c > 1 AND n - q / n - (c - 1) > 0 THEN (v - (c - 1)) / (n - q / n - (c - 1)) ELSE 0.1 END, 0.1), 0.001), 0.9) AS rho FROM s2),
+s4 AS (SELECT suffix, (k + (1 - rho) / rho * p) / (n + (1 - rho) / rho) AS mean FROM s1, s3),
+d1 AS (SELECT d.*, least(greatest(mean, 1e-6), 1 - 1e-6) AS p FROM d JOIN s4 USING (suffix)),
+d2 AS (SELECT count(*) AS c, sum(n) AS n, sum(n * n)::DOUBLE AS q, sum(n * (k / n - p) * (k / n - p) / (p * (1 - p))) AS v FROM d1 WHERE n > 0),
+d3 AS (SELECT least(greatest(coalesce(CASE WHEN c > 1 AND n - q / n - (c - 1) > 0 THEN (v - (c - 1)) / (n - q / n - (c - 1)) ELSE 0.1 END, 0.1), 0.001), 0.9) AS rho FROM d2),
+d4 AS (SELECT domain, (k + (1 - rho) / rho * p) / (n + (1 - rho) / rho) AS mean FROM d1, d3),
+h1 AS (SELECT h.*, least(greatest(mean, 1e-6), 1 - 1e-6) AS p FROM h JOIN d4 USING (domain)),
+h2 AS (SELECT count(*) AS c, sum(n) AS n, sum(n * n)::DOUBLE AS q, sum(n * (k / n - p) * (k / n - p) / (p * (1 - p))) AS v FROM h1 WHERE n > 0),
+h3 AS (SELECT least(greatest(coalesce(CASE WHEN c > 1 AND n - q / n - (c - 1) > 0 THEN (v - (c - 1)) / (n - q / n - (c - 1)) ELSE 0.1 END, 0.1), 0.001), 0.9) AS rho FROM h2),
+h4 AS (SELECT host, n + (1 - rho) / rho AS strength, (k + (1 - rho) / rho * p) / (n + (1 - rho) / rho) AS mean FROM h1, h3),
+v AS (SELECT host, CASE WHEN mean - 1.645 * sqrt(mean * (1 - mean) / (strength + 1)) > 0.25 THEN 'block' ELSE 'allow' END AS own FROM h4),
+x AS (SELECT r.*, CASE
+        WHEN (host = 'www.example.com' OR ends_with(host, '.www.example.com')) AND starts_with(path, '/en/') THEN 'www.example.com/en/'
+        WHEN (host = 'example.com' OR ends_with(host, '.example.com')) AND starts_with(path, '/en/') THEN 'example.com/en/'
+        WHEN (host = 'net' OR ends_with(host, '.net')) AND starts_with(path, '/es/') THEN 'net/es/'
+        WHEN (host = 'net' OR ends_with(host, '.net')) AND starts_with(path, '/fr/') THEN 'net/fr/'
+        WHEN (host = 'com' OR ends_with(host, '.com')) AND starts_with(path, '/') THEN 'com/' END AS rule FROM r)
+SELECT page_id, host, path, rule,
+       CASE WHEN rule IN ('com/', 'www.example.com/en/') THEN 'allow' WHEN rule IS NOT NULL THEN 'block' ELSE own END AS verdict
+FROM x JOIN v USING (host)
+"""
+
 
 def oracle_sql() -> dict[str, str]:
-    return {"op4_minhash": OP4, "op10_curriculum": OP10}
+    return {"op2_warc": OP2, "op4_minhash": OP4, "op7_reputation": OP7, "op10_curriculum": OP10}
