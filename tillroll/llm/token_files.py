@@ -17,8 +17,8 @@ Spark table, names the files that count, so a lost executor leaves nothing
 wrong behind.
 
 Texts are encoded line by line and word by word, with each worker keeping the
-ids of words it has met: the byte-level tokenizer never joins across a single
-blank or newline between two other characters.
+ids of words it has met: a byte-level tokenizer that splits like GPT-2's never joins
+across a single blank or newline between two other characters.
 """
 
 from __future__ import annotations
@@ -46,21 +46,37 @@ DICTIONARY_BYTES = 64 << 10
 SAMPLE_DOCS, SAMPLE_CHARS = 2000, 8000
 LEVEL = 3
 #: Words of which a worker keeps the ids; longer words are encoded each time.
-KEPT_WORDS, KEPT_LENGTH = 300_000, 48
+KEPT_WORDS, KEPT_LENGTH = 800_000, 48
 
 _LINE = re.compile(r"\n(?<=\S\n)(?=\S)")
 _WORD = re.compile(r" (?<=\S )(?=\S)")
 
 
+def _byte_letters() -> dict[int, str]:
+    """The byte-level alphabet: printable bytes stand for themselves, the others follow from 256 on."""
+    plain = {*range(33, 127), *range(161, 173), *range(174, 256)}
+    rest = iter(range(256, 512))
+    return {b: chr(b) if b in plain else chr(next(rest)) for b in range(256)}
+
+
 class WordIds(dict):
-    """Serialized ids of words, encoded when first met."""
+    """Serialized ids of words, encoded when first met.
 
-    def __init__(self, encode, prefix: str):
+    A word of Latin letters is one piece for the tokenizer, so its model is asked
+    directly; a point or comma after it is a piece of its own.
+    """
+
+    def __init__(self, encoder: Encoder, prefix: str):
         super().__init__()
-        self.encode, self.prefix = encode, prefix
+        self.encoder, self.prefix = encoder, prefix
 
     def __missing__(self, word: str) -> bytes:
-        found = self.encode(self.prefix + word)
+        if len(word) > 1 and word[-1] in ",." and word[:-1].isalpha() and max(word) < "\u0250":
+            return self[word[:-1]] + self.encoder.marks[word[-1]]
+        if word.isalpha() and max(word) < "\u0250":
+            found = self.encoder.letters(self.prefix + word)
+        else:
+            found = self.encoder.encode(self.prefix + word)
         if len(word) <= KEPT_LENGTH:
             if len(self) >= KEPT_WORDS:
                 self.clear()
@@ -76,15 +92,22 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        self.model = self.tokenizer.model
         largest = max(self.tokenizer.get_vocab_size(with_added_tokens=True) - 1, end_id)
         self.width = 2 if largest < 1 << 16 else 4
-        self.end = np.array([end_id], dtype=f"<u{self.width}").tobytes()
+        self.pack = [i.to_bytes(self.width, "little") for i in range(largest + 1)]
+        self.end = self.pack[end_id]
         self.newline = self.encode("\n")
-        self.first, self.later = WordIds(self.encode, ""), WordIds(self.encode, " ")
+        self.alphabet = _byte_letters()
+        self.marks = {c: self.encode(c) for c in ",."}
+        self.first, self.later = WordIds(self, ""), WordIds(self, " ")
+
+    def letters(self, piece: str) -> bytes:
+        spelt = piece.encode().decode("latin-1").translate(self.alphabet)
+        return b"".join([self.pack[t.id] for t in self.model.tokenize(spelt)])
 
     def encode(self, text: str) -> bytes:
-        ids = self.tokenizer.encode(text, add_special_tokens=False).ids
-        return np.array(ids, dtype=f"<u{self.width}").tobytes()
+        return b"".join([self.pack[i] for i in self.tokenizer.encode(text, add_special_tokens=False).ids])
 
     def line(self, line: str) -> bytes:
         words = _WORD.split(line)
