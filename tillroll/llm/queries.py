@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillroll.llm import curriculum, minhash, reputation, templates, token_files, toxicity, warc
+from tillroll.llm import curriculum, inner_product, minhash, reputation, templates, token_files, toxicity, warc
 from tillroll.llm.common import read_table
 
 
@@ -34,6 +34,10 @@ def op4_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(read_table(spark, sf_dir, "documents"), k=2, percent=80)
 
 
+def op5_inner_product(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return inner_product.search(read_table(spark, sf_dir, "embeddings"), every=100)
+
+
 def op7_reputation(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reputation.judge(read_table(spark, sf_dir, "pages"), read_table(spark, sf_dir, "labels"))
 
@@ -57,6 +61,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op1_toxicity": op1_toxicity,
         "op2_warc": op2_warc,
         "op4_minhash": op4_minhash,
+        "op5_inner_product": op5_inner_product,
         "op7_reputation": op7_reputation,
         "op8_token_files": op8_token_files,
         "op9_templates": op9_templates,
@@ -130,6 +135,17 @@ SELECT d.page_id, d.payload_bytes, d.payload_digest,
 FROM d LEFT JOIN f USING (payload_digest)
 """
 
+OP5 = r"""
+WITH e AS (SELECT vec_id, min([CAST(floor(1024 * CAST(x AS DOUBLE)) AS BIGINT) for x in embedding]) AS v FROM embeddings
+           WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+             AND len([1 for x in embedding if x IS NULL OR NOT isfinite(x)]) = 0 GROUP BY vec_id),
+s AS (SELECT q.vec_id AS query_id, c.vec_id,
+             CAST(list_inner_product(CAST(q.v AS DOUBLE[]), CAST(c.v AS DOUBLE[])) AS BIGINT) AS score
+      FROM e q JOIN e c ON q.vec_id % 100 = 0 AND q.vec_id <> c.vec_id)
+SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank, vec_id, score
+FROM s QUALIFY rank <= 10
+"""
+
 OP7 = r"""
 WITH u AS (SELECT page_id, CASE WHEN position('://' IN url) > 0 THEN substr(url, position('://' IN url) + 3) ELSE '' END AS rest FROM pages),
 r AS (SELECT page_id, translate(regexp_extract(coalesce(rest, ''), '^([^/?#]*)', 1),
@@ -169,4 +185,4 @@ FROM x JOIN v USING (host)
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op2_warc": OP2, "op4_minhash": OP4, "op7_reputation": OP7, "op10_curriculum": OP10}
+    return {"op2_warc": OP2, "op4_minhash": OP4, "op5_inner_product": OP5, "op7_reputation": OP7, "op10_curriculum": OP10}
