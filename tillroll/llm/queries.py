@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillroll.llm import curriculum, inner_product, minhash, reputation, templates, token_files, toxicity, warc
+from tillroll.llm import curriculum, inner_product, minhash, reputation, sanitise, templates, token_files, toxicity, warc
 from tillroll.llm.common import read_table
 
 
@@ -38,6 +38,10 @@ def op5_inner_product(spark: SparkSession, sf_dir: str) -> DataFrame:
     return inner_product.search(read_table(spark, sf_dir, "embeddings"), every=100)
 
 
+def op6_sanitise(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sanitise.report(read_table(spark, sf_dir, "documents"))
+
+
 def op7_reputation(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reputation.judge(read_table(spark, sf_dir, "pages"), read_table(spark, sf_dir, "labels"))
 
@@ -62,6 +66,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op2_warc": op2_warc,
         "op4_minhash": op4_minhash,
         "op5_inner_product": op5_inner_product,
+        "op6_sanitise": op6_sanitise,
         "op7_reputation": op7_reputation,
         "op8_token_files": op8_token_files,
         "op9_templates": op9_templates,
