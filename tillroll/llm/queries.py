@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillroll.llm import curriculum, inner_product, minhash, reputation, sanitise, templates, token_files, toxicity, warc
+from tillroll.llm import curriculum, inner_product, minhash, perplexity, reputation, sanitise, templates, token_files, toxicity, warc
 from tillroll.llm.common import read_table
 
 
@@ -30,6 +30,10 @@ def op2_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.archived(read_table(spark, sf_dir, "pages"))
 
 
+def op3_perplexity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return perplexity.classify(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
+
+
 def op4_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(read_table(spark, sf_dir, "documents"), k=2, percent=80)
 
@@ -64,6 +68,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_toxicity": op1_toxicity,
         "op2_warc": op2_warc,
+        "op3_perplexity": op3_perplexity,
         "op4_minhash": op4_minhash,
         "op5_inner_product": op5_inner_product,
         "op6_sanitise": op6_sanitise,
