@@ -14,8 +14,8 @@ them that it really shortens, and puts common ordinary words that it shortens by
 mistake into the ordinary samples again.  The window threshold is the gain that one
 in ten thousand windows of ordinary documents exceeds.  A document's score is
 a logistic function of its largest gain, its number of windows above the
-threshold and its length, calibrated on documents that the dictionaries have
-not seen.
+threshold and, if there are any, its length, calibrated on documents that the
+dictionaries have not seen; then the dictionaries are trained again on all.
 
 Fitting uses a bounded sample: ``PER_CLASS`` documents of each label, chosen by
 a hash of their id, of at most ``SAMPLE_CHARS`` characters each.  Scoring reads
@@ -132,7 +132,10 @@ class Model:
     weights: np.ndarray
 
     def features(self, column: pa.Array, gains: Gains | None = None) -> np.ndarray:
-        """Per text: largest gain, log of the windows above the threshold, log of all."""
+        """Per text: largest gain, log of the windows above the threshold, and log of all if there are such.
+
+        Without one, length says nothing: short clean texts and empty ones score alike.
+        """
         gains = gains or Gains(self.ordinary, self.toxic)
         out = np.zeros((len(column), 3))
         for lo, hi, data, starts, ends, of in windows(column):
@@ -140,8 +143,9 @@ class Model:
             best = np.zeros(hi - lo)
             np.maximum.at(best, of, g)
             out[lo:hi, 0] = best
-            out[lo:hi, 1] = np.log1p(np.bincount(of, g >= self.window_threshold, hi - lo))
-            out[lo:hi, 2] = np.log1p(np.bincount(of, minlength=hi - lo))
+            hits = np.bincount(of, g >= self.window_threshold, hi - lo)
+            out[lo:hi, 1] = np.log1p(hits)
+            out[lo:hi, 2] = np.log1p(np.bincount(of, minlength=hi - lo)) * (hits > 0)
         return out
 
     def score(self, column: pa.Array, gains: Gains | None = None) -> np.ndarray:
@@ -218,7 +222,7 @@ def dictionaries(toxic: list[str], ordinary: list[str]) -> tuple[bytes, bytes]:
 
 
 def fit(toxic: list[str], ordinary: list[str]) -> Model:
-    """Train on two thirds of each list, calibrate on the rest.
+    """Train on two thirds of each list, calibrate on the rest, then train the dictionaries on all.
 
     With one label missing, the score is constant: 0 without toxic documents.
     """
@@ -234,6 +238,7 @@ def fit(toxic: list[str], ordinary: list[str]) -> Model:
     x = model.features(pa.array(rest_t + rest_o, pa.string()), gains)
     y = np.array([1.0] * len(rest_t) + [0.0] * len(rest_o))
     model.weights = _logistic(x, y)
+    model.ordinary, model.toxic = dictionaries(toxic, ordinary)
     return model
 
 
