@@ -22,6 +22,8 @@ long texts take time in proportion to their length and no deep stack.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -45,6 +47,11 @@ CHUNK = 256
 _SPANS = "array<struct<start:int,end:int,value:string>>"
 
 
+def _let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of a value that is evaluated once, however often the body names it."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
 def _small_prefix(a: Column) -> Column:
     """0 and the running sums of a short array."""
     return F.aggregate(a, F.array(F.lit(0)), lambda acc, x: F.concat(acc, F.array(F.element_at(acc, -1) + x)))
@@ -54,22 +61,29 @@ def _prefix(a: Column) -> Column:
     """Sums of all earlier elements, for each; by chunks, so that long arrays stay linear."""
     last = F.greatest(F.floor((F.size(a) - 1) / CHUNK).cast("int"), F.lit(0))
     chunks = F.transform(F.sequence(F.lit(0), last), lambda c: F.slice(a, c * CHUNK + 1, F.lit(CHUNK)))
-    ahead = _small_prefix(F.transform(chunks, lambda c: F.aggregate(c, F.lit(0), lambda s, x: s + x)))
-    parts = F.transform(chunks, lambda c, i: F.transform(
-        F.slice(_small_prefix(c), F.lit(1), F.size(c)), lambda x: x + F.get(ahead, i)))
-    return F.flatten(parts)
+
+    def shifted(chunks, ahead):
+        return F.flatten(F.zip_with(chunks, F.slice(ahead, F.lit(1), F.size(chunks)), lambda c, before: F.transform(
+            F.slice(_small_prefix(c), F.lit(1), F.size(c)), lambda x: x + before)))
+
+    def sums(chunks):
+        return _small_prefix(F.transform(chunks, lambda c: F.aggregate(c, F.lit(0), lambda t, x: t + x)))
+
+    return _let(chunks, lambda c: _let(sums(c), lambda ahead: shifted(c, ahead)))
 
 
 def spans(text: Column, pattern: Column) -> Column:
     """Start, end (in characters) and value of the leftmost non-overlapping matches."""
-    values = F.regexp_extract_all(text, pattern, F.lit(0))
-    between = F.transform(F.split(text, pattern, -1), lambda p: F.length(p))
-    steps = F.transform(values, lambda v, i: F.get(between, i) + F.length(v))
-    ahead = _prefix(steps)
-    out = F.transform(values, lambda v, i: F.struct(
-        (F.get(ahead, i) + F.get(between, i)).alias("start"),
-        (F.get(ahead, i) + F.get(between, i) + F.length(v)).alias("end"), v.alias("value")))
-    return F.when(F.size(values) > 0, out).otherwise(F.array().cast(_SPANS))
+    def placed(values):
+        gaps = F.slice(F.transform(F.split(text, pattern, -1), lambda p: F.length(p)), F.lit(1), F.size(values))
+        return _let(gaps, lambda gap: _let(
+            _prefix(F.zip_with(gap, values, lambda g, v: g + F.length(v))),
+            lambda ahead: F.zip_with(F.zip_with(ahead, gap, lambda a, g: a + g), values, lambda start, v: F.struct(
+                start.alias("start"), (start + F.length(v)).alias("end"), v.alias("value")))))
+
+    none = F.array().cast(_SPANS)
+    return _let(F.regexp_extract_all(text, pattern, F.lit(0)),
+                lambda values: F.when(F.size(values) > 0, placed(values)).otherwise(none))
 
 
 def _digits(value: Column) -> Column:
@@ -108,9 +122,8 @@ def base_spans(kind: str) -> Column:
 
 
 def _words(piece: Column) -> Column:
-    """Lower-case words without outer punctuation, without digits and ``@``, of some letters."""
-    trimmed = F.transform(F.split(F.lower(piece), BLANKS), lambda w: F.regexp_replace(w, r"^[^\p{L}]+|[^\p{L}]+$", ""))
-    return F.filter(trimmed, lambda w: (F.length(w) >= LEAST_LETTERS) & w.rlike(r"^[\p{L}'-]+$"))
+    """Lower-case runs of letters, from some length on."""
+    return F.filter(F.split(F.lower(piece), r"[^\p{L}]+"), lambda w: F.length(w) >= LEAST_LETTERS)
 
 
 def _mention(text: Column, kind: str, s: Column) -> Column:
@@ -121,7 +134,8 @@ def _mention(text: Column, kind: str, s: Column) -> Column:
     before = F.split(F.rtrim(left), BLANKS)
     before = F.slice(before, F.greatest(F.size(before) - REACH + 1, F.lit(1)), F.lit(REACH))
     after = F.slice(F.split(F.ltrim(right), BLANKS), F.lit(1), F.lit(REACH))
-    near = F.concat_ws(" ", before, after)
+    # words with digits or an @ are likely data of their own
+    near = F.concat_ws(" ", F.filter(F.concat(before, after), lambda w: ~w.rlike("[0-9@]")))
     return F.struct(F.concat(F.lit(kind + ":"), F.lower(s["value"])).alias("entity"),
                     F.xxhash64(near).alias("context"), F.array_distinct(_words(near)).alias("terms"))
 
@@ -154,9 +168,9 @@ def revealing_terms(docs: DataFrame, base: DataFrame) -> DataFrame | None:
         return None
     words = docs.select(F.explode(F.array_distinct(_words(F.col("text")))).alias("term"))
     counts = words.join(wanted, "term", "left_semi").groupBy("term").agg(F.count("*").alias("dt"))
-    total = docs.agg(F.count("*").cast("double").alias("N"))  # one row
-    share = F.log(F.col("n") * F.col("N") / (F.col("dt") * F.col("dc"))) / F.log(F.col("N") / F.col("dc"))
-    scored = pairs.join(counts, "term").crossJoin(F.broadcast(total)).where("dc < N")
+    whole = docs.agg(F.count("*").cast("double").alias("total"))  # one row
+    share = F.log(F.col("n") * F.col("total") / (F.col("dt") * F.col("dc"))) / F.log(F.col("total") / F.col("dc"))
+    scored = pairs.join(counts, "term").crossJoin(F.broadcast(whole)).where("dc < total")
     scored = scored.groupBy("term").agg(F.max(share).alias("share"))
     return written(scored.where(F.col("share") >= GENERALISE), "terms")
 
@@ -231,10 +245,11 @@ def sanitised(docs: DataFrame) -> DataFrame:
     key = F.md5(F.coalesce("text", F.lit("")))
     rows = docs.join(places, docs["doc_id"].cast("long").eqNullSafe(places["_d"]) & (key == places["_k"]))
     # where the text goes on after each mark, whatever came before
-    upto = F.transform("_m", lambda m, i: F.array_max(F.transform(F.slice("_m", F.lit(1), i + 1), lambda x: x["end"])))
-    ends = F.concat(F.array(F.lit(0)), upto)
-    cut = F.transform("_m", lambda m, i: F.when(m["start"] >= F.get(ends, i), F.concat(
-        F.substr("text", F.get(ends, i) + 1, m["start"] - F.get(ends, i)), m["by"])).otherwise(""))
-    tail = F.substr("text", F.element_at(ends, -1) + 1, F.length("text"))
-    text = F.when(F.size("_m") == 0, F.col("text")).otherwise(F.concat(F.array_join(cut, ""), tail))
+    ends = F.aggregate("_m", F.array(F.lit(0)), lambda acc, m: F.concat(
+        acc, F.array(F.greatest(F.element_at(acc, -1), m["end"]))))
+    text = _let(ends, lambda at: F.concat(
+        F.array_join(F.zip_with("_m", F.slice(at, F.lit(1), F.size("_m")), lambda m, a: F.when(
+            m["start"] >= a, F.concat(F.substr(F.col("text"), a + 1, m["start"] - a), m["by"])).otherwise("")), ""),
+        F.substr(F.col("text"), F.element_at(at, -1) + 1, F.length("text"))))
+    text = F.when(F.size("_m") == 0, F.col("text")).otherwise(text)
     return rows.select(*(text.alias(c) if c == "text" else docs[c] for c in docs.columns))
