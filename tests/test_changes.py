@@ -105,3 +105,13 @@ def test_unbounded_latest_equals_last_commit_bound(spark):
     a = changes.log_diff(log, "order_id", old_b, changes.last_commit(log), tie_cols=("source_file",))
     b = changes.log_diff(log, "order_id", old_b, None, tie_cols=("source_file",))
     assert rows(a) == rows(b)
+
+
+def test_rows_without_a_key_keep_their_own_identity(spark):
+    from pyspark.sql import functions as F
+    log = spark.createDataFrame([(None, 1, "INSERT", "x"), (None, 2, "INSERT", "y"), (None, 3, "DELETE", "z"), (1, 1, "INSERT", "a"),
+                                 (1, 2, "INSERT", "b")], "id int, commit_ts int, action string, v string")
+    assert sorted(str(r.v) for r in changes.state_as_of(log, "id", F.lit(3)).collect()) == ["b", "x", "y"]
+    states, _ = changes.states_at(log, "id", {"c": (None, True), "e": (F.lit(1), True)})
+    assert sorted(str(r.c.v) for r in states.collect() if r.c) == ["b", "x", "y"]
+    assert sorted(str(r.e.v) for r in states.collect() if r.e) == ["a", "x"]

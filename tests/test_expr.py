@@ -51,3 +51,16 @@ def test_file_base_name_of_urls(spark):
                                 ("https://h.example.com/en/853/",), ("s3://b/json/x.json",)], "u string")
     got = [r[0] for r in df.select(file_base_name(F.col("u"))).collect()]
     assert got == ["25", "825", "853", "x.json"]
+
+
+def test_identity_tells_nulls_apart_and_sums_leave_nothing_out(spark):
+    from pyspark.sql import functions as F
+
+    from tillroll.functions import expr
+    df = spark.createDataFrame([("a", None, "b"), ("a", "b", None), ("a|", "", "b")], "x string, y string, z string")
+    assert len({r[0] for r in df.select(expr.file_identity("x", "y", "z")).collect()}) == 3
+    nums = spark.createDataFrame([("9007199254740993",), ("3.5",), ("x",)], "s string")
+    assert [r[0] for r in nums.select(expr.to_long_rounded("s")).collect()] == [9007199254740993, 4, None]
+    money = spark.createDataFrame([(1.5,), (1e31,), (None,)], "v double")
+    assert money.agg(expr.exact_sum("v")).first()[0] == 1e31
+    assert money.where("v < 2").agg(expr.exact_sum("v")).first()[0] == 1.5

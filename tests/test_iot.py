@@ -3,6 +3,9 @@ import json
 import os
 
 from conftest import SF001, rows
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
 from tillroll.plans import gold, silver, testmodel as tm
 from tillroll.sources import readers
 
@@ -65,11 +68,24 @@ def test_event_ts_parsed(spark, scratch):
     assert ts == ["2023-03-01 10:00:00", "2023-03-01 10:00:00", "2023-03-02 09:30:00"]
 
 
+def _fanout(pos: DataFrame, iot: DataFrame) -> DataFrame:
+    """The join of every line with every reading, to check the linear form against."""
+    t = pos.select("store_id", "store_name", "transaction_id", "total_orderline",
+                   F.to_date("transaction_date").alias("sale_date"))
+    s = iot.filter(gold._kg_unit(F.col("sensor_unit"))).select(
+        F.col("store_id").alias("_sid"), F.to_date("event_ts").alias("_d"), "sensor_value")
+    j = t.join(s, (F.col("store_id") == F.col("_sid")) & (F.col("sale_date") == F.col("_d")))
+    return (j.groupBy("store_id", "store_name", "sale_date")
+             .agg(gold.exact_sum("total_orderline").alias("total_revenue"),
+                  F.count_distinct("transaction_id").alias("unique_transactions"),
+                  F.avg("sensor_value").alias("avg_self_value")))
+
+
 def test_kg_join_rewrite_equals_fanout(spark):
     pos, iot = tm.pos_silver(spark, SF001), tm.iot_silver(spark, SF001)
     from tillroll.plans.catalog import present
     fast = present(gold.sales_kg_sensor(pos, iot))
-    slow = present(gold.sales_kg_sensor_fanout(pos, iot))
+    slow = present(_fanout(pos, iot))
     assert fast.count() > 0
     assert rows(fast) == rows(slow)
 

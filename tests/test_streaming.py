@@ -156,3 +156,34 @@ def test_processing_time_task_runs_only_with_new_data(spark, scratch):
         assert spark.read.parquet(silv).count() == 50 + second.count()
     finally:
         q.stop()
+
+
+def test_old_files_are_read_and_a_foreign_checkpoint_is_refused(spark, scratch):
+    import os
+    import time
+
+    import pytest
+    src, bronze, ck = f"{scratch}/src", f"{scratch}/bronze", f"{scratch}/ck"
+    os.makedirs(src)
+
+    def land(name, i, age=0):
+        line = f"{i},1,S,C,R,c,u,2023-01-05,10:00:00,sku,Tea,D,T,2,10.5,5,21,Cash,3"
+        with open(f"{src}/{name}.csv", "w") as f:
+            f.write(",".join(schemas.POS_CSV_FIELDS) + "\n" + line + "\n")
+        os.utime(f"{src}/{name}.csv", (time.time() - age,) * 2)
+
+    land("a", 1)
+    _run(pipes.pos_pipe(spark, src, bronze, f"{scratch}/q", ck))
+    land("b", 2, age=400 * 86400)
+    land("c", 3)
+    _run(pipes.pos_pipe(spark, src, bronze, f"{scratch}/q", ck))
+    assert sorted(r.transaction_id for r in spark.read.parquet(bronze).collect()) == ["1", "2", "3"]
+    with pytest.raises(RuntimeError):
+        pipes.pos_pipe(spark, src, bronze, f"{scratch}/q", f"{scratch}/other")
+
+
+def test_lakes_of_one_name_have_their_own_state(spark, scratch):
+    from tillroll import jobs
+    a, b = jobs.Lake(f"{scratch}/a"), jobs.Lake(f"{scratch}/b")
+    assert a.checkpoint(spark, "x") != b.checkpoint(spark, "x")
+    jobs.await_all(jobs.ingest(spark, a))  # nothing has landed: no folder is missed

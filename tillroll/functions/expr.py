@@ -26,9 +26,11 @@ def clamp_non_negative(x) -> Column:
 def to_long_rounded(x) -> Column:
     """Numeric/text → BIGINT rounding half away from zero (``'3.7'`` → 4).
 
-    Junk text and overflow give NULL instead of failing the load.
+    Junk text and overflow give NULL instead of failing the load.  The value
+    goes through DECIMAL, which holds every BIGINT exactly (a double does not
+    beyond 2**53).
     """
-    return F.round(_c(x).try_cast("double")).try_cast("bigint")
+    return F.round(_c(x).try_cast("decimal(38,18)")).try_cast("bigint")
 
 
 def to_double(x) -> Column:
@@ -83,7 +85,11 @@ EXACT_SUM_TYPE = "decimal(38,8)"
 
 
 def exact_sum(x) -> Column:
-    return F.sum(_c(x).cast(EXACT_SUM_TYPE)).cast("double")
+    """Exact sum of all values; if one does not fit the decimal (NaN, infinite, 1e30 and
+    beyond), the DOUBLE sum of all, so that no value is left out of a total."""
+    x = _c(x)
+    exact = x.try_cast(EXACT_SUM_TYPE)
+    return F.when(F.count(exact) == F.count(x), F.sum(exact).cast("double")).otherwise(F.sum(x.cast("double")))
 
 
 def file_base_name(path) -> Column:
@@ -103,5 +109,17 @@ def file_extension(name) -> Column:
 
 
 def file_identity(*parts) -> Column:
-    """Deterministic id of a landed file: md5 of its identifying parts."""
-    return F.md5(F.concat_ws("|", *[_c(p).cast("string") for p in parts]))
+    """Deterministic id of a landed file: md5 of its identifying parts.
+
+    Each part is written with its length, and NULL as a mark of its own, so that
+    different parts never give one text."""
+    marked = []
+    for p in parts:
+        s = _c(p).cast("string")
+        marked.append(F.coalesce(F.concat(F.length(s).cast("string"), F.lit(":"), s), F.lit("~")))
+    return F.md5(F.concat_ws("|", *marked))
+
+
+def file_path_id(host, path) -> Column:
+    """Id of a file by where it lies: md5 of host and path together; NULL if either is."""
+    return F.md5(F.concat(_c(host), _c(path)))

@@ -10,6 +10,7 @@ checkpoint folder.
 
 from __future__ import annotations
 
+import hashlib
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -50,7 +51,9 @@ class Lake:
         return f"{self.root}/gold/{t}"
 
     def checkpoint(self, spark: SparkSession, job: str) -> str:
-        return state_path(spark, "streams", self.name, job)
+        """Stream state of one job; each root has its own, whatever its name."""
+        of = hashlib.sha256(self.root.rstrip("/").encode()).hexdigest()[:16]
+        return state_path(spark, "streams", f"{self.name}-{of}", job)
 
 
 def ingest(spark: SparkSession, lake: Lake, trigger: str | None = None,
@@ -58,10 +61,14 @@ def ingest(spark: SparkSession, lake: Lake, trigger: str | None = None,
     """Pipes: CSV → ``stg_csv_transaction`` (+ quarantine), JSON →
     ``stg_json_iot``, ``*orders*.parquet`` → order log, ``*inventory*.parquet``
     → inventory."""
+    for stage in (lake.csv_stage, lake.json_stage, lake.parquet_stage):
+        p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(stage)  # nothing may have landed yet
+        p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).mkdirs(p)
     qs = pipes.pos_pipe(spark, lake.csv_stage, lake.bronze("pos"), lake.bronze("pos_quarantine"),
                         lake.checkpoint(spark, "pos_pipe"), trigger)
-    qs.append(pipes.json_pipe(spark, lake.json_stage, lake.bronze("iot"),
-                              lake.checkpoint(spark, "json_pipe"), json_layout, trigger))
+    qs += pipes.json_pipe(spark, lake.json_stage, lake.bronze("iot"),
+                          lake.checkpoint(spark, "json_pipe"), json_layout, trigger,
+                          lake.bronze("iot_quarantine"))
     qs.append(pipes.orders_pipe(spark, lake.parquet_stage, lake.bronze("orders"),
                                 lake.checkpoint(spark, "orders_pipe"), trigger))
     qs.append(pipes.inventory_pipe(spark, lake.parquet_stage, lake.bronze("inventory"),

@@ -25,20 +25,32 @@ def _keys(key) -> list[str]:
     return [key] if isinstance(key, str) else list(key)
 
 
+def _all_present(keys: Sequence[str]) -> Column:
+    out = F.col(keys[0]).isNotNull()
+    for k in keys[1:]:
+        out = out & F.col(k).isNotNull()
+    return out
+
+
 def state_as_of(log: DataFrame, key, bound: Column, *, commit_col: str = "commit_ts",
                 action_col: str = "action", inclusive: bool = True,
                 tie_cols: Sequence[str] = ()) -> DataFrame:
     """State of the table at ``bound``: for each key the last version committed
     at (or, with ``inclusive=False``, strictly before) the bound, dropped when
     that version is a delete.  ``bound`` may be a literal or a scalar subquery.
+    Rows with a NULL key part have no identity: each that is not a delete stays.
     """
     keys = _keys(key)
     cond = F.col(commit_col) <= bound if inclusive else F.col(commit_col) < bound
     upto = log.filter(cond)
     payload = [c for c in log.columns if c not in keys and c not in (commit_col, action_col)]
+    known = _all_present(keys)
+    loose = upto.filter(~known)
+    upto = upto.filter(known)
     latest = latest_per_key(upto, keys, [commit_col, *tie_cols, action_col],
                             columns=[*keys, commit_col, action_col, *payload])
-    return latest.filter(F.col(action_col) != ACTION_DELETE).select(*keys, *payload)
+    return latest.unionByName(loose.select(*latest.columns)).filter(
+        F.col(action_col) != ACTION_DELETE).select(*keys, *payload)
 
 
 def state_as_of_offset(log: DataFrame, key, seconds: int, *, anchor: Column | None = None,
@@ -142,20 +154,23 @@ def states_at(log: DataFrame, key, bounds: Mapping[str, tuple[Column, bool]], *,
     the latest state (no filter, so no scalar subquery scan).  Returns one row per key
     with a struct column per name holding that state's payload (NULL when the
     key has no version by then or its last version is a delete), and the
-    payload column names.  One shuffle on the key, combined map-side."""
+    payload column names.  One shuffle on the key, combined map-side.  A row with
+    a NULL key part has no identity and is a version of itself only."""
     keys = _keys(key)
     payload = [c for c in log.columns if c not in keys and c not in (commit_col, action_col)]
     head = [commit_col, *tie_cols, action_col]
     rest = [c for c in payload if c not in tie_cols]
     ranked = F.struct(*[F.col(c) for c in head + rest])
-    aggs = []
+    versions = {}
     for name, (bound, inclusive) in bounds.items():
         if bound is None:
-            aggs.append(F.max(ranked).alias(f"_s_{name}"))
+            versions[f"_s_{name}"] = ranked
             continue
         cond = F.col(commit_col) <= bound if inclusive else F.col(commit_col) < bound
-        aggs.append(F.max(F.when(cond, ranked)).alias(f"_s_{name}"))
-    out = log.groupBy(*keys).agg(*aggs)
+        versions[f"_s_{name}"] = F.when(cond, ranked)
+    known = _all_present(keys)
+    out = log.filter(known).groupBy(*keys).agg(*[F.max(v).alias(n) for n, v in versions.items()])
+    out = out.unionByName(log.filter(~known).select(*keys, *[v.alias(n) for n, v in versions.items()]))
     cols = []
     for name in bounds:
         s = F.col(f"_s_{name}")

@@ -24,7 +24,7 @@ def event_payload_as_array(payload: Column) -> Column:
     line (an object).  An object is wrapped so that ``FLATTEN`` yields the
     event itself instead of its fields."""
     is_obj = F.schema_of_variant(payload).startswith("OBJECT")
-    wrapped = F.parse_json(F.concat(F.lit("["), F.to_json(payload), F.lit("]")))
+    wrapped = F.to_variant_object(F.array(payload))
     return F.when(is_obj, wrapped).otherwise(payload)
 
 

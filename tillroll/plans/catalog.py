@@ -225,13 +225,13 @@ def q_restore_value(spark, d):
     WHERE order_id = t.order_id)`` applied to every current order."""
     log = tm.order_change_log(spark, d)
     last = changes.last_commit(log)
-    return changes.log_restore(log, "order_id", last, last, ["quantity_ordered"],
+    return changes.log_restore(log, "order_id", None, last, ["quantity_ordered"],
                                tie_cols=("source_file",))
 
 
 @register("conditional_update")
 def q_conditional_update(spark, d):
-    """P14 ``UPDATE pos SET discount_pct = 99 WHERE discount_pct < 10``."""
+    """Discounts under 10 become 99, as an update with a condition."""
     stg = tm.pos_staging(spark, d)
     return changes.update_where(stg, {"discount_pct": F.lit(99.0)}, F.col("discount_pct") < 10)
 
@@ -333,8 +333,7 @@ def q_pos_quarantine(spark, d):
 
 @register("json_flatten")
 def q_json_flatten(spark, d):
-    """J4 ``SELECT value FROM json_data, LATERAL FLATTEN(input => raw_data)``:
-    one row per event of every payload."""
+    """One row per event of every payload."""
     from tillroll.operators.flatten import flatten
     rows = flatten(spark, tm.iot_bronze(spark, d), "raw_payload")
     return rows.select("source_file",

@@ -166,20 +166,6 @@ def sales_kg_sensor(pos: DataFrame, iot: DataFrame) -> DataFrame:
              .orderBy(R("sale_date").desc_nulls_first(), R("store_name").asc_nulls_last()))
 
 
-def sales_kg_sensor_fanout(pos: DataFrame, iot: DataFrame) -> DataFrame:
-    """G9 exactly as published (many-to-many join, then aggregate).  Kept only
-    to check the linear form against; its cost is N×M per store-day."""
-    t = pos.select("store_id", "store_name", "transaction_id", "total_orderline",
-                   F.to_date("transaction_date").alias("sale_date"))
-    s = iot.filter(_kg_unit(R("sensor_unit"))).select(
-        R("store_id").alias("_sid"), F.to_date("event_ts").alias("_d"), "sensor_value")
-    j = t.join(s, (R("store_id") == R("_sid")) & (R("sale_date") == R("_d")))
-    return (j.groupBy("store_id", "store_name", "sale_date")
-             .agg(exact_sum("total_orderline").alias("total_revenue"),
-                  F.count_distinct("transaction_id").alias("unique_transactions"),
-                  F.avg("sensor_value").alias("avg_self_value")))
-
-
 # ------------------------------------------------------------------ G10
 def gross_margin(pos: DataFrame, erp: DataFrame) -> DataFrame:
     """G10 store × category margin.  ``erp.total_cost`` is the rounded
@@ -265,17 +251,18 @@ def quarter_change(pos: DataFrame) -> DataFrame:
     """G14 quarter-over-quarter: cart, units, revenue, transactions, customers
     per (year, quarter) and % change against the previous quarter.
 
-    The window has no partition key on purpose: it runs over the aggregated
-    quarters (a few rows per year of data), never over sales rows."""
+    Lines without a date form a row of their own (NULL year and quarter), so the
+    totals over all rows are those of all lines; it has no previous quarter and
+    is none.  The window runs over the aggregated quarters (a few rows per year
+    of data), never over sales rows."""
     d = F.to_date("transaction_date")
-    q = (pos.filter(R("transaction_date").isNotNull())
-            .groupBy(F.year(d).alias("year"), F.quarter(d).alias("quarter"))
+    q = (pos.groupBy(F.year(d).alias("year"), F.quarter(d).alias("quarter"))
             .agg(F.avg("total_orderline").alias("avg_cart"),
                  F.sum("quantity").alias("total_units"),
                  exact_sum("total_orderline").alias("total_revenue"),
                  F.count_distinct("transaction_id").alias("total_transactions"),
                  F.count_distinct("customer_id").alias("total_customers")))
-    w = Window.orderBy("year", "quarter")
+    w = Window.partitionBy(R("year").isNull()).orderBy("year", "quarter")
     metrics = ["avg_cart", "total_units", "total_revenue", "total_transactions",
                "total_customers"]
     return q.select("year", "quarter", *metrics,

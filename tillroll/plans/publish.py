@@ -19,11 +19,17 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
+def _clustered(df: DataFrame, partition_by: tuple[str, ...]) -> DataFrame:
+    """Rows of one partition value together, so that a date is a file or few instead
+    of one from every task; the rebalance splits days that are too large for one."""
+    return df.hint("rebalance", *partition_by) if partition_by else df
+
+
 def publish(df: DataFrame, path: str, partition_by: tuple[str, ...] = ()) -> None:
     """Full replace (``CREATE OR REPLACE TABLE … AS SELECT``).  The session
     default is dynamic partition overwrite (for day refreshes), so a full
     replace asks for static mode: partitions absent from ``df`` go away."""
-    w = df.write.mode("overwrite").option("partitionOverwriteMode", "static")
+    w = _clustered(df, partition_by).write.mode("overwrite").option("partitionOverwriteMode", "static")
     if partition_by:
         w = w.partitionBy(*partition_by)
     w.parquet(path)
@@ -43,7 +49,7 @@ def refresh_fact_days(spark: SparkSession, silver_all: DataFrame, new_batch: Dat
     touched = silver_all.join(days, F.to_date(F.col(date_col)).eqNullSafe(F.col("_d")),
                               "left_semi")
     fact = build(touched)
-    (fact.write.mode("overwrite")
+    (_clustered(fact, (partition_col,)).write.mode("overwrite")
          .option("partitionOverwriteMode", "dynamic")
          .partitionBy(partition_col).parquet(path))
 

@@ -114,19 +114,12 @@ def stored_feed(spark: SparkSession, sf_dir: str, name: str, build) -> DataFrame
     return _FEED_FRAMES[memo]
 
 
-def fact_table(spark: SparkSession, sf_dir: str, name: str, columns: list[str],
-               key) -> DataFrame:
-    """A fact table's needed columns, spread if under-split on a unique
-    ``key`` (so a hot business key cannot fill one partition)."""
-    return read_columns(spark, f"{sf_dir}/{name}.parquet", columns, spread_key=key)
-
-
 # ---------------------------------------------------------------- POS feed
 def pos_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     """POS lines in the 19-field CSV layout (date and time as text)."""
-    li = fact_table(spark, sf_dir, "lineitem", [
+    li = read_columns(spark, f"{sf_dir}/lineitem.parquet", [
         "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity",
-        "l_extendedprice", "l_discount", "l_tax", "l_returnflag"], ["l_orderkey", "l_linenumber"])
+        "l_extendedprice", "l_discount", "l_tax", "l_returnflag"])
     o = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate",
                                               "o_orderpriority")
     c = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey", "c_acctbal")
@@ -207,9 +200,8 @@ def _unit(idx):
 
 def iot_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One nested event struct per ``events`` row (plus grouping columns)."""
-    ev = fact_table(spark, sf_dir, "events", [
-        "event_id", "ts", "user_id", "event_type", "value", "props"], "event_id"
-    ).withColumn("k", F.get_json_object("props", "$.k").cast("int")).drop("props")
+    ev = read_columns(spark, f"{sf_dir}/events.parquet", [
+        "event_id", "ts", "user_id", "event_type", "value", "props"]).withColumn("k", F.get_json_object("props", "$.k").cast("int")).drop("props")
     n = table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
     ev = ev.join(n, (F.col("user_id") % STORE_COUNT) == F.col("n_nationkey"))
     k = F.col("k")
@@ -282,9 +274,9 @@ def erp_bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
 def build_erp_bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``iot_raw_bronze`` (the ERP order log): one row per order version.
     ``loaded_time`` = ship day (UTC midnight), so later days overwrite."""
-    li = fact_table(spark, sf_dir, "lineitem", [
+    li = read_columns(spark, f"{sf_dir}/lineitem.parquet", [
         "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity",
-        "l_extendedprice", "l_returnflag", "l_linestatus", "l_shipdate"], ["l_orderkey", "l_linenumber"])
+        "l_extendedprice", "l_returnflag", "l_linestatus", "l_shipdate"])
     s = table(spark, sf_dir, "supplier").select("s_suppkey", "s_name", "s_nationkey")
     p = table(spark, sf_dir, "part").select("p_partkey", "p_type", "p_retailprice")
     n = table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
@@ -368,8 +360,7 @@ def build_landing_listing(spark: SparkSession, sf_dir: str) -> DataFrame:
     Drive (JSON feed) ← events, FTP (CSV/Parquet feed) ← orders and web-page
     names.  Columns: ``feed, file_ref, file_name, length, modified_at``."""
     from tillroll.functions.expr import file_base_name
-    ev = fact_table(spark, sf_dir, "events", ["event_id", "user_id", "event_type", "value", "ts"],
-                    "event_id")
+    ev = read_columns(spark, f"{sf_dir}/events.parquet", ["event_id", "user_id", "event_type", "value", "ts"])
     drive = ev.select(
         F.lit("drive").alias("feed"),
         F.concat(F.lit("drv-"), F.col("event_id").cast("string")).alias("file_ref"),

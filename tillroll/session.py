@@ -8,6 +8,7 @@ same code runs under ``spark-submit`` and in local tests.
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -56,13 +57,15 @@ def build_session(master: str | None = None, app: str = "tillroll",
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
-    Jobs that cut lineage or keep stream state write below it.  Only when the
-    session has none (local tests) is a scratch folder created and set.
+    Jobs that cut lineage or keep stream state write below it.  A cluster has to
+    name one; only a one-machine session (``local[...]``, as in tests) without
+    the setting gets a folder of its application in the temporary directory.
     """
     d = spark.conf.get("spark.checkpoint.dir", None)
     if not d:
-        d = tempfile.mkdtemp(prefix="tillroll-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", d)
+        if not re.match(r"local(\[|$)", spark.sparkContext.master):
+            raise RuntimeError("set spark.checkpoint.dir to a folder on shared storage")
+        d = os.path.join(tempfile.gettempdir(), f"tillroll-ckpt-{spark.sparkContext.applicationId}")
     if spark.sparkContext.getCheckpointDir() is None:
         spark.sparkContext.setCheckpointDir(d)
     return d

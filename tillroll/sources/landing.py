@@ -72,9 +72,10 @@ def classify(listing: DataFrame, run_day: Column) -> DataFrame:
     accepted = _feed_case(R("feed"), {k: ext.isin(v) for k, v in ACCEPTED.items()})
     day = F.date_format(run_day, "yyyy-MM-dd")
     key = _feed_case(R("feed"), {
-        FEED_DRIVE: F.concat_ws("/", F.lit("json"), day, R("file_name")),
-        FEED_FTP: F.concat_ws("/", F.lit("ftp"), F.regexp_replace(ext, r"\.", ""), day,
-                              R("file_name")),
+        # strict: without a day there is no key
+        FEED_DRIVE: F.concat(F.lit("json/"), day, F.lit("/"), R("file_name")),
+        FEED_FTP: F.concat(F.lit("ftp/"), F.regexp_replace(ext, r"\.", ""), F.lit("/"), day,
+                           F.lit("/"), R("file_name")),
     })
     return listing.select(
         "*", ext.alias("extension"), accepted.alias("accepted"),
@@ -97,11 +98,14 @@ def mark_existing(classified: DataFrame, store_keys: DataFrame, key: str = "land
 
     A left join on the key against the *distinct* store keys (so a file row
     cannot fan out); the store listing may be any size, the join shuffles on
-    the key or broadcasts it when AQE measures it small."""
+    the key or broadcasts it when AQE measures it small.  Files without a key
+    (rejected ones) stay out of the join: all of them would meet in one task."""
     keys = store_keys.select(R(store_key).alias("_k")).distinct().withColumn("_hit", F.lit(True))
-    j = classified.join(keys, classified[key] == R("_k"), "left")
-    return j.select(*[classified[c] for c in classified.columns],
-                    F.coalesce(R("_hit"), F.lit(False)).alias("already_exists"))
+    keyed = classified.filter(R(key).isNotNull())
+    j = keyed.join(keys, keyed[key] == R("_k"), "left")
+    j = j.select(*[keyed[c] for c in classified.columns],
+                 F.coalesce(R("_hit"), F.lit(False)).alias("already_exists"))
+    return j.unionByName(classified.filter(R(key).isNull()).withColumn("already_exists", F.lit(False)))
 
 
 def _updated_at_text(ts: Column) -> Column:
@@ -112,7 +116,7 @@ def _updated_at_text(ts: Column) -> Column:
 
 
 def _epoch_text(ts: Column) -> Column:
-    """``datetime.timestamp()`` as text: seconds '.' micros."""
+    """Seconds since the epoch, a point and always six digits of microseconds."""
     us = F.unix_micros(ts.cast("timestamp"))
     secs = F.floor(us / 1_000_000).cast("bigint")
     frac = us - secs * 1_000_000

@@ -1,9 +1,10 @@
 """File formats of the three feeds, batch and streaming, with lineage.
 
-* JSON (sensor events) → VARIANT payload per file (outer array kept as one
-  value) or per line (one event per line).  ``multiLine`` parses a whole file
-  as one value and would silently read only the first object of a
-  line-delimited file, so the layout is an explicit choice.
+* JSON (sensor events) → one VARIANT payload per event, whether a file holds an
+  outer array or one event per line (the layout is an explicit choice:
+  ``multiLine`` would silently read only the first object of a line-delimited
+  file).  The reader cuts an array into its events, so no file becomes one value;
+  what does not parse goes to a quarantine with its file.
 * CSV (POS lines) → 19 text fields bound by position, header skipped,
   optional ``"`` quoting.  PERMISSIVE parsing with a corrupt-record column:
   short/long rows and unparsable numbers go to a quarantine dataset, good
@@ -25,6 +26,7 @@ from pyspark.sql.streaming import DataStreamReader
 from pyspark.sql.types import StringType, StructField, StructType
 
 from tillroll import schemas
+from tillroll.functions.expr import to_long_rounded
 from tillroll.plans import silver
 
 CORRUPT = "_corrupt_record"
@@ -40,43 +42,55 @@ def _lineage() -> list[Column]:
             F.current_timestamp().alias("loaded_time")]
 
 
+# A file counts as new however old it is: the source's own limit of a week would leave
+# late deliveries out.  A back-fill runs in batches of so many files.
+MAX_FILE_AGE = "36500d"
+MAX_FILES_PER_TRIGGER = 1000
+
+
 def _reader(spark: SparkSession, stream: bool) -> DataFrameReader | DataStreamReader:
-    return spark.readStream if stream else spark.read
+    if not stream:
+        return spark.read
+    return (spark.readStream.option("maxFileAge", MAX_FILE_AGE)
+            .option("maxFilesPerTrigger", MAX_FILES_PER_TRIGGER))
 
 
 # ---------------------------------------------------------------- JSON
-def json_payload_reader(spark: SparkSession, layout: str = "array", stream: bool = False,
-                        max_files_per_trigger: int | None = None):
-    """Reader for the JSON stage: one VARIANT ``raw_payload`` per file
-    (``layout='array'``) or per line (``layout='lines'``)."""
+def _layout(layout: str) -> bool:
     if layout not in ("array", "lines"):
         raise ValueError("layout must be 'array' or 'lines'")
-    r = (_reader(spark, stream).format("json")
-         .option("singleVariantColumn", "raw_payload")
-         .option("recursiveFileLookup", "true")
-         .option("multiLine", layout == "array"))
-    if stream and max_files_per_trigger:
-        r = r.option("maxFilesPerTrigger", max_files_per_trigger)
-    return r
-
-
-def read_json_payload(spark: SparkSession, path: str, layout: str = "array",
-                      stream: bool = False) -> DataFrame:
-    """``stg_json_iot`` rows ``raw_payload, source_file, loaded_time``."""
-    df = json_payload_reader(spark, layout, stream).load(path)
-    return df.select("raw_payload", *_lineage())
+    return layout == "array"
 
 
 def read_json_events_typed(spark: SparkSession, path: str, layout: str = "array",
                            stream: bool = False) -> DataFrame:
-    """Typed path: the reader splits an outer array into one row per event
-    (``schemas.IOT_EVENT``), so a large file becomes many rows in the task
-    that parses it; then ``silver.flatten_iot_typed``."""
-    r = (_reader(spark, stream).format("json").schema(schemas.IOT_EVENT)
-         .option("recursiveFileLookup", "true").option("multiLine", layout == "array"))
+    """One row per event (``schemas.IOT_EVENT``) with its lineage; what does not
+    parse, a whole file or an event, is a row with only ``_corrupt_record``."""
+    schema = StructType([*schemas.IOT_EVENT.fields, StructField(CORRUPT, StringType(), True)])
+    r = (_reader(spark, stream).format("json").schema(schema)
+         .option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", CORRUPT)
+         .option("recursiveFileLookup", "true").option("multiLine", _layout(layout)))
     return r.load(path).select("*", *_lineage())
 
 
+def split_json(events: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(``raw_payload, source_file, loaded_time`` of each event; quarantined records
+    ``record, event_id, reason, source_file, loaded_time``)."""
+    fields = [f.name for f in schemas.IOT_EVENT.fields]
+    good = events.filter(F.col(CORRUPT).isNull()).select(
+        F.to_variant_object(F.struct(*fields)).alias("raw_payload"), "source_file", "loaded_time")
+    bad = events.filter(F.col(CORRUPT).isNotNull()).select(
+        F.col(CORRUPT).alias("record"), "event_id", F.lit("malformed_json").alias("reason"),
+        "source_file", "loaded_time")
+    return good, bad
+
+
+def read_json_payload(spark: SparkSession, path: str, layout: str = "array",
+                      stream: bool = False) -> DataFrame:
+    """``stg_json_iot`` rows ``raw_payload, source_file, loaded_time``, one per event."""
+    return split_json(read_json_events_typed(spark, path, layout, stream))[0]
+
+
 # ---------------------------------------------------------------- CSV
 def pos_csv_reader(spark: SparkSession, stream: bool = False):
     schema = StructType(list(schemas.POS_CSV_TEXT.fields)
@@ -93,17 +107,20 @@ def read_pos_csv(spark: SparkSession, path: str, stream: bool = False) -> DataFr
         *schemas.POS_CSV_FIELDS, CORRUPT, *_lineage())
 
 
-_NUMERIC = {"quantity": "double", "unit_price": "double", "discount_pct": "double",
-            "total_amount": "double", "loyalty_points": "double"}
+_NUMERIC = ("quantity", "unit_price", "discount_pct", "total_amount", "loyalty_points")
+# Numbers from here on, and those that are not finite, are not staged: sums of money
+# stay exact, and whole numbers fit a BIGINT.
+OUT_OF_RANGE = 1e15
 
 
 def quarantine_reason(raw: DataFrame) -> Column:
-    """Why a raw POS row cannot be staged: malformed line, unparsable number,
-    or unparsable date/time.  NULL for good rows."""
+    """Why a raw POS row cannot be staged: malformed line, a number that does not
+    parse, is not finite or out of range, or unparsable date/time.  NULL for good rows."""
     reasons = [F.when(F.col(CORRUPT).isNotNull(), F.lit("malformed_row"))]
-    for c, t in _NUMERIC.items():
-        reasons.append(F.when(F.col(c).isNotNull() & F.col(c).try_cast(t).isNull(),
-                              F.lit(f"bad_{c}")))
+    for c in _NUMERIC:
+        number = F.col(c).try_cast("double")
+        fits = number.isNotNull() & ~F.isnan(number) & (F.abs(number) < OUT_OF_RANGE)
+        reasons.append(F.when(F.col(c).isNotNull() & ~fits, F.lit(f"bad_{c}")))
     ts_text = F.concat(F.col("transaction_date"), F.lit(" "), F.col("transaction_time"))
     reasons.append(F.when(F.col("transaction_date").isNotNull()
                           & F.col("transaction_time").isNotNull()
@@ -128,7 +145,7 @@ def typed_pos_raw(raw: DataFrame) -> DataFrame:
         t = f.dataType.simpleString()
         c = F.col(f.name)
         if t == "bigint":
-            out.append(F.round(c.try_cast("double")).try_cast("bigint").alias(f.name))
+            out.append(to_long_rounded(c).alias(f.name))
         else:
             out.append(c.try_cast(t).alias(f.name))
     return raw.select(*out, "source_file", "loaded_time")
@@ -181,32 +198,41 @@ def conform(df: DataFrame, schema: StructType, keep: tuple[str, ...] = ()) -> Da
         t = f.dataType.simpleString()
         if f.name in have:
             c = F.col(f.name)
-            c = F.round(c.try_cast("double")).try_cast(t) if t == "bigint" else c.try_cast(t)
+            c = to_long_rounded(c) if t == "bigint" else c.try_cast(t)
         else:
             c = F.lit(None).cast(t)
         out.append(c.alias(f.name))
     return renamed.select(*out, *keep)
 
 
-def read_parquet_batches(spark: SparkSession, files: list[str], schema: StructType,
-                         group_by: str = "file") -> DataFrame:
-    """Files whose column names, order or widths differ per batch: files are
-    grouped by their footer schema (metadata only), each group is read once
-    and conformed, and the groups are unioned by name.
-
-    ``group_by='folder'`` trusts that all files of one folder (one delivery)
-    share a layout: one footer is read per folder instead of per file."""
-    if group_by not in ("file", "folder"):
-        raise ValueError("group_by must be 'file' or 'folder'")
-    units: dict[str, list[str]] = {}
-    for f in files:
-        unit = f.rsplit("/", 1)[0] if group_by == "folder" else f
-        units.setdefault(unit, []).append(f)
-    groups: dict[str, list[str]] = {}
-    for members in units.values():
-        groups.setdefault(spark.read.parquet(members[0]).schema.json(), []).extend(members)
+def _layouts(spark: SparkSession, files: list[str]) -> list[list[str]]:
+    """Files grouped by the schema in their footers, which tasks read."""
+    import pandas as pd
+
+    def footers(batches):
+        import pyarrow.fs as pafs
+        import pyarrow.parquet as pq
+        for batch in batches:
+            found = []
+            for path in batch["path"]:
+                store, inner = pafs.FileSystem.from_uri(path if "://" in path else f"file://{path}")
+                with store.open_input_file(inner) as f:
+                    found.append((path, pq.read_schema(f).remove_metadata().to_string()))
+            yield pd.DataFrame(found, columns=["path", "layout"])
+
+    paths = spark.createDataFrame([(f,) for f in files], "path string")
+    paths = paths.repartition(max(1, min(len(files), 200)), "path")
+    rows = paths.mapInPandas(footers, "path string, layout string")
+    return [sorted(r["files"]) for r in
+            rows.groupBy("layout").agg(F.collect_list("path").alias("files")).collect()]
+
+
+def read_parquet_batches(spark: SparkSession, files: list[str], schema: StructType) -> DataFrame:
+    """Files whose column names, order or widths differ: files are grouped by the
+    schema of their own footers, each group is read once and conformed, and the
+    groups, as many as there are layouts, are unioned by name."""
     out = None
-    for paths in groups.values():
+    for paths in _layouts(spark, files):
         raw = spark.read.parquet(*paths)
         raw = raw.select("*", F.col("_metadata.file_path").alias("source_file"))
         part = conform(raw, schema, keep=("source_file",))

@@ -1,15 +1,4 @@
-"""Reading declared tables for the jobs.
-
-``read_columns`` selects only the needed columns (the scan's ``ReadSchema``
-is pruned to them) and spreads an under-split scan: a file written as a
-single row group is one task no matter how large, which serialises every
-map-side operator stacked on it (joins, expand, partial aggregation).  When
-the scan yields fewer splits than the session's parallelism, the rows are
-hash-partitioned on a natural key (deterministic under task retry, and a
-later join/aggregate on that key can reuse the partitioning).  On a cluster
-reading many files the scan already has more splits than cores and nothing
-is added.
-"""
+"""Reading declared tables for the jobs."""
 
 from __future__ import annotations
 
@@ -18,26 +7,6 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 
 
-def scan_splits(df: DataFrame) -> int:
-    """Number of input partitions of a scan (planning only, no job)."""
-    return df.rdd.getNumPartitions()
-
-
-def spread(df: DataFrame, key: Sequence[str] | str | None = None) -> DataFrame:
-    spark = df.sparkSession
-    target = spark.sparkContext.defaultParallelism
-    if scan_splits(df) >= target:
-        return df
-    if key is None:
-        return df.repartition(target)
-    keys = [key] if isinstance(key, str) else list(key)
-    return df.repartition(target, *keys)
-
-
-def read_columns(spark: SparkSession, path: str, columns: Sequence[str],
-                 spread_key: Sequence[str] | str | None = None,
-                 spread_rows: bool = False) -> DataFrame:
-    df = spark.read.parquet(path).select(*columns)
-    if spread_rows or spread_key is not None:
-        df = spread(df, spread_key)
-    return df
+def read_columns(spark: SparkSession, path: str, columns: Sequence[str]) -> DataFrame:
+    """Only the needed columns: the scan's ``ReadSchema`` is pruned to them."""
+    return spark.read.parquet(path).select(*columns)

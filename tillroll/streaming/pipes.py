@@ -28,9 +28,23 @@ def _trigger(writer, trigger: str | None):
     return writer.trigger(processingTime=trigger)
 
 
+def _exists(spark: SparkSession, path: str) -> bool:
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
+
+
+def check_sink(spark: SparkSession, path: str, checkpoint: str) -> None:
+    """Refuse a sink that another checkpoint has written: its batch numbers would be
+    taken for ones already committed, and new files would be lost without a word."""
+    if _exists(spark, f"{path}/_spark_metadata") and not _exists(spark, f"{checkpoint}/offsets"):
+        raise RuntimeError(f"{path} was written with another checkpoint than {checkpoint}; "
+                           "restore that one, or start with an empty folder")
+
+
 def to_parquet(df: DataFrame, path: str, checkpoint: str, trigger: str | None = None,
                name: str | None = None, partition_by: tuple[str, ...] = ()) -> StreamingQuery:
     """Append a streaming DataFrame to a parquet dataset (exactly-once sink)."""
+    check_sink(df.sparkSession, path, checkpoint)
     w = (df.writeStream.format("parquet").option("path", path)
          .option("checkpointLocation", checkpoint).outputMode("append"))
     if partition_by:
@@ -65,10 +79,15 @@ def pos_pipe(spark: SparkSession, source: str, bronze: str, quarantine: str,
 
 
 def json_pipe(spark: SparkSession, source: str, bronze: str, checkpoint: str,
-              layout: str = "array", trigger: str | None = None) -> StreamingQuery:
-    """JSON stage → ``stg_json_iot`` (VARIANT payload + lineage)."""
-    df = readers.read_json_payload(spark, source, layout, stream=True)
-    return to_bronze(df, bronze, checkpoint, trigger, "json_pipe")
+              layout: str = "array", trigger: str | None = None,
+              quarantine: str | None = None) -> list[StreamingQuery]:
+    """JSON stage → ``stg_json_iot`` (a VARIANT payload per event + lineage) and a
+    quarantine (default: beside the bronze folder) of what does not parse."""
+    good, _ = readers.split_json(readers.read_json_events_typed(spark, source, layout, stream=True))
+    _, bad = readers.split_json(readers.read_json_events_typed(spark, source, layout, stream=True))
+    return [to_bronze(good, bronze, f"{checkpoint}/good", trigger, "json_pipe"),
+            to_bronze(bad, quarantine or f"{bronze}_quarantine", f"{checkpoint}/bad", trigger,
+                      "json_quarantine")]
 
 
 def orders_pipe(spark: SparkSession, source: str, bronze: str, checkpoint: str,
