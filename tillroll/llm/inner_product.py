@@ -145,10 +145,9 @@ def search(table: DataFrame, every: int = 100) -> DataFrame:
     head = vectors.orderBy(*order).limit(HEAD).select("vec_id", "v").toArrow()  # HEAD vectors
     ranked = vectors.repartitionByRange(blocks, *order).withColumn("block", F.spark_partition_id())
     ranked = written(ranked, "ranked")
-    # a row per block
-    tops = F.array(*(F.struct(F.lit(r["block"]).alias("block"), F.lit(r["top"]).alias("top")) for r in
-                     ranked.groupBy("block").agg(F.max("norm2").alias("top")).orderBy("block").collect()) or
-                   [F.struct(F.lit(0).alias("block"), F.lit(0).alias("top"))])
+    longest = ranked.groupBy("block").agg(F.max("norm2").alias("top")).orderBy("block").collect()  # a row per block
+    tops = F.array(*[F.struct(F.lit(b).alias("block"), F.lit(t).cast("long").alias("top"))
+                     for b, t in longest or [(0, 0)]])
     shared = spark.sparkContext.broadcast((
         turn, head.column("vec_id").to_numpy().astype(np.int64), _matrix(head.column("v").combine_chunks(), width)))
 

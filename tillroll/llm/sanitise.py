@@ -11,8 +11,8 @@ with the documents that have t near c, all documents, and those that hold t
 and c anywhere.  PMI / IC is 1 if t never comes without c.  Terms from
 ``GENERALISE`` on are generalised and from ``REMOVE`` on removed, wherever they
 stand, also in documents without the entity.  Only terms seen near the entity
-in ``SUPPORT`` different contexts count, so that copies of one passage are no
-evidence.
+in ``SUPPORT`` different contexts (the nearest words on each side) count, so that
+copies of one passage are no evidence.
 
 Positions come from the pieces between the matches, whose lengths are summed
 up.  Patterns use possessive quantifiers, and look back where a run of
@@ -39,6 +39,8 @@ PATTERNS = {
 #: What a text must hold to be searched for a kind at all.
 HINTS = {"email": "@", "ip": ".", "card": None, "phone": "+"}
 REACH, SUPPORT, LEAST_LETTERS = 10, 3, 3
+#: Words on each side that tell contexts apart: copies agree in them even if they were edited elsewhere.
+NEAREST = 4
 CONTEXT_CHARS = 240
 GENERALISE, REMOVE = 0.7, 0.9
 BLANKS = r"[\x20\x09-\x0D]+"
@@ -136,8 +138,10 @@ def _mention(text: Column, kind: str, s: Column) -> Column:
     after = F.slice(F.split(F.ltrim(right), BLANKS), F.lit(1), F.lit(REACH))
     # words with digits or an @ are likely data of their own
     near = F.concat_ws(" ", F.filter(F.concat(before, after), lambda w: ~w.rlike("[0-9@]")))
+    nearest = F.concat_ws(" ", F.slice(before, F.greatest(F.size(before) - NEAREST + 1, F.lit(1)), F.lit(NEAREST)),
+                          F.slice(after, F.lit(1), F.lit(NEAREST)))
     return F.struct(F.concat(F.lit(kind + ":"), F.lower(s["value"])).alias("entity"),
-                    F.xxhash64(near).alias("context"), F.array_distinct(_words(near)).alias("terms"))
+                    F.xxhash64(nearest).alias("context"), F.array_distinct(_words(near)).alias("terms"))
 
 
 def _mentions(kind: str) -> Column:
