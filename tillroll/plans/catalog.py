@@ -340,3 +340,58 @@ def q_json_flatten(spark, d):
                        F.try_variant_get("value", "$.event_id", "string").alias("event_id"),
                        F.try_variant_get("value", "$.event_type", "string").alias("event_type"),
                        F.schema_of_variant("value").startswith("OBJECT").alias("is_object"))
+
+
+# ---------------------------------------------------------------- loads of landed files
+@register("pos_csv_load")
+def q_pos_csv_load(spark, d):
+    """S8/S12/S14 CSV files with a header → staged POS lines; bad lines stay out."""
+    from tillroll import schemas
+    from tillroll.sources import readers
+    lines = tm.pos_raw(spark, d).select(
+        *[F.col(c).cast("string").alias(c) for c in schemas.POS_CSV_FIELDS])
+    path = tm.landed(spark, "csv", lines, "csv", header=True, escape='"')
+    good, _ = readers.split_pos(readers.read_pos_csv(spark, path))
+    return good.drop("source_file")
+
+
+def _event_files(spark, d, text):
+    """Sensor events as JSON files of one event per line; ``text`` may spoil a line."""
+    from tillroll.sources import readers
+    events = tm.iot_events(spark, d).select("event.*")
+    path = tm.landed(spark, "json", events.select(text(F.to_json(F.struct("*"))).alias("value")), "text")
+    return readers.split_json(readers.read_json_events_typed(spark, path, "lines"))
+
+
+@register("iot_json_load")
+def q_iot_json_load(spark, d):
+    """S7/S15 JSON files → VARIANT payloads → one row per reading."""
+    from tillroll.plans import silver
+    good, _ = _event_files(spark, d, lambda line: line)
+    return silver.flatten_iot(spark, good).drop("source_file")
+
+
+@register("json_quarantine")
+def q_json_quarantine(spark, d):
+    """Lines that break off go to the quarantine, all others are loaded: per event id,
+    where it went.  A line breaks off if its event's text ends in 7."""
+    def spoil(line):
+        ends = F.get_json_object(line, "$.event_id").endswith("7")
+        return F.when(ends, F.substring(line, 1, F.length(line) - 3)).otherwise(line)
+
+    good, bad = _event_files(spark, d, spoil)
+    held = bad.select(F.coalesce("event_id", F.regexp_extract("record", '"event_id":"([0-9]+)"', 1)).alias("event_id"),
+                      "reason")
+    return good.select(F.try_variant_get("raw_payload", "$.event_id", "string").alias("event_id"),
+                       F.lit("loaded").alias("reason")).unionByName(held)
+
+
+@register("orders_parquet_load")
+def q_orders_parquet_load(spark, d):
+    """S9/S13/S16/S17 parquet files, picked by the pattern of their path, columns by name."""
+    from tillroll import schemas
+    from tillroll.sources import readers
+    names = [f.name for f in schemas.ERP_ORDERS.fields]
+    path = tm.landed(spark, "erp", tm.build_erp_bronze(spark, d).select(*reversed(names)), "parquet")
+    # the landed folder's files have Spark's names; the feed's pattern is in the folder
+    return readers.read_erp_orders(spark, path, path_regex=r".*erp.*[.]parquet").select(*names)
