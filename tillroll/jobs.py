@@ -101,9 +101,13 @@ def silver_tables(spark: SparkSession, lake: Lake) -> dict[str, DataFrame]:
     }
 
 
-def build_gold(spark: SparkSession, lake: Lake) -> dict[str, DataFrame]:
+def build_gold(spark: SparkSession, lake: Lake, since=None) -> dict[str, DataFrame]:
     """Publish the gold tables (CTAS) and register every gold view.
 
+    With ``since`` (a process time), ``fact_decisions`` is recomputed only for the report
+    dates of lines that silver took in after it; the days it replaces equal a full
+    rebuild's.  Silver commits its batches in order, so nothing older comes later.
+
     Tables: ``fact_decisions`` (by report date), ``fact_gross_margin``,
     ``fact_iot_store_daily``, ``fact_sales_verses_iot`` and the refreshed
     ``matelized_view_category_by_region``.  Views are live DataFrames over
@@ -111,7 +115,11 @@ def build_gold(spark: SparkSession, lake: Lake) -> dict[str, DataFrame]:
     s = silver_tables(spark, lake)
     pos, iot, erp = (s["silver_csv_transaction"], s["silver_iot_events"],
                      s["silver_erp_orders"])
-    publish.publish(gold.fact_decisions(pos), lake.gold("fact_decisions"), ("report_date",))
+    if since is None:
+        publish.publish(gold.fact_decisions(pos), lake.gold("fact_decisions"), ("report_date",))
+    else:
+        publish.refresh_fact_days(spark, pos, pos.filter(F.col("process_time") > F.lit(since)),
+                                  gold.fact_decisions, lake.gold("fact_decisions"))
     fact = spark.read.parquet(lake.gold("fact_decisions"))
     publish.publish(gold.gross_margin(pos, erp), lake.gold("fact_gross_margin"))
     publish.publish(gold.iot_store_daily(iot), lake.gold("fact_iot_store_daily"))
@@ -162,7 +170,8 @@ def main(argv: list[str] | None = None) -> None:
     """``python -m tillroll.jobs ROOT [--trigger "1 minute"] [--json-layout lines]``
 
     Without ``--trigger``: back-fill everything landed so far, refine, publish
-    gold, print the row counts.  With it: keep the pipes and tasks running."""
+    gold, print the row counts.  With it: keep the pipes and tasks running, and bring
+    gold up to date every ``--gold-every`` seconds."""
     import argparse
 
     from tillroll.session import build_session
@@ -170,12 +179,20 @@ def main(argv: list[str] | None = None) -> None:
     ap.add_argument("root")
     ap.add_argument("--trigger", default=None)
     ap.add_argument("--json-layout", default="array", choices=["array", "lines"])
+    ap.add_argument("--gold-every", type=int, default=300)
     args = ap.parse_args(argv)
     spark = build_session()
     lake = Lake(args.root)
     if args.trigger:
         qs = ingest(spark, lake, args.trigger, args.json_layout) + refine(spark, lake, args.trigger)
-        spark.streams.awaitAnyTermination()
+        since = None
+        while not spark.streams.awaitAnyTermination(args.gold_every):
+            if not all(pipes._exists(spark, lake.silver(t)) for t in ("pos", "iot")):
+                continue
+            pos = silver_tables(spark, lake)["silver_csv_transaction"]
+            newest = pos.agg(F.max("process_time")).first()[0]
+            build_gold(spark, lake, since)
+            since = newest
         for q in qs:
             q.stop()
         return
