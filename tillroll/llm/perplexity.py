@@ -34,7 +34,7 @@ from tillroll.llm.common import file_system, runs, shared_dir, written
 ORDER = 5
 LOW, HIGH = 0.005, 0.995
 HELD_GRAMS = 4_000_000
-BLOCK = 8 << 20
+BLOCK = 4 << 20
 
 
 def _split() -> Column:
