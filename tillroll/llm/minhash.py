@@ -17,7 +17,8 @@ components are closed in two more rounds: each document outside the largest
 component meets the most similar one of each other component, then all that
 are left, in blocks of bounded size, with 8 bits of every coordinate as a
 filter (a link passes with all but a probability of 1e-6) before the exact
-comparison.  Pairs inside a component are never listed.
+comparison.  Pairs inside a component are never compared, and only links leave
+a block.
 """
 
 from __future__ import annotations
@@ -130,19 +131,16 @@ def _verified(pairs: DataFrame, texts: DataFrame, k: int, percent: int) -> DataF
     rows = rows.repartition("g").sortWithinPartitions("g", "a", "salt", F.col("b").asc_nulls_first())
 
     def work(batches):
-        head, of = None, None
+        heads, of = [], None  # a node has several sets if rows share its id
         for batch in batches:
             a, salt, b = (batch.column(i).to_pylist() for i in range(3))
             links = []
             for i, s in enumerate(_sets(batch.column(3), k)):
+                if of != (a[i], salt[i]):
+                    heads, of = [], (a[i], salt[i])
                 if b[i] is None:
-                    head, of = s, (a[i], salt[i])
-                    continue
-                if of != (a[i], salt[i]) or not len(head) or not len(s):
-                    continue
-                at = np.minimum(np.searchsorted(head, s), len(head) - 1)
-                both = int((head[at] == s).sum())
-                if 100 * both >= percent * (len(head) + len(s) - both):
+                    heads.append(s)
+                elif len(s) and any(_linked(h, s, percent) for h in heads if len(h)):
                     links.append((a[i], b[i]))
             yield pa.RecordBatch.from_arrays(
                 [pa.array([x[j] for x in links], pa.int64()) for j in range(2)], names=["a", "b"])
@@ -150,11 +148,22 @@ def _verified(pairs: DataFrame, texts: DataFrame, k: int, percent: int) -> DataF
     return rows.select("a", "salt", "b", "text").mapInArrow(work, "a long, b long")
 
 
-def _across(buckets: DataFrame, sets: DataFrame, labels: DataFrame, best: bool) -> DataFrame:
-    """Pairs of one bucket in different components whose sketches agree enough.
+def _linked(a: np.ndarray, b: np.ndarray, percent: int) -> bool:
+    """Whether two sorted sets reach the similarity."""
+    at = np.minimum(np.searchsorted(a, b), len(a) - 1)
+    both = int((a[at] == b).sum())
+    return 100 * both >= percent * (len(a) + len(b) - both)
 
-    ``best``: of each component, only the most similar one for each document
-    outside the bucket's largest component.
+
+def _across(buckets: DataFrame, sets: DataFrame, texts: DataFrame, labels: DataFrame, k: int, percent: int,
+            best: bool) -> DataFrame:
+    """Links ``(a, b)`` between different components that share a bucket.
+
+    Blocks of a bucket's members hold their sketches, keys and texts.  A pair whose
+    sketches agree enough is compared on full sets there, in the first band that it
+    shares, so it is compared once and only links leave the block.  ``best``: of
+    each component, a document outside the bucket's largest component meets only
+    the most similar one (within its block).
     """
     rows = buckets.join(labels, "node", "left").withColumn("component", F.coalesce("component", "node"))
     rows = written(rows, "open")
@@ -174,35 +183,48 @@ def _across(buckets: DataFrame, sets: DataFrame, labels: DataFrame, best: bool)
     # block (i, j): the i-th chunk of the minors against the j-th of all
     minors = rows.where("component <> major").withColumn("i", chunk("minors")).withColumn("j", chunks("all"))
     others = rows.withColumn("j", chunk("all")).withColumn("i", chunks("minors"))
-    cols = ["node", "component", F.xxhash64("bucket", "i", "j").alias("g")]
-    work_rows = minors.select(*cols, F.lit(True).alias("minor")).union(
-        others.select(*cols, F.lit(False).alias("minor")))
-    work_rows = work_rows.join(sets.select("node", "sketch"), "node")
-    work_rows = work_rows.repartition("g").sortWithinPartitions("g")
+    cols = ["node", "component", "bucket", F.xxhash64("bucket", "i", "j").alias("g")]
+    blocks = minors.select(*cols, F.lit(True).alias("minor")).union(others.select(*cols, F.lit(False).alias("minor")))
+    blocks = blocks.join(sets.select("node", "sketch", "keys"), "node").join(texts, "node")
+    blocks = blocks.repartition("g").sortWithinPartitions("g")
     need = LEAST_AGREEMENT + (1 - LEAST_AGREEMENT) / 256
 
     def work(batches):
         for group in runs(batches, "g"):
             node = group["node"].to_numpy()
             part = group["component"].to_numpy()
+            bucket = group["bucket"].to_numpy()
             minor = group["minor"].to_numpy()
             bits = np.frombuffer(b"".join(group["sketch"].to_pylist()), np.uint8).reshape(-1, COORDINATES)
+            keys = group["keys"].combine_chunks().flatten().to_numpy().reshape(-1, BANDS)
+            text = group["text"]
+            held: dict[int, np.ndarray] = {}
+
+            def full(i):
+                if i not in held:
+                    held[i] = next(_sets(text.slice(i, 1).combine_chunks(), k))
+                return held[i]
+
             rest = np.flatnonzero(~minor)
-            out_a, out_b = [], []
+            links = []
             for m in np.flatnonzero(minor).tolist():
                 like = (bits[rest] == bits[m]).mean(axis=1)
                 hit = np.flatnonzero((like >= need) & (part[rest] != part[m]) & (node[rest] != node[m]))
                 if best and len(hit):
                     hit = hit[np.lexsort((node[rest][hit], -like[hit], part[rest][hit]))]
                     hit = hit[np.unique(part[rest][hit], return_index=True)[1]]
-                out_a.append(np.minimum(node[rest][hit], node[m]))
-                out_b.append(np.maximum(node[rest][hit], node[m]))
-            if out_a:
+                elif len(hit):
+                    first = (keys[rest[hit]] == keys[m]).argmax(axis=1)
+                    hit = hit[keys[m][first] == bucket[m]]
+                for i in rest[hit].tolist():
+                    if _linked(full(i), full(m), percent):
+                        links.append((int(min(node[i], node[m])), int(max(node[i], node[m]))))
+            if links:
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.concatenate(out_a)), pa.array(np.concatenate(out_b))], names=["a", "b"])
+                    [pa.array([x[j] for x in links], pa.int64()) for j in range(2)], names=["a", "b"])
 
-    found = work_rows.select("node", "component", "minor", "sketch", "g").mapInArrow(work, "a long, b long")
-    return found.distinct()
+    columns = ["node", "component", "bucket", "minor", "sketch", "keys", "text", "g"]
+    return blocks.select(*columns).mapInArrow(work, "a long, b long").distinct()
 
 
 def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
@@ -233,6 +255,7 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame
     # the texts of all documents that share a bucket, read once
     met = buckets.select("node").distinct()
     texts = docs.select(F.col("doc_id").cast("long").alias("node"), "text").join(met, "node", "left_semi")
+    texts = texts.withColumn("h", F.xxhash64("text")).dropDuplicates(["node", "h"]).drop("h")
     texts = written(texts, "texts")
     links = written(_verified(pairs, texts, k, percent), "links")
 
@@ -243,13 +266,10 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame
     links = links.union(written(several, "ties"))
     components = written(connected_components(links), "components")
     for best in (True, False):
-        more = _across(buckets.select("bucket", "node"), sets, components, best)
-        more = written(more.join(pairs, ["a", "b"], "left_anti"), "pairs")
-        if more.isEmpty():
-            continue
-        pairs = pairs.union(more)
-        links = links.union(written(_verified(more, texts, k, percent), "links"))
-        components = written(connected_components(links), "components")
+        more = written(_across(buckets.select("bucket", "node"), sets, texts, components, k, percent, best), "links")
+        if not more.isEmpty():
+            links = links.union(more)
+            components = written(connected_components(links), "components")
 
     rows = table.join(classes, "digest", "left")
     rows = rows.join(components.withColumnRenamed("node", "at"), F.col("node") == F.col("at"), "left")
