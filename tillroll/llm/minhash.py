@@ -227,6 +227,18 @@ def _across(buckets: DataFrame, sets: DataFrame, texts: DataFrame, labels: DataF
     return blocks.select(*columns).mapInArrow(work, "a long, b long").distinct()
 
 
+def _joined(components: DataFrame, links: DataFrame) -> DataFrame:
+    """Components after more links: only what these tie together is worked through again."""
+    of = {side: components.select(F.col("node").alias(f"n{side}"), F.col("component").alias(f"c{side}")) for side in "ab"}
+    tied = links.join(of["a"], F.col("a") == F.col("na"), "left").join(of["b"], F.col("b") == F.col("nb"), "left")
+    tied = tied.select(F.coalesce("ca", "a").alias("a"), F.coalesce("cb", "b").alias("b"))
+    merged = connected_components(tied).select(F.col("node").alias("was"), F.col("component").alias("now"))
+    merged = written(merged, "merged")
+    moved = components.join(merged, F.col("component") == F.col("was"), "left")
+    fresh = merged.join(components, F.col("was") == F.col("node"), "left_anti")
+    return moved.select("node", F.coalesce("now", "component").alias("component")).union(fresh.select("was", "now"))
+
+
 def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
     """Per row of ``docs`` (``doc_id``, ``text``): ``doc_id, n_shingles, component_id, kept``.
 
@@ -268,8 +280,7 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame
     for best in (True, False):
         more = written(_across(buckets.select("bucket", "node"), sets, texts, components, k, percent, best), "links")
         if not more.isEmpty():
-            links = links.union(more)
-            components = written(connected_components(links), "components")
+            components = written(_joined(components, more), "components")
 
     rows = table.join(classes, "digest", "left")
     rows = rows.join(components.withColumnRenamed("node", "at"), F.col("node") == F.col("at"), "left")
