@@ -1,7 +1,10 @@
 import math
 import random
 
+import pytest
+
 from tillroll.llm import inner_product
+from tillroll.llm.queries import OP5
 
 
 def table(spark, rows):
@@ -50,3 +53,34 @@ def test_few_and_none(spark):
     assert got(spark, [(0, [1.0, 2.0])]) == []
     rows = [(0, [1.0, 2.0]), (1, [-1.0, 0.5]), (100, [0.25, 0.25])]
     assert got(spark, rows) == brute(rows)
+
+
+def test_large_components_take_part_like_in_the_sql(spark, monkeypatch):
+    duckdb = pytest.importorskip("duckdb")
+    monkeypatch.setattr(inner_product, "HEAD", 40)
+    rng = random.Random(5)
+    rows = [(i, [round(rng.gauss(0, 1) * 64) / 64 for _ in range(24)]) for i in range(600)]
+    # multiples of powers of two, so that the doubles of the SQL are exact
+    rows += [(i, [float(2048 * rng.randint(-3, 3)) for _ in range(24)]) for i in range(600, 640)]
+    rows += [(i, [float((1 << 16) * rng.randint(-20, 20)) if k < 2 else 0.0 for k in range(24)]) for i in range(690, 701)]
+    rows += [(710, [2048.0] + [0.0] * 23), (720, [0.0] * 23 + [-float(1 << 18)]), (800, [2047.0] * 24), (730, [float("inf")] * 24)]
+    out = got(spark, rows)
+    assert out == brute(rows)
+    assert {600, 700, 800} <= {r[0] for r in out}
+    con = duckdb.connect()
+    con.execute("create table embeddings (vec_id bigint, embedding float[])")
+    con.executemany("insert into embeddings values (?, ?)", [list(r) for r in rows])
+    assert sorted(con.execute(OP5).fetchall()) == out
+
+
+def test_products_beyond_exact_doubles(spark, monkeypatch):
+    monkeypatch.setattr(inner_product, "HEAD", 20)
+    rng = random.Random(6)
+    rows = [(i, [float(rng.randint(0 if k == 0 else -1 << 19, 1 << 19)) for k in range(12)]) for i in range(300)]
+    # differ by less than doubles tell apart; one component is far longer than all others
+    rows += [(400 + i, [float(1 << 21), float(1 << 20), i / 1024] + [0.0] * 9) for i in range(30)]
+    rows += [(500, [float(1 << 20), 1.0, -3.0]), (501, [-1e15, 2.0, 1.0]), (502, [0.0, 0.0, 0.5])]
+    assert got(spark, rows) == brute(rows)
+    rows = [(0, [1.0, 2.0]), (1, [1e30, 0.0])]
+    with pytest.raises(Exception, match="too large"):
+        got(spark, rows)

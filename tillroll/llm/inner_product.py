@@ -12,7 +12,9 @@ length times the chunk's longest is under the threshold; else the partial
 product of the first ``LEADING`` rotated coordinates plus the product of the
 two residual lengths bounds every score, and only vectors whose bound reaches
 the threshold are scored exactly.  Bounds carry a margin for rounding, scores
-are exact integers, so nothing is lost.
+are exact integers, so nothing is lost: where the product of two lengths could
+pass what doubles hold exactly, 64-bit integers are used, and beyond those
+Python's.
 """
 
 from __future__ import annotations
@@ -27,25 +29,37 @@ from tillroll.llm.common import written
 SCALE, TOP = 1024, 10
 HEAD, LEADING, CHUNK, QUERIES = 1024, 16, 2048, 256
 BLOCK_ROWS = 250_000
-#: Components beyond this, after scaling, are out of range: sums of products have to stay exact in doubles.
-MOST = 1 << 21
+#: Doubles from here on are whole, and sums of products below are exact in doubles.
+WHOLE = float(1 << 53)
+#: Sums of products below are exact in 64-bit integers.
+INTEGER = float(1 << 62)
+#: Stands for all scores from here on.
+BIGGEST = (1 << 63) - 1
+#: Longer vectors count as this long for the rotation, so that a few huge ones do not drown all others.
+LONG = float(1 << 21)
 MARGIN = 1e-9
+#: Share of a squared length that rounding may take from a residual, and so added to it.
+LOST = 1e-12
 
 
 def whole(table: DataFrame) -> DataFrame:
-    """``vec_id, v, norm2``: one vector of whole numbers for each id.
+    """``vec_id, v, norm2``: one vector of whole numbers (as doubles) for each id.
 
-    Null vectors, and those with null, non-finite or out-of-range components,
-    take no part, nor do rows without id.  Of several vectors of one id the
-    smallest counts; repeated rows count once.
+    Null vectors, and those with null or non-finite components, take no part, nor
+    do rows without id.  Of several vectors of one id the smallest counts;
+    repeated rows count once.
     """
-    x = F.transform("embedding", lambda c: F.floor(SCALE * c.cast("double")))
+    def scaled(c):
+        y = SCALE * c.cast("double")
+        return F.when(F.abs(y) >= WHOLE, y).otherwise(F.floor(y).cast("double"))
+
+    x = F.transform("embedding", scaled)
     fine = F.forall("embedding", lambda c: c.isNotNull() & ~F.isnan(c.cast("double"))
-                    & (F.abs(SCALE * c.cast("double")) < MOST))
+                    & (F.abs(c.cast("double")) < float("inf")))
     rows = table.where("vec_id is not null and embedding is not null").where(fine)
-    rows = rows.select(F.col("vec_id").cast("long"), x.cast("array<long>").alias("v"))
+    rows = rows.select(F.col("vec_id").cast("long"), x.alias("v"))
     rows = rows.groupBy("vec_id").agg(F.min("v").alias("v"))
-    return rows.withColumn("norm2", F.aggregate("v", F.lit(0).cast("long"), lambda s, c: s + c * c))
+    return rows.withColumn("norm2", F.aggregate("v", F.lit(0.0), lambda s, c: s + c * c))
 
 
 def _matrix(column: pa.Array, width: int) -> np.ndarray:
@@ -63,6 +77,7 @@ def rotation(vectors: DataFrame, width: int) -> np.ndarray:
         gram = np.zeros((width, width))
         for batch in batches:
             m = _matrix(batch.column(0), width)
+            m /= np.maximum(1, np.sqrt((m * m).sum(axis=1)) / LONG)[:, None]
             gram += m.T @ m
         yield pa.RecordBatch.from_arrays([pa.array(np.arange(width * width)), pa.array(gram.ravel())], names=["at", "x"])
 
@@ -74,8 +89,35 @@ def rotation(vectors: DataFrame, width: int) -> np.ndarray:
     return np.linalg.eigh((gram + gram.T) / 2)[1][:, ::-1]
 
 
+def _scores(v: np.ndarray, norm: np.ndarray, q: np.ndarray, q_norm: float) -> np.ndarray:
+    """Exact products with ``q``: 64-bit integers, or Python's if some may be larger."""
+    most = norm * q_norm * (1 + MARGIN)
+    if most.max(initial=0) < WHOLE:
+        return (v @ q).astype(np.int64)
+    if most.max() < INTEGER:
+        return _exact(v, q, most)
+    out = np.empty(len(v), dtype=object)
+    huge = most >= INTEGER
+    out[~huge] = _exact(v[~huge], q, most[~huge])
+    whole_q = [int(x) for x in q.tolist()]
+    out[huge] = [sum(int(a) * b for a, b in zip(row, whole_q, strict=True)) for row in v[huge].tolist()]
+    return out
+
+
+def _exact(v: np.ndarray, q: np.ndarray, most: np.ndarray) -> np.ndarray:
+    """Products of at most ``most``, which is under ``INTEGER``."""
+    out = np.zeros(len(v), dtype=np.int64)
+    some = most < WHOLE
+    out[some] = (v[some] @ q).astype(np.int64)
+    if not some.all():
+        out[~some] = v[~some].astype(np.int64) @ q.astype(np.int64)
+    return out
+
+
 def _best(scores: np.ndarray, ids: np.ndarray) -> np.ndarray:
     """Positions of the TOP highest scores, ties to smaller ids."""
+    if scores.dtype == object:
+        return np.array(sorted(range(len(ids)), key=lambda i: (-scores[i], ids[i]))[:TOP], dtype=np.int64)
     if len(scores) > 4 * TOP:
         least = np.partition(scores, len(scores) - TOP)[len(scores) - TOP]
         keep = np.flatnonzero(scores >= least)
@@ -96,14 +138,14 @@ class Block:
     def parts(v: np.ndarray, turn: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         lead = v @ turn[:, :LEADING]
         norm2 = (v * v).sum(axis=1)
-        rest = np.sqrt(np.maximum(norm2 - (lead * lead).sum(axis=1), 0))
-        return lead, rest + MARGIN * np.sqrt(norm2), np.sqrt(norm2)
+        rest = np.sqrt(np.maximum(norm2 - (lead * lead).sum(axis=1), 0) + LOST * norm2)
+        return lead, rest, np.sqrt(norm2)
 
     def search(self, ids: np.ndarray, q: np.ndarray, least: np.ndarray):
         """``(query position, ids, scores)`` of the best of each query that can reach ``least``."""
         lead, rest, norm = self.parts(q, self.turn)
         least = least.copy()
-        found = [(np.zeros(0, np.int64), np.zeros(0)) for _ in range(len(q))]
+        found = [(np.zeros(0, np.int64), np.zeros(0, np.int64)) for _ in range(len(q))]
         for lo in range(0, len(self.ids), CHUNK):
             part = slice(lo, lo + CHUNK)
             live = np.flatnonzero(norm * self.norm[lo] * (1 + MARGIN) >= least)
@@ -118,11 +160,11 @@ class Block:
                 if not len(at):
                     continue
                 n = np.concatenate([found[i][0], self.ids[at]])
-                s = np.concatenate([found[i][1], self.v[at] @ q[i]])
+                s = np.concatenate([found[i][1], _scores(self.v[at], self.norm[at], q[i], norm[i])])
                 top = _best(s, n)
                 found[i] = n[top], s[top]
                 if len(top) == TOP:
-                    least[i] = max(least[i], s[top[-1]])
+                    least[i] = max(least[i], float(s[top[-1]]))
         return found
 
 
@@ -132,6 +174,7 @@ def search(table: DataFrame, every: int = 100) -> DataFrame:
     Returns ``query_id, rank, vec_id, score``; ties go to the smaller ``vec_id``, and
     a query has fewer rows if there are fewer other vectors.  Shorter vectors
     count as filled up with zeros.  See :func:`whole` for what takes no part.
+    A score that no BIGINT holds fails, as it does in SQL.
     """
     spark = table.sparkSession
     vectors = written(whole(table), "vectors")
@@ -146,7 +189,7 @@ def search(table: DataFrame, every: int = 100) -> DataFrame:
     ranked = vectors.repartitionByRange(blocks, *order).withColumn("block", F.spark_partition_id())
     ranked = written(ranked, "ranked")
     longest = ranked.groupBy("block").agg(F.max("norm2").alias("top")).orderBy("block").collect()  # a row per block
-    tops = F.array(*[F.struct(F.lit(b).alias("block"), F.lit(t).cast("long").alias("top"))
+    tops = F.array(*[F.struct(F.lit(b).alias("block"), F.lit(t).cast("double").alias("top"))
                      for b, t in longest or [(0, 0)]])
     shared = spark.sparkContext.broadcast((
         turn, head.column("vec_id").to_numpy().astype(np.int64), _matrix(head.column("v").combine_chunks(), width)))
@@ -162,11 +205,11 @@ def search(table: DataFrame, every: int = 100) -> DataFrame:
                 q = _matrix(batch.column(1).slice(lo, QUERIES), width)
                 for i, (_, s) in enumerate(longest.search(q_ids[part], q, least[part])):
                     if len(s) == TOP:
-                        least[lo + i] = s[-1]
+                        least[lo + i] = float(s[-1])
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(least)], names=[*batch.schema.names, "least"])
 
     queries = vectors.where(F.col("vec_id") % every == 0).select("vec_id", "v", "norm2")
-    queries = written(queries.mapInArrow(begin, "vec_id long, v array<long>, norm2 long, least double"), "queries")
+    queries = written(queries.mapInArrow(begin, "vec_id long, v array<double>, norm2 double, least double"), "queries")
     reach = (1 + MARGIN) * F.sqrt(F.col("norm2").cast("double"))
     queries = queries.withColumn("block", F.explode(F.filter(
         tops, lambda b: reach * F.sqrt(b["top"].cast("double")) >= F.col("least"))))
@@ -201,10 +244,13 @@ def search(table: DataFrame, every: int = 100) -> DataFrame:
                     for i, (n, s) in enumerate(block.search(ids[part], v[part], least[part])):
                         out[0].append(np.full(len(n), ids[a + i]))
                         out[1].append(n)
-                        out[2].append(s.astype(np.int64))
+                        out[2].append(np.array([min(max(x, -BIGGEST), BIGGEST) for x in s.tolist()], np.int64))
                 yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in out],
                                                  names=["query_id", "vec_id", "score"])
 
     found = rows.mapInArrow(work, schema)
     rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.col("score").desc(), "vec_id"))
-    return found.withColumn("rank", rank).where(F.col("rank") <= TOP).select("query_id", "rank", "vec_id", "score")
+    found = found.withColumn("rank", rank).where(F.col("rank") <= TOP)
+    score = F.when(F.abs("score") < BIGGEST, F.col("score")).otherwise(
+        F.raise_error(F.lit("a score is too large for a BIGINT")).cast("long"))
+    return found.select("query_id", "rank", "vec_id", score.alias("score"))
