@@ -70,3 +70,20 @@ def test_blocks_agree_with_single_texts():
     whole = {i: t.tolist() for i, t, _ in templates._texts(pa.array(texts))}
     for i, t in enumerate(texts):
         assert whole[i] == templates.tokens(np.frombuffer(t.encode(), np.uint8))[0].tolist()
+
+
+def test_short_number_heavy_lower_cased_and_mid_sentence_items(spark, documents):
+    bench = {20: "Compute 12 + 30 * 7 - 5", 21: "Solve 3 x + 5 = 20", 22: "What is the capital of France?",
+             23: "Who wrote Emma?", 24: "12 + 30 * 7 = ?", 25: "Anna buys 3 red apples and 4 pears",
+             26: "Add 1 2 3 4 5 6 7 8 9 10 11 12 and then find the mean of all these numbers"}
+    docs = {1: "compute 12 + 30 * 7 - 5", 2: f"{filler(1)} Solve 3 x + 5 = 20 {filler(2)}",
+            3: f"{filler(3)} he asked What is the capital of France and left", 4: f"{filler(4)} what is the capital of france",
+            5: f"{filler(5)} he asked What is the capital of Spain and left", 6: f"{filler(6)}. who wrote emma? {filler(7)}",
+            7: "12 + 30 * 7 = ?", 8: "12 + 30 * 7 = 15", 9: f"{filler(8)} then Maria buys 5 red apples and 9 pears today",
+            10: f"{filler(9)}. Maria buys 5 red apples and 9 pears", 11: "Compute 13 + 31 * 8 - 6",
+            12: f"{filler(10)} 3 4 5 6 7 8 9 10 11 12 And then find the mean {filler(11)}",
+            13: "Add 2 4 6 8 1 3 5 7 9 11 13 15 and then find the mean of all these numbers", 14: filler(12, 200),
+            15: "Is it? What is the capital of Chad? Yes.", 16: f"{filler(13)} she said Solve 3 X + 5 = 20"}
+    out = templates.contaminated(documents(list(docs.items())), items(spark, list(bench.items())))
+    assert pairs(out) == [(1, 20), (2, 21), (3, 22), (4, 22), (5, 22), (6, 23), (7, 24), (9, 25), (10, 25),
+                          (12, 26), (13, 26), (15, 22), (16, 21)]
