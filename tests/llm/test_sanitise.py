@@ -83,3 +83,21 @@ def test_sanitised_rows(documents):
     assert out.columns == docs.columns
     assert sorted(str(r["text"]) for r in out.collect()) == ["None", "a [EMAIL] b [CARD]", "a [EMAIL] b [CARD]", "call [PHONE]!"]
     assert sanitise.report(documents([])).collect() == [] and sanitise.sanitised(documents([])).collect() == []
+
+
+def test_terms_with_digits_and_short_ones(documents):
+    rng = random.Random(4)
+    rows = [(i, words(rng, 40)) for i in range(80)]
+    rows += [(100 + i, f"{words(rng, 20)} jdoe42 AB-7731 Ng to boss@corp.example 李明 4471 cc 10.0.0.9 {words(rng, 20)}") for i in range(6)]
+    rows += [(200, f"{words(rng, 30)} JDOE42, {words(rng, 5)}"), (201, f"{words(rng, 9)} (ab-7731)"), (202, "ng 李明 4471 ngo jdoe421")]
+    out = {r["doc_id"]: r["spans"] for r in sanitise.report(documents(rows)).collect()}
+    text = dict(rows)
+    for i, terms in ((100, ("jdoe42", "ab-7731", "ng", "李明", "4471")), (200, ("jdoe42",)), (201, ("ab-7731",)),
+                     (202, ("ng", "李明", "4471"))):
+        for t in terms:
+            at = re.search(rf"(?<!\w){t}(?!\w)", text[i].lower()).start()
+            assert f"term:{at}:{at + len(t)}" in out[i], (i, t)
+    assert out[202].count("term") == 3 and "term" not in out[0]
+    # the parts of a neighbouring address are no terms of their own
+    spans = [tuple(map(int, x.split(":")[1:])) for x in out[100].split(",") if x.startswith("term")]
+    assert not any(text[100][a:z].lower() in ("boss", "corp", "example", "10", "0", "9") for a, z in spans)

@@ -38,12 +38,15 @@ PATTERNS = {
 }
 #: What a text must hold to be searched for a kind at all.
 HINTS = {"email": "@", "ip": ".", "card": None, "phone": "+"}
-REACH, SUPPORT, LEAST_LETTERS = 10, 3, 3
+REACH, SUPPORT = 10, 3
 #: Words on each side that tell contexts apart: copies agree in them even if they were edited elsewhere.
 NEAREST = 4
 CONTEXT_CHARS = 240
 GENERALISE, REMOVE = 0.7, 0.9
 BLANKS = r"[\x20\x09-\x0D]+"
+#: A term is a run of these, or runs joined by single hyphens, underscores or points.
+TERM = r"\p{L}\p{M}\p{N}"
+JOINED = rf"(?<![{TERM}])[{TERM}]++(?:[-_.][{TERM}]++)++"
 CHUNK = 256
 
 _SPANS = "array<struct<start:int,end:int,value:string>>"
@@ -124,20 +127,39 @@ def base_spans(kind: str) -> Column:
 
 
 def _words(piece: Column) -> Column:
-    """Lower-case runs of letters, from some length on."""
-    return F.filter(F.split(F.lower(piece), r"[^\p{L}]+"), lambda w: F.length(w) >= LEAST_LETTERS)
+    """Lower-case runs of letters and digits of any length, and joined ones ("ab-7731") as wholes too."""
+    runs = F.filter(F.split(F.lower(piece), rf"[^{TERM}]+"), lambda w: w != "")
+    return F.concat(runs, F.regexp_extract_all(F.lower(piece), F.lit(JOINED), F.lit(0)))
+
+
+def _masked() -> Column:
+    """``text`` with an @ for each character of a base span that is no blank."""
+    def built(marks):
+        ends = F.aggregate(marks, F.array(F.lit(0)), lambda acc, m: F.concat(
+            acc, F.array(F.greatest(F.element_at(acc, -1), m["end"]))))
+        return _let(ends, lambda at: F.concat(F.array_join(F.zip_with(
+            marks, F.slice(at, F.lit(1), F.size(marks)), lambda m, a: F.concat(
+                F.substr(F.col("text"), a + 1, F.greatest(m["start"] - a, F.lit(0))),
+                F.regexp_replace(F.substr(m["value"], F.greatest(a - m["start"], F.lit(0)) + 1), r"[^\x20\x09-\x0D]", "@"))), ""),
+            F.substr(F.col("text"), F.element_at(at, -1) + 1)))
+
+    return _let(F.sort_array(F.concat(*KINDS)),
+                lambda marks: F.when(F.size(marks) > 0, built(marks)).otherwise(F.col("text")))
 
 
 def _mention(text: Column, kind: str, s: Column) -> Column:
     """Entity, its context's hash and the terms within REACH words."""
-    left = F.substr(text, F.greatest(s["start"] - CONTEXT_CHARS + 1, F.lit(1)),
-                    F.least(s["start"], F.lit(CONTEXT_CHARS)))
-    right = F.substr(text, s["end"] + 1, F.lit(CONTEXT_CHARS))
-    before = F.split(F.rtrim(left), BLANKS)
-    before = F.slice(before, F.greatest(F.size(before) - REACH + 1, F.lit(1)), F.lit(REACH))
-    after = F.slice(F.split(F.ltrim(right), BLANKS), F.lit(1), F.lit(REACH))
-    # words with digits or an @ are likely data of their own
-    near = F.concat_ws(" ", F.filter(F.concat(before, after), lambda w: ~w.rlike("[0-9@]")))
+    def around(text):
+        left = F.substr(text, F.greatest(s["start"] - CONTEXT_CHARS + 1, F.lit(1)),
+                        F.least(s["start"], F.lit(CONTEXT_CHARS)))
+        right = F.substr(text, s["end"] + 1, F.lit(CONTEXT_CHARS))
+        before = F.split(F.rtrim(left), BLANKS)
+        before = F.slice(before, F.greatest(F.size(before) - REACH + 1, F.lit(1)), F.lit(REACH))
+        return before, F.slice(F.split(F.ltrim(right), BLANKS), F.lit(1), F.lit(REACH))
+
+    before, after = around(text)
+    # what lies in a base span is no term
+    near = F.concat_ws(" ", *around(F.col("masked")))
     nearest = F.concat_ws(" ", F.slice(before, F.greatest(F.size(before) - NEAREST + 1, F.lit(1)), F.lit(NEAREST)),
                           F.slice(after, F.lit(1), F.lit(NEAREST)))
     return F.struct(F.concat(F.lit(kind + ":"), F.lower(s["value"])).alias("entity"),
@@ -151,6 +173,7 @@ def _mentions(kind: str) -> Column:
 def _base(docs: DataFrame) -> DataFrame:
     rows = docs.select(F.col("doc_id").cast("long"), F.coalesce("text", F.lit("")).alias("text"))
     rows = rows.withColumns({k: base_spans(k) for k in KINDS})
+    rows = rows.withColumn("masked", _masked())
     mentions = F.concat(*map(_mentions, KINDS))
     return rows.select("doc_id", F.md5("text").alias("key"), *KINDS, mentions.alias("mentions"))
 
@@ -189,7 +212,7 @@ def _term_spans(docs: DataFrame, terms: DataFrame) -> DataFrame:
     held = written(held.withColumnRenamed("d", "hd").withColumnRenamed("k", "hk"), "held")
     rows = rows.join(held, rows["d"].eqNullSafe(held["hd"]) & (rows["k"] == held["hk"])).dropDuplicates(["d", "k"])
     one = F.array_join(F.transform("held", lambda t: F.concat(F.lit(r"\Q"), t["term"], F.lit(r"\E"))), "|")
-    pattern = F.concat(F.lit(r"(?iu)(?<![\p{L}\p{N}])(?:"), one, F.lit(r")(?![\p{L}\p{N}])"))
+    pattern = F.concat(F.lit(rf"(?iu)(?<![{TERM}])(?:"), one, F.lit(rf")(?![{TERM}])"))
     found = spans(F.col("text"), F.col("pattern"))
     strong = F.map_from_entries(F.transform("held", lambda t: F.struct(t["term"], t["share"])))
     rows = rows.withColumn("pattern", pattern)
