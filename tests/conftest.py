@@ -6,9 +6,6 @@ import pytest
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
-SF001 = "/root/testdata/sf0.001"
-SF01 = "/root/testdata/sf0.01"
-
 
 @pytest.fixture(scope="session")
 def spark():
@@ -23,10 +20,3 @@ def spark():
 @pytest.fixture()
 def scratch():
     return tempfile.mkdtemp(prefix="tillroll-test-")
-
-
-def rows(df, order=None):
-    """Collect as a sorted list of tuples (columns sorted by name)."""
-    cols = sorted(df.columns)
-    out = [tuple(r[c] for c in cols) for r in df.select(*cols).collect()]
-    return sorted(out, key=lambda t: tuple((x is None, str(x)) for x in t))

@@ -1,7 +1,7 @@
 """Cross-dataset invariants of the gold layer."""
 from pyspark.sql import functions as F
 
-from conftest import SF001
+from helpers import SF001
 from tillroll.operators import changes
 from tillroll.plans import gold, testmodel as tm
 

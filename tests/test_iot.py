@@ -2,7 +2,7 @@
 import json
 import os
 
-from conftest import SF001, rows
+from helpers import SF001, rows
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 

@@ -4,7 +4,7 @@ import os
 import pyarrow.parquet as pq
 from pyspark.sql import functions as F
 
-from conftest import SF001, rows
+from helpers import SF001, rows
 from tillroll import jobs, schemas
 from tillroll.plans import catalog, silver, testmodel as tm
 

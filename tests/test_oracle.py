@@ -7,7 +7,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as se
-from conftest import SF001
+from helpers import SF001
 
 TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem",
           "events", "documents", "embeddings", "pages", "benchmark", "labels", "conversations"]

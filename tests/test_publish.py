@@ -1,7 +1,7 @@
 """Gold publishing: partial refresh of touched days == full rebuild."""
 from pyspark.sql import functions as F
 
-from conftest import SF001, rows
+from helpers import SF001, rows
 from tillroll.plans import gold, publish, testmodel as tm
 
 COLS = ["store_id", "store_name", "store_city", "store_region", "category", "report_date",

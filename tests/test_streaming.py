@@ -7,7 +7,7 @@ import pyarrow as pa
 import pyarrow.parquet as pq
 from pyspark.sql import functions as F
 
-from conftest import SF001, rows
+from helpers import SF001, rows
 from tillroll import schemas
 from tillroll.plans import silver, testmodel as tm
 from tillroll.streaming import pipes, tasks
