@@ -53,6 +53,14 @@ def file_system(uri: str) -> tuple[pafs.FileSystem, str]:
     return pafs.LocalFileSystem(), os.path.abspath(uri)
 
 
+def matrix(column: pa.Array, width: int) -> np.ndarray:
+    """Rows of a list column as doubles, shorter ones filled with zeros."""
+    sizes = np.diff(column.offsets.to_numpy())
+    out = np.zeros((len(column), width))
+    out[np.arange(width)[None, :] < sizes[:, None]] = column.flatten().to_numpy(zero_copy_only=False)
+    return out
+
+
 def clash_free(df: DataFrame, *names: str) -> DataFrame:
     """Only the named columns, so that extra columns cannot clash with derived ones."""
     return df.select(*names)

@@ -11,7 +11,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillroll.llm import curriculum, inner_product, minhash, perplexity, reputation, sanitise, templates, token_files, toxicity, warc
+from tillroll.llm import (curriculum, hard_negatives, inner_product, jaccard_join, minhash, perplexity, prefix_trie, reputation,
+                          sanitise, templates, token_files, toxicity, warc)
 from tillroll.llm.common import read_table
 
 
@@ -64,6 +65,19 @@ def op10_curriculum(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.withColumn("position", F.round("position", 9))
 
 
+def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie.trie(read_table(spark, sf_dir, "conversations"))
+
+
+def op12_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.components(read_table(spark, sf_dir, "documents"), k=3, percent=90)
+
+
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = hard_negatives.mine(read_table(spark, sf_dir, "embeddings"), every=100)
+    return found.drop("blocks_read", "blocks_known")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_toxicity": op1_toxicity,
@@ -76,6 +90,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_token_files": op8_token_files,
         "op9_templates": op9_templates,
         "op10_curriculum": op10_curriculum,
+        "op11_prefix_trie": op11_prefix_trie,
+        "op12_jaccard_join": op12_jaccard_join,
+        "op13_hard_negatives": op13_hard_negatives,
     }
 
 
@@ -194,5 +211,81 @@ FROM x JOIN v USING (host)
 """
 
 
+OP11 = r"""
+WITH RECURSIVE t AS (
+  SELECT conv_id, coalesce(role, '') AS role, coalesce(text, '') AS text, turn FROM conversations WHERE conv_id IS NOT NULL),
+d AS (SELECT *, md5(CAST(strlen(role) AS VARCHAR) || ':' || role || text) AS g FROM t),
+o AS (SELECT conv_id, strlen(text) AS b, g,
+             row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, g) AS i FROM d),
+c AS (SELECT conv_id, list_reduce([CAST(ascii(x) AS BIGINT) for x in string_split(CAST(conv_id AS VARCHAR), '')],
+        lambda r, x: list_reduce([0, 0, 0, 0, 0, 0, 0, 0],
+          lambda s, y: xor(s >> 1, (s & 1) * 3988292384), xor(r, x)), CAST(4294967295 AS BIGINT)) AS r
+      FROM (SELECT DISTINCT conv_id FROM t)),
+h AS (SELECT conv_id, xor(r, 4294967295) % 9 AS h FROM c),
+r AS (SELECT h.conv_id, b, g, 0 AS part, i FROM h JOIN o ON o.conv_id = h.conv_id - h.conv_id % 5 AND i <= h
+      UNION ALL SELECT h.conv_id, b, g, 1, i FROM h JOIN o ON o.conv_id = h.conv_id AND i > h),
+n AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY part, i) AS depth FROM r),
+p AS (SELECT conv_id, depth, b, string_agg(g, '') OVER (PARTITION BY conv_id ORDER BY depth) AS k FROM n),
+m AS (SELECT conv_id, depth, b, k, depth = max(depth) OVER (PARTITION BY conv_id) AS ends FROM p
+      UNION ALL SELECT conv_id, 0, 0, '', conv_id NOT IN (SELECT conv_id FROM n) FROM h),
+x AS (SELECT k, min(depth) AS depth, min(conv_id) AS conv_id, count(*) AS n_convs, min(b) AS b,
+             sha256(coalesce(string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id) FILTER (ends), '')) AS ends_sha256
+      FROM m GROUP BY k),
+y AS (SELECT x.*, u.conv_id AS parent_conv_id, (SELECT count(*) FROM x z WHERE z.depth = x.depth + 1 AND starts_with(z.k, x.k)) AS n_children
+      FROM x LEFT JOIN x u ON u.depth = x.depth - 1 AND starts_with(x.k, u.k))
+SELECT y.conv_id, CAST(y.depth AS BIGINT) AS depth, y.parent_conv_id, CAST(y.n_convs AS BIGINT) AS n_convs,
+       CAST(y.n_children AS BIGINT) AS n_children, CAST(count(*) FILTER (z.n_children = 0) AS BIGINT) AS n_leaves,
+       CAST(sum((z.n_convs - 1) * z.b) AS BIGINT) AS saved_tokens, y.ends_sha256
+FROM y JOIN y z ON starts_with(z.k, y.k)
+GROUP BY y.k, y.conv_id, y.depth, y.parent_conv_id, y.n_convs, y.n_children, y.ends_sha256
+"""
+
+OP12 = r"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                    '[^\x20\x09-\x0D]+') AS ws FROM documents),
+s AS (
+  SELECT doc_id, CASE WHEN len(ws) = 0 THEN []
+                      WHEN len(ws) < 3 THEN [array_to_string(ws, chr(32))]
+                      ELSE list_distinct([ws[i] || chr(32) || ws[i + 1] || chr(32) || ws[i + 2] for i in range(1, len(ws) - 1)]) END AS sh
+  FROM w),
+n AS (SELECT doc_id, len(sh) AS n_shingles FROM s),
+e AS (SELECT doc_id, unnest(sh) AS g FROM s),
+df AS (SELECT g FROM e GROUP BY g HAVING count(*) > 1),
+x AS (SELECT e.doc_id, e.g FROM e JOIN df USING (g)),
+i AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS c
+      FROM x a JOIN x b ON a.g = b.g AND a.doc_id < b.doc_id GROUP BY 1, 2),
+l AS (SELECT a, b FROM i JOIN n na ON na.doc_id = a JOIN n nb ON nb.doc_id = b
+      WHERE 100 * c >= 90 * (na.n_shingles + nb.n_shingles - c)),
+u AS (SELECT a, b FROM l UNION ALL SELECT b, a FROM l),
+r(doc_id, reach) AS (SELECT doc_id, doc_id FROM n
+      UNION SELECT r.doc_id, u.b FROM r JOIN u ON u.a = r.reach),
+c AS (SELECT doc_id, min(reach) AS component_id FROM r GROUP BY 1)
+SELECT n.doc_id, CAST(n.n_shingles AS BIGINT) AS n_shingles, c.component_id
+FROM n JOIN c USING (doc_id)
+"""
+
+OP13 = r"""
+WITH e AS (
+  SELECT vec_id, min({'v': [CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT) for x in embedding],
+                      'l': CASE WHEN vec_id % 7 = 0 THEN (CAST(label AS BIGINT) + 1) % 10 ELSE CAST(label AS BIGINT) END}) AS r
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+    AND len([1 for x in embedding if x IS NULL OR NOT isfinite(x)]) = 0 GROUP BY vec_id),
+s AS (SELECT a.vec_id AS anchor_id, c.vec_id AS other_id, a.r.l = c.r.l AS alike,
+             CAST(list_inner_product(CAST(a.r.v AS DOUBLE[]), CAST(c.r.v AS DOUBLE[])) AS BIGINT) AS score
+      FROM e a JOIN e c ON a.vec_id % 100 = 0 AND a.vec_id <> c.vec_id),
+p AS (SELECT anchor_id, other_id AS positive_id, score AS positive_score FROM s WHERE alike
+      QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, other_id) <= 5)
+SELECT p.anchor_id, positive_id,
+       CAST(row_number() OVER (PARTITION BY p.anchor_id, positive_id ORDER BY score DESC, other_id) AS INTEGER) AS rank,
+       other_id AS negative_id, positive_score, score AS negative_score
+FROM p JOIN s ON s.anchor_id = p.anchor_id AND NOT alike
+  AND 80 * positive_score <= 100 * score AND 100 * score <= 100 * positive_score
+QUALIFY rank <= 5
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op2_warc": OP2, "op4_minhash": OP4, "op5_inner_product": OP5, "op7_reputation": OP7, "op10_curriculum": OP10}
+    return {"op2_warc": OP2, "op4_minhash": OP4, "op5_inner_product": OP5, "op7_reputation": OP7, "op10_curriculum": OP10,
+            "op11_prefix_trie": OP11, "op12_jaccard_join": OP12, "op13_hard_negatives": OP13}
