@@ -86,7 +86,7 @@ def test_a_tile_whose_smallest_document_links_to_few(spark):
 
 def test_blocks_close_what_stars_leave(spark, monkeypatch):
     rows = family_rows(11, 6, [60, 200], 30)
-    monkeypatch.setattr(jj, "_second_heads", lambda rows: rows.selectExpr("node as a", "node as b").where("false"))
+    monkeypatch.setattr(jj, "STARS", 0)
     monkeypatch.setattr(jj, "BLOCK_BYTES", 2000)
     check(spark, rows, 3, 90)
 

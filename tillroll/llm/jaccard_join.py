@@ -40,6 +40,8 @@ BLOCK_BYTES = 8 << 20
 #: A head's partners are dealt over so many groups.
 SALTS = 64
 LEAST_BITS = 64
+#: Rounds in which an open tile's nodes meet one more of them, before blocks close it.
+STARS = 2
 
 _SIGNED = "doc_id long, n_shingles long, digest binary, keys array<long>, bits binary, bytes long"
 _EDGES = [1]
@@ -248,24 +250,27 @@ def _linked(pairs: DataFrame, texts: DataFrame, k: int, percent: int) -> DataFra
     return rows.select("a", "salt", "b", "text").mapInArrow(work, "a long, b long")
 
 
-def _open_tiles(tiles: DataFrame, labels: DataFrame) -> DataFrame:
-    """``key, node, component`` of tiles that hold several components."""
-    rows = tiles.select("key", "node").join(labels, "node", "left")
+def _open_tiles(rows: DataFrame, labels: DataFrame) -> DataFrame:
+    """``key, node, component`` of tiles whose rows ``(key, node)`` lie in several components.
+
+    Of tiles that hold the same nodes one stays: members of a group share many.
+    """
+    rows = rows.select("key", "node").join(labels, "node", "left")
     rows = written(rows.select("key", "node", F.coalesce("component", "node").alias("component")), "open")
-    mixed = rows.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi"), F.count("*").alias("n"))
-    # two nodes have met already
-    return rows.join(written(mixed.where("lo <> hi and n > 2").select("key"), "mixed"), "key")
+    mixed = rows.groupBy("key").agg(
+        F.min("component").alias("lo"), F.max("component").alias("hi"), F.count("*").alias("n"),
+        F.bit_xor(F.xxhash64("node")).alias("x"), F.bit_xor(F.xxhash64("node", F.lit(1))).alias("y"))
+    kept = mixed.where("lo <> hi").groupBy("n", "x", "y").agg(F.min("key").alias("key"))
+    return written(rows.join(written(kept.select("key"), "mixed"), "key"), "open")
 
 
-def _second_heads(rows: DataFrame) -> DataFrame:
-    """Pairs of each open tile's nodes with one node outside its largest component."""
+def _next_heads(rows: DataFrame) -> DataFrame:
+    """``key, one, of``: of each open tile, a node outside its largest component, and its component."""
     per = rows.groupBy("key", "component").agg(F.count("*").alias("n"), F.min(F.struct(F.xxhash64("node"), "node"))["node"].alias("one"))
     most = per.groupBy("key").agg(F.max(F.struct("n", "component"))["component"].alias("major"))
     heads = per.join(most, "key").where("component <> major")
     heads = heads.groupBy("key").agg(F.max(F.struct("n", "one", "component")).alias("h"))
-    heads = heads.select(F.col("key").alias("at"), F.col("h.one").alias("one"), F.col("h.component").alias("of"))
-    met = rows.join(heads, F.col("key") == F.col("at")).where("component <> of")
-    return met.select(F.least("one", "node").alias("a"), F.greatest("one", "node").alias("b")).distinct()
+    return heads.select("key", F.col("h.one").alias("one"), F.col("h.component").alias("of"))
 
 
 def _across(rows: DataFrame, sets: DataFrame, texts: DataFrame, k: int, percent: int) -> DataFrame:
@@ -274,6 +279,7 @@ def _across(rows: DataFrame, sets: DataFrame, texts: DataFrame, k: int, percent:
     Of a tile, what is outside its largest component meets all.  A pair is compared
     in the first tile that it shares.
     """
+    shared = rows.groupBy("node").agg(F.sort_array(F.collect_list("key")).alias("keys"))  # at most the node's keys
     rows = rows.join(sets.select("node", "bytes", "n_shingles"), "node")
     per = rows.groupBy("key", "component").agg(F.count("*").alias("n"), F.sum("bytes").alias("bytes"))
     major = per.groupBy("key").agg(F.max(F.struct("n", "component", "bytes")).alias("m"), F.sum("bytes").alias("total"))
@@ -295,7 +301,7 @@ def _across(rows: DataFrame, sets: DataFrame, texts: DataFrame, k: int, percent:
     others = rows.withColumn("j", own("all")).withColumn("i", each("minors"))
     cols = ["key", "node", "component", "n_shingles", F.xxhash64("key", "i", "j").alias("g")]
     blocks = minors.select(*cols, F.lit(True).alias("minor")).union(others.select(*cols, F.lit(False).alias("minor")))
-    blocks = blocks.join(sets.select("node", "bits", "keys"), "node").join(texts, "node")
+    blocks = blocks.join(sets.select("node", "bits"), "node").join(shared, "node").join(texts, "node")
     blocks = blocks.repartition("g").sortWithinPartitions("g")
 
     def work(batches):
@@ -369,14 +375,20 @@ def components(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
     several = ids.join(several, "doc_id").select(F.col("lo").alias("a"), F.col("node").alias("b"))
     links = written(_linked(pairs, texts, k, percent).union(several), "links")
     found = written(connected_components(links), "components")
-    for last in (False, True):
-        rows = written(_open_tiles(tiles, found), "open")
+    rows = tiles.where("head <> node")
+    for turn in range(STARS + 1):
+        rows = _open_tiles(rows, found)
         if rows.isEmpty():
             break
-        if last:
-            more = _across(rows, sets, texts, k, percent)
+        if turn < STARS:
+            heads = written(_next_heads(rows), "heads")
+            met = rows.join(heads, "key").where("component <> of")
+            pairs = met.select(F.least("one", "node").alias("a"), F.greatest("one", "node").alias("b")).distinct()
+            more = _linked(written(_possible(pairs, sets, percent).distinct(), "pairs"), texts, k, percent)
+            # the head has met all that it has to
+            rows = rows.join(heads.select("key", F.col("one").alias("node")), ["key", "node"], "left_anti")
         else:
-            more = _linked(written(_possible(_second_heads(rows), sets, percent).distinct(), "pairs"), texts, k, percent)
+            more = _across(rows, sets, texts, k, percent)
         more = written(more, "links")
         if not more.isEmpty():
             links = links.union(more)
