@@ -85,7 +85,7 @@ def test_json_rows_are_good_or_quarantined(spark, scratch):
         f.write("[" + ",".join(EVENT % i for i in range(50)) + "]")
     with open(f"{scratch}/open.json", "w") as f:
         f.write("[" + EVENT % 99)
-    good, bad = readers.split_json(readers.read_json_events_typed(spark, scratch))
+    good, bad = readers.split_json(readers.read_json_records(spark, scratch))
     from tillroll.plans import silver
     assert silver.flatten_iot(spark, good).count() == 50
     rows = bad.collect()

@@ -21,6 +21,7 @@ from tillroll import schemas
 from tillroll.plans import gold, publish
 from tillroll.session import state_path
 from tillroll.streaming import pipes, tasks
+from tillroll.streaming.commit import exists
 
 
 @dataclass(frozen=True)
@@ -187,7 +188,7 @@ def main(argv: list[str] | None = None) -> None:
         qs = ingest(spark, lake, args.trigger, args.json_layout) + refine(spark, lake, args.trigger)
         since = None
         while not spark.streams.awaitAnyTermination(args.gold_every):
-            if not all(pipes._exists(spark, lake.silver(t)) for t in ("pos", "iot")):
+            if not all(exists(spark, lake.silver(t)) for t in ("pos", "iot")):
                 continue
             pos = silver_tables(spark, lake)["silver_csv_transaction"]
             newest = pos.agg(F.max("process_time")).first()[0]

@@ -360,7 +360,7 @@ def _event_files(spark, d, text):
     from tillroll.sources import readers
     events = tm.iot_events(spark, d).select("event.*")
     path = tm.landed(spark, "json", events.select(text(F.to_json(F.struct("*"))).alias("value")), "text")
-    return readers.split_json(readers.read_json_events_typed(spark, path, "lines"))
+    return readers.split_json(readers.read_json_records(spark, path, "lines"))
 
 
 @register("iot_json_load")
@@ -380,7 +380,7 @@ def q_json_quarantine(spark, d):
         return F.when(ends, F.substring(line, 1, F.length(line) - 3)).otherwise(line)
 
     good, bad = _event_files(spark, d, spoil)
-    held = bad.select(F.coalesce("event_id", F.regexp_extract("record", '"event_id":"([0-9]+)"', 1)).alias("event_id"),
+    held = bad.select(F.regexp_extract("record", '"event_id":"([0-9]+)"', 1).alias("event_id"),
                       "reason")
     return good.select(F.try_variant_get("raw_payload", "$.event_id", "string").alias("event_id"),
                        F.lit("loaded").alias("reason")).unionByName(held)

@@ -1,10 +1,10 @@
 """File formats of the three feeds, batch and streaming, with lineage.
 
 * JSON (sensor events) → one VARIANT payload per event, whether a file holds an
-  outer array or one event per line (the layout is an explicit choice:
-  ``multiLine`` would silently read only the first object of a line-delimited
-  file).  The reader cuts an array into its events, so no file becomes one value;
-  what does not parse goes to a quarantine with its file.
+  outer array or one event per line.  Files are cut into the texts of their
+  events by byte ranges (:mod:`tillroll.sources.json_events`) and each text is
+  parsed as it is: unknown fields and values of other types stay.  A text that
+  is no JSON object goes to a quarantine with its file, position and reason.
 * CSV (POS lines) → 19 text fields bound by position, header skipped,
   optional ``"`` quoting.  PERMISSIVE parsing with a corrupt-record column:
   short/long rows and unparsable numbers go to a quarantine dataset, good
@@ -23,11 +23,14 @@ import re
 from pyspark.sql import Column, DataFrame, DataFrameReader, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamReader
-from pyspark.sql.types import StringType, StructField, StructType
+from pyspark.sql.types import (
+    BooleanType, DataType, DateType, NumericType, StringType, StructField, StructType, TimestampNTZType, TimestampType,
+)
 
 from tillroll import schemas
 from tillroll.functions.expr import to_long_rounded
 from tillroll.plans import silver
+from tillroll.sources import json_events
 
 CORRUPT = "_corrupt_record"
 # File-name patterns of the ERP feed.
@@ -62,10 +65,40 @@ def _layout(layout: str) -> bool:
     return layout == "array"
 
 
+def list_json_files(spark: SparkSession, path: str, stream: bool = False, glob: str | None = None) -> DataFrame:
+    """``path, length`` of all files below a folder; their content is not read."""
+    r = _reader(spark, stream).format("binaryFile").option("recursiveFileLookup", "true").schema(
+        "path string, modificationTime timestamp, length long, content binary")
+    if glob:
+        r = r.option("pathGlobFilter", glob)
+    return r.load(path).select("path", "length")
+
+
+def json_lines(spark: SparkSession, path: str, stream: bool = False) -> DataFrame:
+    """The lines of text files as records (``json_events.RECORDS``); blank lines hold nothing."""
+    r = _reader(spark, stream).format("text").option("recursiveFileLookup", "true")
+    return r.load(path).where(F.length(F.btrim("value")) > 0).select(
+        F.col("value").alias("record"), F.lit(None).cast("string").alias("fault"),
+        F.col("_metadata.file_path").alias("source_file"), F.lit(None).cast("long").alias("position"))
+
+
+def read_json_records(spark: SparkSession, path: str, layout: str = "array",
+                      range_bytes: int = json_events.RANGE_BYTES) -> DataFrame:
+    """Records ``record, fault, source_file, position, loaded_time`` of JSON files:
+    ``array``: an array of events or objects one after another per file, cut by byte
+    ranges; ``lines``: one event per line."""
+    if _layout(layout):
+        rows = json_events.cut_events(list_json_files(spark, path), range_bytes)
+    else:
+        rows = json_lines(spark, path)
+    return rows.withColumn("loaded_time", F.current_timestamp())
+
+
 def read_json_events_typed(spark: SparkSession, path: str, layout: str = "array",
                            stream: bool = False) -> DataFrame:
-    """One row per event (``schemas.IOT_EVENT``) with its lineage; what does not
-    parse, a whole file or an event, is a row with only ``_corrupt_record``."""
+    """One row per event as ``schemas.IOT_EVENT``: a typed view of files whose types are
+    known to hold.  What does not parse is a row with only ``_corrupt_record``; the
+    load itself goes through :func:`read_json_records`, which keeps all."""
     schema = StructType([*schemas.IOT_EVENT.fields, StructField(CORRUPT, StringType(), True)])
     r = (_reader(spark, stream).format("json").schema(schema)
          .option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", CORRUPT)
@@ -73,22 +106,27 @@ def read_json_events_typed(spark: SparkSession, path: str, layout: str = "array"
     return r.load(path).select("*", *_lineage())
 
 
-def split_json(events: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(``raw_payload, source_file, loaded_time`` of each event; quarantined records
-    ``record, event_id, reason, source_file, loaded_time``)."""
-    fields = [f.name for f in schemas.IOT_EVENT.fields]
-    good = events.filter(F.col(CORRUPT).isNull()).select(
-        F.to_variant_object(F.struct(*fields)).alias("raw_payload"), "source_file", "loaded_time")
-    bad = events.filter(F.col(CORRUPT).isNotNull()).select(
-        F.col(CORRUPT).alias("record"), "event_id", F.lit("malformed_json").alias("reason"),
-        "source_file", "loaded_time")
+def split_json(records: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(``raw_payload, source_file, loaded_time`` of each event; quarantined
+    ``record, reason, source_file, position, loaded_time``).
+
+    Every record is in one of the two: an event is a whole JSON object, whatever its
+    fields hold.  Both sides come from the same parse of the same column, so nothing
+    that one side leaves out can be missed by the other."""
+    payload = F.when(F.col("fault").isNull(), F.try_parse_json("record"))
+    tagged = records.withColumn("raw_payload", payload)
+    reason = F.coalesce(
+        F.col("fault"), F.when(F.col("raw_payload").isNull(), F.lit("malformed_json")),
+        F.when(~F.schema_of_variant("raw_payload").startswith("OBJECT"), F.lit("not_an_object")))
+    tagged = tagged.withColumn("reason", reason)
+    good = tagged.filter(F.col("reason").isNull()).select("raw_payload", "source_file", "loaded_time")
+    bad = tagged.filter(F.col("reason").isNotNull()).select("record", "reason", "source_file", "position", "loaded_time")
     return good, bad
 
 
-def read_json_payload(spark: SparkSession, path: str, layout: str = "array",
-                      stream: bool = False) -> DataFrame:
+def read_json_payload(spark: SparkSession, path: str, layout: str = "array") -> DataFrame:
     """``stg_json_iot`` rows ``raw_payload, source_file, loaded_time``, one per event."""
-    return split_json(read_json_events_typed(spark, path, layout, stream))[0]
+    return split_json(read_json_records(spark, path, layout))[0]
 
 
 # ---------------------------------------------------------------- CSV
@@ -191,49 +229,111 @@ def conform(df: DataFrame, schema: StructType, keep: tuple[str, ...] = ()) -> Da
     """Rename columns by ``normalize_name``, then project the declared
     schema: declared order, cast per column (NULL when it does not fit),
     missing columns NULL, extra columns dropped (``keep`` passes through)."""
-    renamed = df.toDF(*[c if c in keep else normalize_name(c) for c in df.columns])
-    have = set(renamed.columns)
-    out = []
-    for f in schema.fields:
-        t = f.dataType.simpleString()
-        if f.name in have:
-            c = F.col(f.name)
-            c = to_long_rounded(c) if t == "bigint" else c.try_cast(t)
-        else:
-            c = F.lit(None).cast(t)
-        out.append(c.alias(f.name))
-    return renamed.select(*out, *keep)
+    renamed = _renamed(df, keep)
+    return renamed.select(*_conformed(renamed, schema), *keep)
 
 
-def _layouts(spark: SparkSession, files: list[str]) -> list[list[str]]:
-    """Files grouped by the schema in their footers, which tasks read."""
-    import pandas as pd
+def _renamed(df: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
+    return df.toDF(*[c if c in keep else normalize_name(c) for c in df.columns])
 
+
+def _fit(c: Column, source: DataType, target: DataType) -> Column:
+    """A value of a file's own type as the declared type; NULL where it does not fit."""
+    t = target.simpleString()
+    if isinstance(target, DateType):
+        fits = isinstance(source, (StringType, DateType, TimestampType, TimestampNTZType))
+        return c.try_cast(t) if fits else F.lit(None).cast(t)  # a number is no date
+    if isinstance(target, (NumericType, BooleanType)) and not isinstance(source, (NumericType, BooleanType, StringType)):
+        c = c.cast("string")
+    if t == "bigint":
+        return to_long_rounded(c.cast("int") if isinstance(source, BooleanType) else c)
+    return c.try_cast(t)
+
+
+def _conformed(renamed: DataFrame, schema: StructType) -> list[Column]:
+    have = {f.name: f.dataType for f in renamed.schema.fields}
+    return [(_fit(F.col(f.name), have[f.name], f.dataType) if f.name in have
+             else F.lit(None).cast(f.dataType)).alias(f.name) for f in schema.fields]
+
+
+def split_conformed(df: DataFrame, schema: StructType, keep: tuple[str, ...] = ()) -> tuple[DataFrame, DataFrame]:
+    """:func:`conform` with a quarantine: (conformed rows; ``record, reason, …keep`` of rows
+    with a value that its declared type cannot hold)."""
+    renamed = _renamed(df, keep)
+    have = set(renamed.columns)
+    typed = dict(zip([f.name for f in schema.fields], _conformed(renamed, schema), strict=True))
+    reasons = [F.when(F.col(n).isNotNull() & c.isNull(), F.lit(f"bad_{n}")) for n, c in typed.items() if n in have]
+    reason = F.coalesce(*reasons) if reasons else F.lit(None).cast("string")
+    tagged = renamed.withColumn("_reason", reason)
+    good = tagged.filter(F.col("_reason").isNull()).select(*typed.values(), *keep)
+    raw = [F.col(c).cast("string").alias(c) for c in renamed.columns if c not in keep]
+    bad = tagged.filter(F.col("_reason").isNotNull()).select(
+        F.to_json(F.struct(*raw)).alias("record"), F.col("_reason").alias("reason"), *keep)
+    return good, bad
+
+
+def parquet_layouts(files: DataFrame) -> DataFrame:
+    """``path, layout, reason`` of the files ``(path)``: the schema in each footer, which
+    tasks read, or why the file cannot be loaded."""
     def footers(batches):
-        import pyarrow.fs as pafs
+        import pyarrow as pa
         import pyarrow.parquet as pq
         for batch in batches:
             found = []
-            for path in batch["path"]:
-                store, inner = pafs.FileSystem.from_uri(path if "://" in path else f"file://{path}")
-                with store.open_input_file(inner) as f:
-                    found.append((path, pq.read_schema(f).remove_metadata().to_string()))
-            yield pd.DataFrame(found, columns=["path", "layout"])
-
-    paths = spark.createDataFrame([(f,) for f in files], "path string")
-    paths = paths.repartition(max(1, min(len(files), 200)), "path")
-    rows = paths.mapInPandas(footers, "path string, layout string")
-    return [sorted(r["files"]) for r in
-            rows.groupBy("layout").agg(F.collect_list("path").alias("files")).collect()]
+            for path in batch.column(0).to_pylist():
+                try:
+                    with json_events.open_file(path) as f:
+                        layout = pq.read_schema(f).remove_metadata()
+                except (pa.ArrowInvalid, pa.ArrowNotImplementedError, OSError):
+                    found.append((path, None, "unreadable_file"))
+                    continue
+                names = [normalize_name(n) for n in layout.names]
+                twice = len(set(names)) < len(names)
+                found.append((path, layout.to_string(), "ambiguous_columns" if twice else None))
+            yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in found], pa.string()) for i in range(3)],
+                                             names=["path", "layout", "reason"])
+
+    tasks = files.sparkSession.sparkContext.defaultParallelism
+    return files.select("path").repartition(tasks, "path").mapInArrow(footers, "path string, layout string, reason string")
+
+
+def load_parquet_files(files: DataFrame, schema: StructType) -> tuple[DataFrame, DataFrame]:
+    """(good; quarantined) rows of one batch of files ``(path)`` whose column names, order,
+    widths and types differ.
+
+    Files are grouped by the schema of their own footers; each group is one scan, conformed
+    to the declared schema, and the groups, as many as there are layouts, are unioned.
+    The batch's paths pass through the driver, as in every file source; a stream bounds
+    them by its files per trigger.  Quarantined: rows with values that do not fit, and
+    whole files that cannot be read (``record`` is NULL)."""
+    spark = files.sparkSession
+    groups: dict[str, list[str]] = {}
+    faulty = []
+    for r in parquet_layouts(files).collect():
+        if r["reason"]:
+            faulty.append((None, r["reason"], r["path"]))
+        else:
+            groups.setdefault(r["layout"], []).append(r["path"])
+    names = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
+    good = spark.createDataFrame([], f"{names}, source_file string")
+    bad = spark.createDataFrame(faulty, "record string, reason string, source_file string")
+    for layout in sorted(groups):
+        raw = spark.read.parquet(*sorted(groups[layout]))
+        raw = raw.select("*", F.col("_metadata.file_path").alias("source_file"))
+        fits, held = split_conformed(raw, schema, keep=("source_file",))
+        good, bad = good.unionByName(fits), bad.unionByName(held)
+    now = F.current_timestamp()
+    return good.withColumn("loaded_time", now), bad.withColumn("loaded_time", now)
 
 
 def read_parquet_batches(spark: SparkSession, files: list[str], schema: StructType) -> DataFrame:
-    """Files whose column names, order or widths differ: files are grouped by the
-    schema of their own footers, each group is read once and conformed, and the
-    groups, as many as there are layouts, are unioned by name."""
+    """The good rows of :func:`load_parquet_files` for a list of paths, values that do not fit NULL."""
+    groups: dict[str, list[str]] = {}
+    for r in parquet_layouts(spark.createDataFrame([(f,) for f in files], "path string")).collect():
+        groups.setdefault(r["layout"], []).append(r["path"])
     out = None
-    for paths in _layouts(spark, files):
-        raw = spark.read.parquet(*paths)
+    for paths in groups.values():
+        raw = spark.read.parquet(*sorted(paths))
         raw = raw.select("*", F.col("_metadata.file_path").alias("source_file"))
         part = conform(raw, schema, keep=("source_file",))
         out = part if out is None else out.unionByName(part)
