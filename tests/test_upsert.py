@@ -3,8 +3,9 @@ from pyspark.sql import functions as F
 
 from helpers import SF001, rows
 from tillroll import schemas
+from tillroll.operators import changes
 from tillroll.plans import silver, testmodel as tm
-from tillroll.streaming import tasks
+from tillroll.streaming import commit, merge, tasks
 
 SILVER_COLS = [f.name for f in schemas.ERP_ORDERS_SILVER.fields if f.name != "process_time"]
 
@@ -36,3 +37,67 @@ def test_incremental_merge_equals_definition(spark, scratch):
     definition = silver.upsert_orders(bronze).select(*SILVER_COLS)
     assert incremental.count() == definition.count()
     assert rows(incremental) == rows(definition)
+
+
+def _batches(spark):
+    bronze = tm.erp_bronze(spark, SF001)
+    days = sorted(r[0] for r in bronze.select(F.to_date("loaded_time")).distinct().collect())
+    cut = days[2 * len(days) // 3]
+    return bronze.filter(F.to_date("loaded_time") < cut), bronze.filter(F.to_date("loaded_time") >= cut)
+
+
+def test_change_rows_equal_the_diff_of_the_two_states(spark, scratch):
+    first, second = _batches(spark)
+    root, log = f"{scratch}/orders", f"{scratch}/changes"
+    loose = first.limit(3).withColumn("order_id", F.lit(None).cast("string"))
+    for i, batch in enumerate((first, second.unionByName(loose), first.limit(0))):
+        for _ in range(2):                                                       # each batch is replayed
+            tasks.merge_batch(spark, root, batch, i, log)
+    names = SILVER_COLS + ["change_action", "change_isupdate"]
+    got = spark.read.parquet(log).select(*names)
+    old = tasks.read_current(spark, root, before=1)
+    new = tasks.read_current(spark, root)
+    assert new.count() == old.count() + 3 + new.join(old, "order_id", "left_anti").filter("order_id is not null").count()
+    diff = changes.snapshot_diff(old, new, "order_id", [c for c in SILVER_COLS if c != "order_id"])
+    begun = changes.snapshot_diff(old.limit(0), old, "order_id", [c for c in SILVER_COLS if c != "order_id"])
+    assert diff.filter("change_isupdate").count() > 0
+    assert rows(got.filter("order_id is not null")) == rows(diff.unionByName(begun).select(*names))
+    assert got.filter("order_id is null").count() == 3
+    figures = {r.batch_id: r.rows for r in commit.load_figures(spark, log).collect()}
+    assert figures == {0: begun.count(), 1: diff.count() + 3, 2: 0}
+
+
+def test_a_batch_rewrites_only_its_buckets(spark, scratch):
+    first, second = _batches(spark)
+    root = f"{scratch}/orders"
+    tasks.merge_batch(spark, root, first, 0)
+    before = merge.manifest(spark, root)
+    few = second.filter(F.col("order_id") == second.first().order_id)
+    tasks.merge_batch(spark, root, few, 1)
+    after = merge.manifest(spark, root)
+    assert len(before["gens"]) == merge.BUCKETS
+    assert [b for b in after["gens"] if after["gens"][b] != before["gens"][b]] == [
+        str(r[0]) for r in few.select(merge.bucket_of("order_id", merge.BUCKETS)).distinct().collect()]
+    both = silver.upsert_orders(first.unionByName(few)).select(*SILVER_COLS)
+    assert rows(tasks.read_current(spark, root).select(*SILVER_COLS)) == rows(both)
+    tasks.merge_batch(spark, root, second, 2)
+    final = rows(tasks.read_current(spark, root))
+    assert merge.vacuum(spark, root) > 0 and rows(tasks.read_current(spark, root)) == final
+    assert rows(tasks.read_current(spark, root, before=2).select(*SILVER_COLS)) == rows(both)
+
+
+def test_a_merge_that_broke_off_is_done_again(spark, scratch, monkeypatch):
+    import pytest
+    first, second = _batches(spark)
+    root, log = f"{scratch}/orders", f"{scratch}/changes"
+    tasks.merge_batch(spark, root, first, 0, log)
+    monkeypatch.setattr(merge, "put_file", lambda *a: 1 / 0)
+    with pytest.raises(ZeroDivisionError):
+        tasks.merge_batch(spark, root, second, 1, log)
+    assert tasks.generations(spark, root) == [0] and tasks.read_current(spark, root).count() == \
+        silver.upsert_orders(first).count()
+    monkeypatch.undo()
+    tasks.merge_batch(spark, root, second, 1, log)
+    whole = silver.upsert_orders(first.unionByName(second)).select(*SILVER_COLS)
+    assert rows(tasks.read_current(spark, root).select(*SILVER_COLS)) == rows(whole)
+    assert {r.batch_id for r in commit.load_figures(spark, log).collect()} == {0, 1}

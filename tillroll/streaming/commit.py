@@ -35,7 +35,7 @@ def make_folder(spark: SparkSession, path: str) -> None:
     fs.mkdirs(p)
 
 
-def _put(spark: SparkSession, path: str, text: str) -> None:
+def put_file(spark: SparkSession, path: str, text: str) -> None:
     """A small file that is there whole or not at all: written beside, then renamed."""
     fs, p = file_system(spark, path)
     beside = file_system(spark, f"{path}.part")[1]
@@ -63,7 +63,7 @@ def stage(rows: DataFrame, root: str, batch_id: int, partition_by: tuple[str, ..
     writer = rows.observe(seen, *[c.alias(n) for n, c in figures.items()]).write.mode("overwrite")
     # all partitions of an earlier, incomplete attempt go
     writer.option("partitionOverwriteMode", "static").partitionBy(*partition_by).parquet(folder)
-    _put(spark, f"{folder}/_figures.json", json.dumps({"batch_id": batch_id, **seen.get}, default=str))
+    put_file(spark, f"{folder}/_figures.json", json.dumps({"batch_id": batch_id, **seen.get}, default=str))
 
 
 def publish(spark: SparkSession, root: str, batch_id: int) -> None:

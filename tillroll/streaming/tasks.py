@@ -4,29 +4,23 @@
   over the bronze folder → the same DataFrame function as the batch job →
   parquet file sink.  The bronze folder is read through its sink log, so only
   committed bronze files are consumed, each once (append-only change stream).
-* Orders are an upsert.  ``foreachBatch`` applies each micro-batch to the
-  newest complete *generation* of the silver table and writes the result as
-  generation ``batch_id``; a replayed batch rewrites the same generation from
-  the same inputs, so the sink is idempotent.  Readers take the newest
-  generation with a ``_SUCCESS`` marker.  Every batch rewrites the table, so
-  this mode suits order tables that fit a rewrite per trigger; for large
-  logs the definition form (``silver.upsert_orders`` over the whole bronze
-  log, one aggregation) is the scalable path, and both give the same state.
+* Orders are an upsert.  ``foreachBatch`` merges each micro-batch into the
+  hash buckets that its keys fall into and writes only these anew
+  (:mod:`tillroll.streaming.merge`), with the batch's change rows beside them.  The
+  definition form (``silver.upsert_orders`` over the whole bronze log, one
+  aggregation) gives the same state.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from tillroll import schemas
-from tillroll.operators.latest import latest_per_key
 from tillroll.plans import silver
+from tillroll.streaming import merge
 from tillroll.streaming.pipes import _trigger, to_parquet
 
-GEN_PREFIX = "gen="
-
 
 def bronze_stream(spark: SparkSession, path: str, schema) -> DataFrame:
     return spark.readStream.schema(schema).parquet(path)
@@ -51,58 +45,35 @@ def iot_task(spark: SparkSession, bronze: str, silver_path: str, checkpoint: str
 
 
 # ---------------------------------------------------------------- upsert
-def _fs(spark: SparkSession, path: str):
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
-
-
 def generations(spark: SparkSession, root: str) -> list[int]:
-    """Complete generations (with ``_SUCCESS``) under ``root``, ascending."""
-    fs, p = _fs(spark, root)
-    if not fs.exists(p):
-        return []
-    out = []
-    for st in fs.listStatus(p):
-        name = st.getPath().getName()
-        if name.startswith(GEN_PREFIX) and fs.exists(
-                spark.sparkContext._jvm.org.apache.hadoop.fs.Path(st.getPath(), "_SUCCESS")):
-            out.append(int(name[len(GEN_PREFIX):]))
-    return sorted(out)
+    """Committed batch ids of the orders table, ascending."""
+    return merge.batches(spark, root)
 
 
 def read_current(spark: SparkSession, root: str, schema=schemas.ERP_ORDERS_SILVER,
                  before: int | None = None) -> DataFrame:
-    """Newest complete generation (optionally the newest one below ``before``)."""
-    gens = [g for g in generations(spark, root) if before is None or g < before]
-    if not gens:
-        return spark.createDataFrame([], schema)
-    return spark.read.schema(schema).parquet(f"{root}/{GEN_PREFIX}{gens[-1]}")
+    """The orders after the newest batch (optionally the newest one below ``before``)."""
+    return merge.read_table(spark, root, schema, before)
 
 
-def merge_batch(spark: SparkSession, root: str, batch: DataFrame, batch_id: int) -> None:
+def merge_batch(spark: SparkSession, root: str, batch: DataFrame, batch_id: int,
+                changes: str | None = None, buckets: int = merge.BUCKETS) -> None:
     """Apply one bronze micro-batch (MERGE: update all on match, else insert).
 
     Within the batch the last processed version of a key wins (same total
-    order as the definition form); NULL keys never match and are inserted."""
-    cols = [f.name for f in schemas.ERP_ORDERS_BRONZE.fields]
-    b = batch.select(*cols)
-    src = latest_per_key(b.filter(F.col(silver.ORDER_KEY).isNotNull()),
-                         silver.ORDER_KEY, silver.ORDER_SEQUENCE)
-    src = src.unionByName(b.filter(F.col(silver.ORDER_KEY).isNull()))
-    src = src.withColumn("process_time", F.current_timestamp()).select(
-        *[f.name for f in schemas.ERP_ORDERS_SILVER.fields])
-    cur = read_current(spark, root, before=batch_id)
-    keep = cur.join(src.select(silver.ORDER_KEY).filter(F.col(silver.ORDER_KEY).isNotNull()),
-                    silver.ORDER_KEY, "left_anti")
-    keep.unionByName(src).write.mode("overwrite").parquet(f"{root}/{GEN_PREFIX}{batch_id}")
+    order as the definition form); NULL keys never match and are inserted.  With
+    ``changes`` the batch's change rows go to that folder."""
+    merge.merge(batch, batch_id, root, schemas.ERP_ORDERS_SILVER, silver.ORDER_KEY, silver.ORDER_SEQUENCE,
+                "process_time", changes, buckets=buckets)
 
 
 def orders_task(spark: SparkSession, bronze: str, silver_root: str, checkpoint: str,
-                trigger: str | None = None) -> StreamingQuery:
-    """MERGE each bronze micro-batch into ``silver_erp_orders``."""
+                trigger: str | None = None, changes: str | None = None) -> StreamingQuery:
+    """MERGE each bronze micro-batch into ``silver_erp_orders``; C3: its change rows
+    (default folder: beside the table)."""
+    changes = changes or f"{silver_root}_changes"
     stream = bronze_stream(spark, bronze, schemas.ERP_ORDERS_BRONZE)
     w = (stream.writeStream.option("checkpointLocation", checkpoint)
          .queryName("task_orders_to_silver")
-         .foreachBatch(lambda df, bid: merge_batch(spark, silver_root, df, bid)))
+         .foreachBatch(lambda df, bid: merge_batch(spark, silver_root, df, bid, changes)))
     return _trigger(w, trigger).start()
