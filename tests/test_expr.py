@@ -18,6 +18,21 @@ def test_int_cast_rounds_and_tolerates_junk(spark):
     assert got == [4, -4, None, None, 12]
 
 
+def test_int_cast_by_known_type_gives_the_same(spark):
+    from pyspark.sql.types import DoubleType, LongType, StringType
+    doubles = [3.7, -3.5, 0.49999999999999994, 0.5, -0.5, 2.5, 1e15 + 0.5, 4503599627370497.5, 9e15, -9e18, 1e19, 1e300,
+               float("nan"), float("inf"), None, -0.2]
+    df = spark.createDataFrame([(x,) for x in doubles], "x double")
+    pairs = df.select(to_long_rounded("x").alias("a"), to_long_rounded("x", DoubleType()).alias("b")).collect()
+    assert [r.a for r in pairs] == [r.b for r in pairs]
+    texts = ["12", " 7 ", "3.7", "-3.5", "9007199254740993", "99999999999999999999", "1e3", "x", "", None, "+5", "0x1"]
+    df = spark.createDataFrame([(x,) for x in texts], "x string")
+    pairs = df.select(to_long_rounded("x").alias("a"), to_long_rounded("x", StringType()).alias("b")).collect()
+    assert [r.a for r in pairs] == [r.b for r in pairs]
+    df = spark.createDataFrame([(2**62,), (-5,), (None,)], "x long")
+    assert [r[0] for r in df.select(to_long_rounded("x", LongType())).collect()] == [2**62, -5, None]
+
+
 def test_timestamp_from_text(spark):
     df = spark.createDataFrame([("2023-05-01", "13:04:05"), ("2023-05-01", "99:99:99"),
                                 (None, "01:00:00"), ("junk", "01:00:00")], "d string, t string")

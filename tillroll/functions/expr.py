@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql.types import DataType, DecimalType, FractionalType, IntegralType, StringType
 
 
 def _c(x) -> Column:
@@ -23,14 +24,27 @@ def clamp_non_negative(x) -> Column:
     return F.when(x < 0, F.lit(0)).otherwise(x)
 
 
-def to_long_rounded(x) -> Column:
+def to_long_rounded(x, source: DataType | None = None) -> Column:
     """Numeric/text → BIGINT rounding half away from zero (``'3.7'`` → 4).
 
     Junk text and overflow give NULL instead of failing the load.  The value
     goes through DECIMAL, which holds every BIGINT exactly (a double does not
-    beyond 2**53).
+    beyond 2**53).  A known ``source`` type takes a shorter way to the same value:
+    whole numbers are kept, doubles are split at their point (exact), and
+    text of plain digits is read as it is.
     """
-    return F.round(_c(x).try_cast("decimal(38,18)")).try_cast("bigint")
+    x = _c(x)
+    if isinstance(source, IntegralType):
+        return x.cast("bigint")
+    by_decimal = F.round(x.try_cast("decimal(38,18)")).try_cast("bigint")
+    if isinstance(source, FractionalType) and not isinstance(source, DecimalType):
+        size = F.abs(x)
+        below = F.floor(size)
+        whole = below + (size - below >= 0.5).cast("bigint")
+        return F.when(size < 2.0 ** 52, F.when(x < 0, -whole).otherwise(whole)).otherwise(by_decimal)
+    if isinstance(source, StringType):
+        return F.coalesce(x.try_cast("bigint"), by_decimal)
+    return by_decimal
 
 
 def to_double(x) -> Column:
@@ -85,11 +99,13 @@ EXACT_SUM_TYPE = "decimal(38,8)"
 
 
 def exact_sum(x) -> Column:
-    """Exact sum of all values; if one does not fit the decimal (NaN, infinite, 1e30 and
-    beyond), the DOUBLE sum of all, so that no value is left out of a total."""
+    """Exact sum of all values.  Values that the decimal cannot hold (NaN, infinite, 1e30 and
+    beyond) are summed beside it as DOUBLE and added, so that none is left out of a total."""
     x = _c(x)
     exact = x.try_cast(EXACT_SUM_TYPE)
-    return F.when(F.count(exact) == F.count(x), F.sum(exact).cast("double")).otherwise(F.sum(x.cast("double")))
+    rest = F.sum(F.when(exact.isNull(), x.cast("double")))
+    total = F.sum(exact).cast("double")
+    return F.when(rest.isNull(), total).otherwise(F.coalesce(total, F.lit(0.0)) + rest)
 
 
 def file_base_name(path) -> Column:

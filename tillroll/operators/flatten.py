@@ -11,6 +11,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType
 
 from tillroll.functions.expr import to_long_rounded
 
@@ -49,8 +50,8 @@ def flatten_variant_events(spark: SparkSession, bronze: DataFrame,
         _vget(e, "$.timestamp").try_cast("timestamp_ntz").alias("event_ts"),
         _vget(e, "$.device_id").alias("device_id"),
         _vget(e, "$.metadata.firmware").alias("firmware"),
-        to_long_rounded(_vget(e, "$.metadata.battery_pct", "double")).alias("battery_pct"),
-        to_long_rounded(_vget(e, "$.metadata.store_floor", "double")).alias("store_floor"),
+        to_long_rounded(_vget(e, "$.metadata.battery_pct", "double"), DoubleType()).alias("battery_pct"),
+        to_long_rounded(_vget(e, "$.metadata.store_floor", "double"), DoubleType()).alias("store_floor"),
         _vget(r, "$.value", "double").alias("sensor_value"),
         _vget(r, "$.unit").alias("sensor_unit"),
         *keep,

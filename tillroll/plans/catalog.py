@@ -25,6 +25,8 @@ RUN_VARYING = {"loaded_time", "process_time", "processed_timestamp", "load_times
 # Fixed parameters of the registered time-travel queries.
 AS_OF_TIMESTAMP = "1998-06-30 23:59:59"
 AS_OF_OFFSET_SECONDS = 30 * 24 * 3600
+# Load times that part the order log into the batches of the registered MERGE queries.
+MERGE_CUTS = ["1994-07-01 00:00:00", "1997-01-01 00:00:00"]
 
 
 def present(df: DataFrame) -> DataFrame:
@@ -395,3 +397,74 @@ def q_orders_parquet_load(spark, d):
     path = tm.landed(spark, "erp", tm.build_erp_bronze(spark, d).select(*reversed(names)), "parquet")
     # the landed folder's files have Spark's names; the feed's pattern is in the folder
     return readers.read_erp_orders(spark, path, path_regex=r".*erp.*[.]parquet").select(*names)
+
+
+@register("json_mixed_load")
+def q_json_mixed_load(spark, d):
+    """S7/S15/S20/C2 the JSON pipe over array files with unknown fields, ill-typed values, broken
+    and foreign elements: what became of each event; events in = loaded + quarantined."""
+    from tillroll.streaming import pipes
+    src = tm.landed(spark, "json-mixed", tm.mixed_event_arrays(spark, d), "text")
+    bronze, held = f"{src}-bronze", f"{src}-held"
+    for q in pipes.json_pipe(spark, src, bronze, f"{src}-state", quarantine=held):
+        q.awaitTermination()
+    p = F.col("raw_payload")
+
+    def field(path):
+        return F.try_variant_get(p, path, "string")
+
+    good = spark.read.parquet(bronze).select(
+        field("$.event_id").alias("event_id"), F.lit("loaded").alias("outcome"), field("$.metadata.battery_pct").alias("battery"),
+        field("$.readings[0].value").alias("value"), field("$.extra.note").alias("note"))
+    nothing = [F.lit(None).cast("string").alias(c) for c in ("battery", "value", "note")]
+    bad = spark.read.parquet(held).select(
+        F.regexp_extract("record", "([0-9]+)", 1).alias("event_id"), F.col("reason").alias("outcome"), *nothing)
+    return good.unionByName(bad)
+
+
+@register("orders_mixed_load")
+def q_orders_mixed_load(spark, d):
+    """S9/S13/S16/S22 the order pipe over files of three layouts (declared; spaced upper-case names
+    with DOUBLE quantities and text dates; text quantities, a column missing, one more)."""
+    from tillroll import schemas
+    from tillroll.streaming import pipes
+    src = tm.landed_as(spark, "erp_orders", tm.mixed_order_layouts(spark, d))
+    bronze, held = f"{src}-bronze", f"{src}-held"
+    pipes.orders_pipe(spark, src, bronze, f"{src}-state", quarantine=held).awaitTermination()
+    kept = ["order_id", "order_date", "product_sku", "quantity_ordered", "quantity_received", "unit_cost", "warehouse_id", "is_late"]
+    types = {f.name: f.dataType for f in schemas.ERP_ORDERS.fields}
+    good = spark.read.parquet(bronze).select(*kept, F.lit("loaded").alias("outcome"))
+    bad = spark.read.parquet(held).select(
+        *[F.get_json_object("record", f"$.{c}").try_cast(types[c]).alias(c) for c in kept], F.col("reason").alias("outcome"))
+    return good.unionByName(bad)
+
+
+def _merged_orders(spark, d):
+    """The order log merged in three batches, as its files' days would bring them; (table, change rows)."""
+    import uuid
+
+    from tillroll.session import state_path
+    from tillroll.streaming import tasks
+    root = state_path(spark, "merged", uuid.uuid4().hex)
+    log = tm.erp_bronze(spark, d)
+    lows, highs = [None, *MERGE_CUTS], [*MERGE_CUTS, None]
+    for i, (low, high) in enumerate(zip(lows, highs, strict=True)):
+        batch = log
+        if low:
+            batch = batch.filter(F.col("loaded_time") >= F.lit(low).cast("timestamp"))
+        if high:
+            batch = batch.filter(F.col("loaded_time") < F.lit(high).cast("timestamp"))
+        tasks.merge_batch(spark, f"{root}/orders", batch, i, f"{root}/changes")
+    return tasks.read_current(spark, f"{root}/orders"), spark.read.parquet(f"{root}/changes")
+
+
+@register("orders_merge")
+def q_orders_merge(spark, d):
+    """J6/C5 the incremental MERGE: its state after three batches."""
+    return _merged_orders(spark, d)[0]
+
+
+@register("orders_merge_changes")
+def q_orders_merge_changes(spark, d):
+    """C3 the change rows that the three MERGEs themselves put out."""
+    return _merged_orders(spark, d)[1]

@@ -31,12 +31,12 @@ def stage_pos(raw: DataFrame, source_file=None, loaded_time=None) -> DataFrame:
         c("customer_id").cast("string"), c("product_sku").cast("string"),
         c("product_name").cast("string"), c("category").cast("string"),
         c("subcategory").cast("string"),
-        to_long_rounded("quantity").alias("quantity"),
+        to_long_rounded("quantity", raw.schema["quantity"].dataType).alias("quantity"),
         to_double("unit_price").alias("unit_price"),
         to_double("discount_pct").alias("discount_pct"),
         to_double("total_amount").alias("total_amount"),
         c("payment_method").cast("string"),
-        to_long_rounded("loyalty_points").alias("loyalty_points"),
+        to_long_rounded("loyalty_points", raw.schema["loyalty_points"].dataType).alias("loyalty_points"),
         ts_from_date_and_time(c("transaction_date").cast("string"),
                               c("transaction_time").cast("string")).alias("transaction_ts"),
         src.cast("string").alias("source_file"),
@@ -118,7 +118,7 @@ def stage_orders(raw: DataFrame, source_file=None, loaded_time=None) -> DataFram
     for f in schemas.ERP_ORDERS.fields:
         t = f.dataType.simpleString()
         if t == "bigint":
-            out.append(to_long_rounded(f.name).alias(f.name))
+            out.append(to_long_rounded(f.name, raw.schema[f.name].dataType).alias(f.name))
         else:
             out.append(F.col(f.name).try_cast(t).alias(f.name))
     return raw.select(*out, lt.cast("timestamp").alias("loaded_time"),

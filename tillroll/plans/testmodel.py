@@ -39,6 +39,7 @@ EVENT_TYPE_MAP = {"click": "entrance_gate", "view": "cold_storage",
                   "purchase": "energy_meter"}   # others → pos_terminal
 EVENT_TYPE_OTHER = "pos_terminal"
 EVENT_DAY_SHIFT = 9496               # 2024-01-01 → 1998-01-01, meets order dates
+FEED_ROWS_PER_FILE = 40_000          # a derived feed comes in files, as a landed one does
 EVENTS_PER_FILE = 16                 # events nested per payload array
 BAD_TIME_TEXT = "99:99:99"
 
@@ -103,7 +104,7 @@ def stored_feed(spark: SparkSession, sf_dir: str, name: str, build) -> DataFrame
     success = jvm.org.apache.hadoop.fs.Path(f"{path}/_SUCCESS")
     if not fs.exists(success):
         tmp = f"{path}.tmp-{uuid.uuid4().hex}"
-        build().write.mode("overwrite").parquet(tmp)
+        build().write.mode("overwrite").option("maxRecordsPerFile", FEED_ROWS_PER_FILE).parquet(tmp)
         tmp_path = jvm.org.apache.hadoop.fs.Path(tmp)
         if fs.exists(target) and not fs.exists(success):
             fs.delete(target, True)                     # a partial copy from a failed run
@@ -125,6 +126,25 @@ def landed(spark: SparkSession, feed: str, rows: DataFrame, fmt: str, **options)
     return path
 
 
+def landed_as(spark: SparkSession, prefix: str, parts: list[DataFrame]) -> str:
+    """Land each part as parquet files named ``<prefix>…``, in a dated folder of its own."""
+    import uuid
+
+    from tillroll.session import state_path
+    root = state_path(spark, "landed", f"{prefix}-{uuid.uuid4().hex}")
+    jvm = spark.sparkContext._jvm
+    for i, part in enumerate(parts):
+        folder = f"{root}/2024-01-{i + 1:02d}"
+        part.write.parquet(folder)
+        path = jvm.org.apache.hadoop.fs.Path(folder)
+        fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+        for s in fs.listStatus(path):
+            name = s.getPath().getName()
+            if name.startswith("part-"):
+                fs.rename(s.getPath(), jvm.org.apache.hadoop.fs.Path(path, f"{prefix}_{name}"))
+    return root
+
+
 # ---------------------------------------------------------------- POS feed
 def pos_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     """POS lines in the 19-field CSV layout (date and time as text)."""
@@ -250,6 +270,39 @@ def iot_events(spark: SparkSession, sf_dir: str) -> DataFrame:
                      evt.alias("event"))
 
 
+def mixed_event_arrays(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """JSON arrays of a block's events as devices of other makes send them: fields that nobody
+    declared, fractions and texts where numbers are declared, broken elements and bare numbers
+    (by the event id's last digit)."""
+    ev = read_columns(spark, f"{sf_dir}/events.parquet", ["event_id", "user_id", "event_type"])
+    last = F.col("event_id") % 10
+    value = F.when(last == 5, F.lit('"n/a"')).otherwise(F.col("user_id").cast("string"))
+    whole = F.format_string(
+        '{"event_id":"%s", "event_type":"%s",\n "metadata":{"battery_pct":%s.5}, "readings":[{"value":%s,"unit":"kg","calib":[%s,"]\\""]}],'
+        '"extra":{"note":"u%s"}}', F.col("event_id").cast("string"), "event_type", (F.col("user_id") % 100).cast("string"),
+        value, last.cast("string"), F.col("user_id").cast("string"))
+    broken = F.format_string('{"event_id":"%s","event_type": }', F.col("event_id").cast("string"))
+    text = F.when(last == 7, broken).when(last == 9, F.col("event_id").cast("string")).otherwise(whole)
+    block = (F.col("event_id") / EVENTS_PER_FILE).cast("bigint")
+    arrays = ev.select(block.alias("block"), text.alias("t")).groupBy("block").agg(F.collect_list("t").alias("t"))
+    return arrays.select(F.concat(F.lit("["), F.array_join("t", ",\n"), F.lit("]")).alias("value"))
+
+
+def mixed_order_layouts(spark: SparkSession, sf_dir: str) -> list[DataFrame]:
+    """The order files' rows in three layouts, by the last digit of the order id: as declared; spaced
+    upper-case names in another order, DOUBLE quantities and text dates; text quantities
+    (``n/a`` for every tenth amount), no ``warehouse_id`` and a column more."""
+    names = [f.name for f in schemas.ERP_ORDERS.fields]
+    rows = build_erp_bronze(spark, sf_dir).select(*names)
+    kind = F.substring("order_id", -1, 1).cast("int") % 3
+    retyped = {n: F.col(n).cast("double") if n.startswith("quantity") else F.col(n).cast("string") if f == "date" else F.col(n)
+               for n, f in rows.dtypes}
+    spaced = rows.filter(kind == 1).select(*[retyped[n].alias(n.replace("_", " ").upper()) for n in reversed(names)])
+    amount = F.when(F.col("quantity_ordered") % 10 == 0, F.lit("n/a")).otherwise(F.col("quantity_ordered").cast("string"))
+    other = rows.filter(kind == 2).withColumn("quantity_ordered", amount).drop("warehouse_id").withColumn("note", F.lit("x"))
+    return [rows.filter(kind == 0), spaced, other]
+
+
 def iot_bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``stg_json_iot``: sensor payloads as landed (stored once)."""
     return stored_feed(spark, sf_dir, "iot_payloads", lambda: build_iot_bronze(spark, sf_dir))
@@ -296,7 +349,7 @@ def build_erp_bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
            .join(n, F.col("s_nationkey") == F.col("n_nationkey")))
     day = F.to_date("l_shipdate")
     filled = F.col("l_linestatus") == "F"
-    qty = to_long_rounded("l_quantity")
+    qty = to_long_rounded("l_quantity", li.schema["l_quantity"].dataType)
     actual = F.when(filled, F.date_add(day, (F.col("l_orderkey") % 11).cast("int")))
     expected = F.date_add(day, 7)
     return j.select(

@@ -24,7 +24,7 @@ from pyspark.sql import Column, DataFrame, DataFrameReader, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamReader
 from pyspark.sql.types import (
-    BooleanType, DataType, DateType, NumericType, StringType, StructField, StructType, TimestampNTZType, TimestampType,
+    BooleanType, DataType, DateType, IntegerType, NumericType, StringType, StructField, StructType, TimestampNTZType, TimestampType,
 )
 
 from tillroll import schemas
@@ -183,7 +183,7 @@ def typed_pos_raw(raw: DataFrame) -> DataFrame:
         t = f.dataType.simpleString()
         c = F.col(f.name)
         if t == "bigint":
-            out.append(to_long_rounded(c).alias(f.name))
+            out.append(to_long_rounded(c, StringType()).alias(f.name))
         else:
             out.append(c.try_cast(t).alias(f.name))
     return raw.select(*out, "source_file", "loaded_time")
@@ -244,9 +244,9 @@ def _fit(c: Column, source: DataType, target: DataType) -> Column:
         fits = isinstance(source, (StringType, DateType, TimestampType, TimestampNTZType))
         return c.try_cast(t) if fits else F.lit(None).cast(t)  # a number is no date
     if isinstance(target, (NumericType, BooleanType)) and not isinstance(source, (NumericType, BooleanType, StringType)):
-        c = c.cast("string")
+        c, source = c.cast("string"), StringType()
     if t == "bigint":
-        return to_long_rounded(c.cast("int") if isinstance(source, BooleanType) else c)
+        return to_long_rounded(c.cast("int"), IntegerType()) if isinstance(source, BooleanType) else to_long_rounded(c, source)
     return c.try_cast(t)
 
 
