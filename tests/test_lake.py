@@ -74,3 +74,58 @@ def test_lake_end_to_end(spark, scratch):
     for since in ("2000-01-01 00:00:00", newest):
         again = jobs.build_gold(spark, lake, since)
         assert rows(again["fact_decisions"].select(*cols)) == before
+
+
+GOLD = {"fact_decisions": "report_date", "fact_iot_store_daily": "event_date", "fact_sales_verses_iot": "report_date",
+        "fact_gross_margin": None, "matelized_view_category_by_region": None}
+
+
+def _files(lake, table):
+    return {f"{d}/{f}" for d, _, names in os.walk(lake.gold(table)) for f in names if f.endswith(".parquet")}
+
+
+def test_refresh_takes_in_changes_and_leaves_other_days_alone(spark, scratch):
+    lake = jobs.Lake(f"{scratch}/lake")
+    text = tm.pos_raw(spark, SF001).select(*[F.col(c).cast("string").alias(c) for c in schemas.POS_CSV_FIELDS])
+    # two months that have sensor events; every report day is a folder
+    text = text.filter((F.col("transaction_time") != tm.BAD_TIME_TEXT) & F.col("transaction_date").between("1998-01-01", "1998-02-28"))
+    days = sorted(r[0] for r in text.select("transaction_date").distinct().collect() if r[0])
+    late = F.coalesce(F.col("transaction_date"), F.lit("")) >= days[-5]
+    orders = tm.erp_bronze(spark, SF001)
+    order_fields = [f.name for f in schemas.ERP_ORDERS.fields]
+    cut = F.col("loaded_time") >= F.lit("1997-01-01").cast("timestamp")
+    events = tm.iot_events(spark, SF001).select(F.to_json("event").alias("value"))
+    last_event = F.col("value").contains(f'"timestamp":"{days[-3]}')
+
+    def land(day, lines, sensor, erp):
+        lines.write.option("header", True).csv(f"{lake.csv_stage}/{day}")
+        sensor.write.text(f"{lake.json_stage}/{day}")
+        os.makedirs(f"{lake.parquet_stage}/{day}")
+        name = f"{lake.parquet_stage}/{day}/erp_orders_{day}.parquet"
+        tmp = f"{scratch}/tmp-{day}"
+        erp.select(*order_fields).coalesce(1).write.parquet(tmp)
+        os.rename(next(f"{tmp}/{f}" for f in os.listdir(tmp) if f.endswith(".parquet")), name)
+        jobs.await_all(jobs.ingest(spark, lake, json_layout="lines"))
+        jobs.await_all(jobs.refine(spark, lake))
+
+    land("2024-01-01", text.filter(~late), events.filter(~last_event), orders.filter(~cut))
+    jobs.refresh_gold(spark, lake)
+    before = {t: _files(lake, t) for t in GOLD}
+    redelivered = text.filter(F.col("transaction_date") == days[0])
+    land("2024-01-02", text.filter(late).unionByName(redelivered), events.filter(last_event), orders.filter(cut))
+    taken = jobs.refresh_gold(spark, lake)
+    assert {str(d) for d in taken["pos"]} == {*days[-5:], days[0]}
+    for table in ("fact_decisions", "fact_sales_verses_iot"):
+        kept = {f for f in before[table] if not any(f"report_date={d}" in f for d in (*days[-5:], days[0]))}
+        assert kept and kept <= _files(lake, table)
+
+    def content():
+        spark.catalog.clearCache()
+        return {t: rows(catalog.present(spark.read.parquet(lake.gold(t)).drop("load_timestamp"))) for t in GOLD}
+
+    refreshed = content()
+    at = {t: _files(lake, t) for t in GOLD}
+    assert jobs.refresh_gold(spark, lake) == {"pos": set(), "iot": set()} and at == {t: _files(lake, t) for t in GOLD}
+    jobs.build_gold(spark, lake)
+    assert content() == refreshed
+    assert len(refreshed["fact_gross_margin"]) > 0 and len(refreshed["fact_sales_verses_iot"]) > 0

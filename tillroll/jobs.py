@@ -11,6 +11,7 @@ checkpoint folder.
 from __future__ import annotations
 
 import hashlib
+import json
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -21,7 +22,7 @@ from tillroll import schemas
 from tillroll.plans import gold, publish
 from tillroll.session import state_path
 from tillroll.streaming import pipes, tasks
-from tillroll.streaming.commit import exists
+from tillroll.streaming.commit import exists, put_file, read_json
 
 
 @dataclass(frozen=True)
@@ -96,8 +97,8 @@ def await_all(queries: list[StreamingQuery]) -> None:
 
 def silver_tables(spark: SparkSession, lake: Lake) -> dict[str, DataFrame]:
     return {
-        "silver_csv_transaction": spark.read.schema(schemas.POS_SILVER).parquet(lake.silver("pos")),
-        "silver_iot_events": spark.read.schema(schemas.IOT_SILVER).parquet(lake.silver("iot")),
+        "silver_csv_transaction": tasks.read_silver(spark, lake.silver("pos"), schemas.POS_SILVER),
+        "silver_iot_events": tasks.read_silver(spark, lake.silver("iot"), schemas.IOT_SILVER),
         "silver_erp_orders": tasks.read_current(spark, lake.silver("orders")),
     }
 
@@ -123,11 +124,20 @@ def build_gold(spark: SparkSession, lake: Lake, since=None) -> dict[str, DataFra
                                   gold.fact_decisions, lake.gold("fact_decisions"))
     fact = spark.read.parquet(lake.gold("fact_decisions"))
     publish.publish(gold.gross_margin(pos, erp), lake.gold("fact_gross_margin"))
-    publish.publish(gold.iot_store_daily(iot), lake.gold("fact_iot_store_daily"))
+    publish.publish(gold.iot_store_daily(iot), lake.gold("fact_iot_store_daily"), ("event_date",))
     iot_daily = spark.read.parquet(lake.gold("fact_iot_store_daily"))
-    publish.publish(gold.sales_vs_iot(fact, iot_daily), lake.gold("fact_sales_verses_iot"))
+    publish.publish(gold.sales_vs_iot(fact, iot_daily), lake.gold("fact_sales_verses_iot"), ("report_date",))
     publish.publish(gold.category_by_region(fact),
                     lake.gold("matelized_view_category_by_region"))
+    return gold_tables(spark, lake)
+
+
+def gold_tables(spark: SparkSession, lake: Lake) -> dict[str, DataFrame]:
+    """The published gold tables and the views over the stored data, all registered, by name."""
+    s = silver_tables(spark, lake)
+    pos, iot = s["silver_csv_transaction"], s["silver_iot_events"]
+    fact = spark.read.parquet(lake.gold("fact_decisions"))
+    iot_daily = spark.read.parquet(lake.gold("fact_iot_store_daily"))
     out = dict(s)
     out.update({
         "fact_decisions": fact,
@@ -157,6 +167,65 @@ def build_gold(spark: SparkSession, lake: Lake, since=None) -> dict[str, DataFra
     return out
 
 
+def refresh_gold(spark: SparkSession, lake: Lake) -> dict[str, set]:
+    """Bring the gold tables up to date from what has changed, and only that.
+
+    The days that new silver batches touch were observed when these were written, and
+    the orders table put out change rows; what the last refresh has taken in is
+    kept beside gold.  Touched days flow on: POS days to ``fact_decisions``, sensor days to
+    ``fact_iot_store_daily``, both to ``fact_sales_verses_iot`` (only these days' folders
+    are read and replaced); order changes are added to the cost sums of the margin.  What spans
+    all days is put together from the daily fact, never from silver.
+
+    Returns the days taken in, by silver table.  A refresh that breaks off is done again whole."""
+    state_file = f"{lake.gold('_refresh')}/state.json"
+    state = read_json(spark, state_file)
+    if state is None:
+        state = {"pos": -1, "iot": -1, "orders": -1}
+    taken, newest = {}, dict(state)
+    for name in ("pos", "iot"):
+        taken[name], newest[name] = tasks.touched_days(spark, lake.silver(name), state[name])
+    newest["orders"] = max([state["orders"], *tasks.generations(spark, lake.silver("orders"))])
+    changed = newest["orders"] > state["orders"]
+    costs_at = "{}/upto={}".format(lake.gold("_order_costs"), "{}")
+    s = silver_tables(spark, lake)
+    first = state["pos"] < 0 and state["iot"] < 0 and state["orders"] < 0
+
+    def days_of(table: DataFrame, column: str, days: set) -> DataFrame:
+        return table if first else table.filter(publish.in_days(column, days))
+
+    def lines_of(name: str, column: str, days: set) -> DataFrame:
+        return s[name] if first else tasks.only_days(s[name], column, days)
+
+    if taken["pos"] or first:
+        publish.replace_days(gold.fact_decisions(lines_of("silver_csv_transaction", "transaction_date", taken["pos"])),
+                             lake.gold("fact_decisions"), "report_date")
+    fact = spark.read.parquet(lake.gold("fact_decisions"))
+    if taken["iot"] or first:
+        publish.replace_days(gold.iot_store_daily(lines_of("silver_iot_events", "event_ts", taken["iot"])),
+                             lake.gold("fact_iot_store_daily"), "event_date")
+    iot_daily = spark.read.parquet(lake.gold("fact_iot_store_daily"))
+    both = (taken["pos"] | taken["iot"]) - {None}  # days join days
+    if both or first:
+        publish.replace_days(gold.sales_vs_iot(days_of(fact, "report_date", both), days_of(iot_daily, "event_date", both)),
+                             lake.gold("fact_sales_verses_iot"), "report_date")
+    if changed:
+        old = state["orders"]
+        if old < 0:
+            costs = gold.order_costs(s["silver_erp_orders"])
+        else:
+            fresh = tasks.read_changes(spark, lake.silver("orders") + "_changes", old)
+            costs = gold.add_order_costs(spark.read.parquet(costs_at.format(old)), fresh)
+        publish.publish(costs, costs_at.format(newest["orders"]))
+    if taken["pos"] or changed or first:
+        publish.publish(gold.category_by_region(fact), lake.gold("matelized_view_category_by_region"))
+        if newest["orders"] >= 0:
+            costs = spark.read.parquet(costs_at.format(newest["orders"]))
+            publish.publish(gold.gross_margin_from(fact, costs), lake.gold("fact_gross_margin"))
+    put_file(spark, state_file, json.dumps(newest))
+    return taken
+
+
 def load_time_window(df: DataFrame, since) -> DataFrame:
     """Rows loaded at or after ``since`` (reads of a stream's table between
     runs; reading does not consume).  On bronze the day condition prunes
@@ -186,14 +255,10 @@ def main(argv: list[str] | None = None) -> None:
     lake = Lake(args.root)
     if args.trigger:
         qs = ingest(spark, lake, args.trigger, args.json_layout) + refine(spark, lake, args.trigger)
-        since = None
         while not spark.streams.awaitAnyTermination(args.gold_every):
-            if not all(exists(spark, lake.silver(t)) for t in ("pos", "iot")):
-                continue
-            pos = silver_tables(spark, lake)["silver_csv_transaction"]
-            newest = pos.agg(F.max("process_time")).first()[0]
-            build_gold(spark, lake, since)
-            since = newest
+            if all(exists(spark, lake.silver(t)) for t in ("pos", "iot")):
+                refresh_gold(spark, lake)
+                gold_tables(spark, lake)
         for q in qs:
             q.stop()
         return

@@ -455,7 +455,7 @@ def _merged_orders(spark, d):
         if high:
             batch = batch.filter(F.col("loaded_time") < F.lit(high).cast("timestamp"))
         tasks.merge_batch(spark, f"{root}/orders", batch, i, f"{root}/changes")
-    return tasks.read_current(spark, f"{root}/orders"), spark.read.parquet(f"{root}/changes")
+    return tasks.read_current(spark, f"{root}/orders"), tasks.read_changes(spark, f"{root}/changes").drop("change_batch")
 
 
 @register("orders_merge")

@@ -176,6 +176,10 @@ def gross_margin(pos: DataFrame, erp: DataFrame) -> DataFrame:
     e = (erp.groupBy("store_id", "category")
             .agg(r2(F.avg("unit_cost")).alias("_avg_cost"),
                  F.count_distinct("order_id").alias("total_orders")))
+    return _margin(p, e)
+
+
+def _margin(p: DataFrame, e: DataFrame) -> DataFrame:
     j = p.join(e, ["store_id", "category"])
     cost = R("total_units_sold") * R("_avg_cost")
     profit = R("total_revenue") - cost
@@ -187,6 +191,37 @@ def gross_margin(pos: DataFrame, erp: DataFrame) -> DataFrame:
         "total_units_sold", "total_orders")
 
 
+def order_costs(rows: DataFrame, sign: Column | None = None) -> DataFrame:
+    """What G10 needs of the orders, as sums that can be added: ``store_id, category, cost, priced,
+    orders, rows``.  ``sign`` is -1 for rows that leave the table (change rows), else 1.
+
+    A key is one current row, so counting rows with a key counts distinct keys."""
+    sign = F.lit(1) if sign is None else sign
+    return rows.groupBy("store_id", "category").agg(
+        F.sum(R("unit_cost").try_cast(EXACT_SUM_TYPE) * sign).cast(EXACT_SUM_TYPE).alias("cost"),
+        F.sum(F.when(R("unit_cost").isNotNull(), sign).otherwise(0)).cast("long").alias("priced"),
+        F.sum(F.when(R("order_id").isNotNull(), sign).otherwise(0)).cast("long").alias("orders"),
+        F.sum(sign).cast("long").alias("rows"))
+
+
+def add_order_costs(costs: DataFrame, changes: DataFrame) -> DataFrame:
+    """:func:`order_costs` after a table's change rows (``change_action``): old sums plus deltas."""
+    delta = order_costs(changes, F.when(R("change_action") == "DELETE", -1).otherwise(1))
+    both = costs.unionByName(delta).groupBy("store_id", "category").agg(
+        F.sum("cost").cast(EXACT_SUM_TYPE).alias("cost"), *[F.sum(c).cast("long").alias(c) for c in ("priced", "orders", "rows")])
+    return both.filter("rows > 0")
+
+
+def gross_margin_from(fact: DataFrame, costs: DataFrame) -> DataFrame:
+    """G10 from states that grow by deltas: the daily fact's additive sums and :func:`order_costs`."""
+    p = (fact.groupBy("store_id", "store_name", "store_city", "category")
+             .agg(r2(exact_sum("total_revenue")).alias("total_revenue"),
+                  F.sum("total_number_of_unit").alias("total_units_sold")))
+    e = costs.select("store_id", "category", r2(R("cost").cast("double") / F.nullif(R("priced"), F.lit(0))).alias("_avg_cost"),
+                     R("orders").alias("total_orders"))
+    return _margin(p, e)
+
+
 # ------------------------------------------------------------------ G11/G12
 def _avg_if(cond: Column) -> Column:
     return r2(F.avg(F.when(cond, R("sensor_value"))))

@@ -15,7 +15,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -48,12 +48,25 @@ def refresh_fact_days(spark: SparkSession, silver_all: DataFrame, new_batch: Dat
     days = new_batch.select(F.to_date(date_col).alias("_d")).distinct()
     touched = silver_all.join(days, F.to_date(F.col(date_col)).eqNullSafe(F.col("_d")),
                               "left_semi")
-    fact = build(touched)
-    (_clustered(fact, (partition_col,)).write.mode("overwrite")
+    replace_days(build(touched), path, partition_col)
+
+
+def replace_days(days_only: DataFrame, path: str, partition_col: str) -> None:
+    """Replace the partitions of the days that ``days_only`` holds; no other file is touched."""
+    (_clustered(days_only, (partition_col,)).write.mode("overwrite")
          .option("partitionOverwriteMode", "dynamic")
          .partitionBy(partition_col).parquet(path))
 
 
+def in_days(date: str | Column, days: set) -> Column:
+    """A filter on dates; on a partition column it prunes folders before anything is read.
+    ``days`` are calendar days, at most one per day of data; None stands for rows without one."""
+    date = F.col(date) if isinstance(date, str) else date
+    known = sorted(d for d in days if d is not None)
+    found = date.isin(known) if known else F.lit(False)
+    return found | date.isNull() if None in days else found
+
+
 def register_views(spark: SparkSession, views: dict[str, DataFrame]) -> None:
     for name, df in views.items():
         df.createOrReplaceTempView(name)

@@ -35,6 +35,18 @@ def make_folder(spark: SparkSession, path: str) -> None:
     fs.mkdirs(p)
 
 
+def read_json(spark: SparkSession, path: str):
+    """The content of a small JSON file; None if it is not there."""
+    fs, p = file_system(spark, path)
+    if not fs.exists(p):
+        return None
+    stream = fs.open(p)
+    try:
+        return json.loads(bytes(spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toByteArray(stream)).decode())
+    finally:
+        stream.close()
+
+
 def put_file(spark: SparkSession, path: str, text: str) -> None:
     """A small file that is there whole or not at all: written beside, then renamed."""
     fs, p = file_system(spark, path)
@@ -43,7 +55,9 @@ def put_file(spark: SparkSession, path: str, text: str) -> None:
     out.write(bytearray(text.encode()))
     out.close()
     fs.mkdirs(p.getParent())
-    if not fs.rename(beside, p) and not fs.exists(p):
+    if fs.exists(p):
+        fs.delete(p, False)
+    if not fs.rename(beside, p):
         raise RuntimeError(f"could not write {path}")
 
 

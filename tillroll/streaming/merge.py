@@ -26,12 +26,14 @@ from pyspark.sql.types import StructType
 
 from tillroll.operators.changes import ACTION_DELETE, ACTION_INSERT
 from tillroll.operators.latest import latest_per_key
-from tillroll.streaming.commit import commit, file_system, put_file
+from tillroll.streaming.commit import commit, file_system, put_file, read_json
 
 #: Buckets of a new table; a bucket should be what a task can rewrite at ease.
 BUCKETS = 64
 MANIFESTS, UNKEYED = "_manifests", "unkeyed"
 _NAME = "batch-{:012d}.json"
+#: Partition column of the change rows: the batch that made them.
+CHANGE_BATCH = "change_batch"
 
 
 def bucket_of(key: str, buckets: int) -> Column:
@@ -52,13 +54,7 @@ def manifest(spark: SparkSession, root: str, before: int | None = None) -> dict:
     known = [b for b in batches(spark, root) if before is None or b < before]
     if not known:
         return {"buckets": None, "gens": {}, "unkeyed": []}
-    fs, path = file_system(spark, f"{root}/{MANIFESTS}/{_NAME.format(known[-1])}")
-    stream = fs.open(path)
-    try:
-        text = bytes(spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toByteArray(stream)).decode()
-    finally:
-        stream.close()
-    return json.loads(text)
+    return read_json(spark, f"{root}/{MANIFESTS}/{_NAME.format(known[-1])}")
 
 
 def _read(spark: SparkSession, paths: list[str], schema: StructType) -> DataFrame:
@@ -100,7 +96,8 @@ def merge(batch: DataFrame, batch_id: int, root: str, schema: StructType, key: s
             if changes:
                 compared = [c for c in cols if c not in (key, stamp, *ignore)]
                 fresh = loose.select(*cols, F.lit(ACTION_INSERT).alias("change_action"), F.lit(False).alias("change_isupdate"))
-                commit({changes: _changes(pairs, cols, compared).unionByName(fresh)}, batch_id)
+                rows = _changes(pairs, cols, compared).unionByName(fresh).withColumn(CHANGE_BATCH, F.lit(batch_id))
+                commit({changes: rows}, batch_id, (CHANGE_BATCH,))
             if touched:
                 state = pairs.select(F.coalesce("_n", "_o").alias("r")).select("r.*").withColumn("bucket", bucket_of(key, n))
                 _write(state.repartition(len(touched), "bucket"), root, batch_id, touched)

@@ -15,6 +15,8 @@ Checkpoints belong under the shared folder named by ``spark.checkpoint.dir``
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -39,39 +41,25 @@ def check_sink(spark: SparkSession, path: str, checkpoint: str) -> None:
                            "restore that one, or start with an empty folder")
 
 
-def to_parquet(df: DataFrame, path: str, checkpoint: str, trigger: str | None = None,
-               name: str | None = None, partition_by: tuple[str, ...] = ()) -> StreamingQuery:
-    """Append a streaming DataFrame to a parquet dataset (exactly-once sink)."""
-    check_sink(df.sparkSession, path, checkpoint)
-    w = (df.writeStream.format("parquet").option("path", path)
-         .option("checkpointLocation", checkpoint).outputMode("append"))
-    if partition_by:
-        w = w.partitionBy(*partition_by)
-    if name:
-        w = w.queryName(name)
-    return _trigger(w, trigger).start()
-
-
 INGEST_DATE = "ingest_date"
 
 
-def to_bronze(rows: DataFrame, split, bronze: str, quarantine: str, checkpoint: str,
-              trigger: str | None = None, name: str | None = None) -> StreamingQuery:
-    """One parse, two outputs: every micro-batch is split by ``split`` into good rows
-    and quarantined ones, and both are committed under its batch id
-    (:mod:`tillroll.streaming.commit`), by load day (``ingest_date``), so a read of one
-    load window prunes to its day folders.  A replayed batch changes nothing."""
+def to_committed(rows: DataFrame, outputs: Callable[[DataFrame], dict[str, DataFrame]], roots: list[str], checkpoint: str,
+                 trigger: str | None = None, name: str | None = None, partition_by: tuple[str, ...] = (),
+                 measures: dict | None = None) -> StreamingQuery:
+    """Write what ``outputs`` makes of every micro-batch (folder → rows) under its batch id
+    (:mod:`tillroll.streaming.commit`); ``roots`` are all folders that it can name.  A
+    replayed batch changes nothing."""
     spark = rows.sparkSession
-    for path in (bronze, quarantine):
+    for path in roots:
         check_sink(spark, path, checkpoint)
-    for path in (bronze, quarantine):
+    for path in roots:
         make_folder(spark, path)
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        batch = batch.persist()  # parsed once for both
+        batch = batch.persist()  # read and parsed once for all outputs
         try:
-            sides = [side.withColumn(INGEST_DATE, F.to_date("loaded_time")) for side in split(batch)]
-            commit(dict(zip((bronze, quarantine), sides, strict=True)), batch_id, (INGEST_DATE,))
+            commit(outputs(batch), batch_id, partition_by, measures)
         finally:
             batch.unpersist()
 
@@ -79,6 +67,18 @@ def to_bronze(rows: DataFrame, split, bronze: str, quarantine: str, checkpoint:
     return _trigger(w.queryName(name) if name else w, trigger).start()
 
 
+def to_bronze(rows: DataFrame, split, bronze: str, quarantine: str, checkpoint: str,
+              trigger: str | None = None, name: str | None = None) -> StreamingQuery:
+    """One parse, two outputs: every micro-batch is split by ``split`` into good rows
+    and quarantined ones, both by load day (``ingest_date``), so a read of one load
+    window prunes to its day folders."""
+    def outputs(batch: DataFrame) -> dict[str, DataFrame]:
+        return {root: side.withColumn(INGEST_DATE, F.to_date("loaded_time"))
+                for root, side in zip((bronze, quarantine), split(batch), strict=True)}
+
+    return to_committed(rows, outputs, [bronze, quarantine], checkpoint, trigger, name, (INGEST_DATE,))
+
+
 def pos_pipe(spark: SparkSession, source: str, bronze: str, quarantine: str,
              checkpoint: str, trigger: str | None = None) -> list[StreamingQuery]:
     """CSV stage → ``stg_csv_transaction`` (good rows) and a quarantine of
