@@ -45,8 +45,8 @@ FOOTER = "<4q32s8s"
 DICTIONARY_BYTES = 64 << 10
 SAMPLE_DOCS, SAMPLE_CHARS = 2000, 8000
 LEVEL = 3
-#: Words of which a worker keeps the ids; longer words are encoded each time.
-KEPT_WORDS, KEPT_LENGTH = 800_000, 48
+#: Words of which each of a worker's two tables keeps the ids, about 25 MB; longer words are encoded each time.
+KEPT_WORDS, KEPT_LENGTH = 150_000, 48
 
 _LINE = re.compile(r"\n(?<=\S\n)(?=\S)")
 _WORD = re.compile(r" (?<=\S )(?=\S)")
