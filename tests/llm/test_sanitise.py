@@ -1,4 +1,5 @@
 import hashlib
+import math
 import random
 import re
 
@@ -101,3 +102,64 @@ def test_terms_with_digits_and_short_ones(documents):
     # the parts of a neighbouring address are no terms of their own
     spans = [tuple(map(int, x.split(":")[1:])) for x in out[100].split(",") if x.startswith("term")]
     assert not any(text[100][a:z].lower() in ("boss", "corp", "example", "10", "0", "9") for a, z in spans)
+
+
+def plain_terms(rows):
+    """Shares by plain counts: emails only, words of ASCII letters."""
+    email = re.compile(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
+    contexts, of, near = {}, {}, {}
+    for i, text in rows:
+        for m in email.finditer(text):
+            hidden = email.sub(lambda x: "@" * len(x[0]), text)
+            before, after = text[:m.start()].split(), text[m.end():].split()
+            context = (tuple(before[-4:]), tuple(after[:4]))
+            e = m[0].lower()
+            contexts.setdefault(e, set()).add(context)
+            of.setdefault(e, set()).add(i)
+            for w in {w.lower() for w in hidden[:m.start()].split()[-10:] + hidden[m.end():].split()[:10] if "@" not in w}:
+                near.setdefault((e, w), (set(), set()))
+                near[e, w][0].add(context)
+                near[e, w][1].add(i)
+    share = {}
+    for (e, w), (where, docs) in near.items():
+        if len(contexts[e]) >= sanitise.SUPPORT and len(where) >= sanitise.SUPPORT:
+            # a word of an address is a word of its document
+            dt, dc = sum(w in re.split("[^a-z]+", t.lower()) for _, t in rows), len(of[e])
+            share[w] = max(share.get(w, -9), math.log(len(docs) * len(rows) / dt / dc) / math.log(len(rows) / dc))
+    return {w: x for w, x in share.items() if x >= sanitise.GENERALISE}
+
+
+def test_terms_equal_plain_counts(documents):
+    rng = random.Random(8)
+    vocabulary = ["".join(rng.choices("abcdefghij", k=5)) for _ in range(60)]
+    rows = []
+    for i in range(240):
+        out = rng.choices(vocabulary, k=30)
+        if i % 4 == 0:
+            who = rng.randrange(4)
+            out[15:15] = [f"secret{'wxyz'[who]}", f"boss{'wxyz'[who]}@corp.example"]
+            out[rng.randrange(14)] = f"often{'wxyz'[who if rng.random() < .9 else 0]}"
+        elif i % 16 == 1:
+            out[3] = f"often{'wxyz'[i // 16 % 4]}"
+        rows.append((i, " ".join(out)))
+    want = plain_terms(rows)
+    assert 4 <= len(want) < 60
+    for r in sanitise.report(documents(rows)).collect():
+        got = [x for x in r["spans"].split(",") if x.startswith("term")]
+        text = rows[r["doc_id"]][1]
+        taken = [m.span() for m in re.finditer("[a-z]+", text) if m[0] in want]
+        assert got == [f"term:{a}:{z}" for a, z in taken], r["doc_id"]
+
+
+def test_joined_words_and_their_parts(spark):
+    docs = spark.createDataFrame([(1, "ab-7731, 7731 ab ab-7731-x 😀ab_c"), (1, "ab-7731, 7731 ab ab-7731-x 😀ab_c"),
+                                  (None, "7731"), (3, None), (4, "none")], "doc_id long, text string")
+    terms = spark.createDataFrame([("ab-7731", 1.0), ("7731", .8), ("ab_c", .7)], "term string, share double")
+    out = {r["d"]: [tuple(s) for s in r["term"]] for r in sanitise._term_spans(docs, terms).collect()}
+    assert out == {1: [(0, 7, True), (9, 13, False), (20, 24, False), (28, 32, False)], None: [(0, 4, False)]}
+
+
+def test_columns_of_any_name(spark):
+    docs = spark.createDataFrame([(1, "a me@x.yz", "m", "d", "k", "r")], "doc_id long, text string, _m string, _d string, _k string, row string")
+    out = sanitise.sanitised(docs)
+    assert out.columns == docs.columns and tuple(out.first()) == (1, "a [EMAIL]", "m", "d", "k", "r")

@@ -47,9 +47,15 @@ BLANKS = r"[\x20\x09-\x0D]+"
 #: A term is a run of these, or runs joined by single hyphens, underscores or points.
 TERM = r"\p{L}\p{M}\p{N}"
 JOINED = rf"(?<![{TERM}])[{TERM}]++(?:[-_.][{TERM}]++)++"
+#: A text is a row of matches of either: runs, or joined words as wholes, and what lies between.
+RUNS = rf"[{TERM}]++|[^{TERM}]++"
+WHOLES = rf"[{TERM}]++(?:[-_.][{TERM}]++)*+|[^{TERM}]++"
 CHUNK = 256
+#: Bits of the hash by which words that are no terms are told before they are moved.
+HASH_BITS = 24
 
 _SPANS = "array<struct<start:int,end:int,value:string>>"
+_CUTS = "array<struct<at:int,parts:array<string>,whole:boolean>>"
 
 
 def _let(value: Column, body: Callable[[Column], Column]) -> Column:
@@ -194,7 +200,7 @@ def revealing_terms(docs: DataFrame, base: DataFrame) -> DataFrame | None:
     if wanted.isEmpty():
         return None
     words = docs.select(F.explode(F.array_distinct(_words(F.col("text")))).alias("term"))
-    counts = words.join(wanted, "term", "left_semi").groupBy("term").agg(F.count("*").alias("dt"))
+    counts = _maybe(words, _marks(wanted)).join(wanted, "term", "left_semi").groupBy("term").agg(F.count("*").alias("dt"))
     whole = docs.agg(F.count("*").cast("double").alias("total"))  # one row
     share = F.log(F.col("n") * F.col("total") / (F.col("dt") * F.col("dc"))) / F.log(F.col("total") / F.col("dc"))
     scored = pairs.join(counts, "term").crossJoin(F.broadcast(whole)).where("dc < total")
@@ -202,22 +208,67 @@ def revealing_terms(docs: DataFrame, base: DataFrame) -> DataFrame | None:
     return written(scored.where(F.col("share") >= GENERALISE), "terms")
 
 
+def _marks(terms: DataFrame) -> DataFrame:
+    """One row, ``bits``: a bit for each hash value that some term has, as longs; 2 MB at any number of terms."""
+    longs = 1 << (HASH_BITS - 6)
+    slot = _slot(F.col("term"))
+    some = terms.select(F.shiftright(slot, 6).alias("i"), F.expr("1L").alias("one"), slot.bitwiseAND(63).cast("int").alias("at"))
+    some = some.groupBy("i").agg(F.bit_or(F.expr("shiftleft(one, at)")).alias("b"))
+    whole = terms.sparkSession.range(longs).withColumnRenamed("id", "i").join(some, "i", "left")
+    return whole.agg(F.sort_array(F.collect_list(F.struct("i", F.coalesce("b", F.lit(0)).alias("b")))).alias("m")).select(
+        F.col("m.b").alias("bits"))
+
+
+def _slot(term: Column) -> Column:
+    return F.xxhash64(term).bitwiseAND((1 << HASH_BITS) - 1)
+
+
+def _maybe(words: DataFrame, marks: DataFrame) -> DataFrame:
+    """``words`` whose ``term`` may be one of the marked: few others pass, so that joins move few rows."""
+    slot = _slot(F.col("term"))
+    bit = F.get("bits", F.shiftright(slot, 6).cast("int"))
+    hit = F.expr("shiftright(b, at)").bitwiseAND(1) == 1
+    rows = words.crossJoin(F.broadcast(marks))  # one row of fixed size
+    return rows.withColumns({"b": bit, "at": slot.bitwiseAND(63).cast("int")}).where(hit).select(*words.columns)
+
+
+def _cut(text: Column, pattern: str, whole: bool) -> Column:
+    """``at, parts, whole``: the matches of a pattern that covers the text, in arrays of CHUNK, and where each begins."""
+    def cut(parts):
+        last = F.greatest(F.floor((F.size(parts) - 1) / CHUNK).cast("int"), F.lit(0))
+        return F.transform(F.sequence(F.lit(0), last), lambda c: F.slice(parts, c * CHUNK + 1, F.lit(CHUNK)))
+
+    def placed(chunks):
+        ahead = _prefix(F.transform(chunks, lambda c: F.length(F.array_join(c, ""))))
+        return F.zip_with(ahead, chunks, lambda a, c: F.struct(a.alias("at"), c.alias("parts"), F.lit(whole).alias("whole")))
+
+    return _let(F.regexp_extract_all(text, F.lit(pattern), F.lit(0)), lambda parts: _let(cut(parts), placed))
+
+
 def _term_spans(docs: DataFrame, terms: DataFrame) -> DataFrame:
-    """``d, k, term``: spans of the terms in each document that holds some."""
+    """``d, k, term``: spans of the terms in each document that holds some.
+
+    Every word is placed where the text is read; the words that are terms
+    travel, never a text.  A run within a joined word that is a term itself
+    is part of that word's span.
+    """
     rows = docs.select(F.col("doc_id").cast("long").alias("d"), F.coalesce("text", F.lit("")).alias("text"))
-    rows = rows.withColumn("k", F.md5("text"))
-    held = rows.select("d", "k", F.explode(F.array_distinct(_words(F.col("text")))).alias("term"))
-    held = held.join(terms, "term").groupBy("d", "k").agg(
-        F.sort_array(F.collect_set(F.struct(F.length("term").alias("n"), "term", "share")), asc=False).alias("held"))
-    held = written(held.withColumnRenamed("d", "hd").withColumnRenamed("k", "hk"), "held")
-    rows = rows.join(held, rows["d"].eqNullSafe(held["hd"]) & (rows["k"] == held["hk"])).dropDuplicates(["d", "k"])
-    one = F.array_join(F.transform("held", lambda t: F.concat(F.lit(r"\Q"), t["term"], F.lit(r"\E"))), "|")
-    pattern = F.concat(F.lit(rf"(?iu)(?<![{TERM}])(?:"), one, F.lit(rf")(?![{TERM}])"))
-    found = spans(F.col("text"), F.col("pattern"))
-    strong = F.map_from_entries(F.transform("held", lambda t: F.struct(t["term"], t["share"])))
-    rows = rows.withColumn("pattern", pattern)
-    return written(rows.select("d", "k", F.transform(found, lambda s: F.struct(
-        s["start"], s["end"], (F.element_at(strong, F.lower(s["value"])) >= REMOVE).alias("removed"))).alias("term")), "spans")
+    joined = F.when(F.col("text").rlike(rf"[{TERM}][-_.][{TERM}]"), _cut(F.col("text"), WHOLES, True))
+    cuts = F.concat(_cut(F.col("text"), RUNS, False), F.coalesce(joined, F.array().cast(_CUTS)))
+    words = rows.select("d", F.md5("text").alias("k"), F.explode(cuts).alias("cut")).select(
+        "d", "k", "cut", F.posexplode("cut.parts").alias("i", "word"))
+    words = words.where(~F.col("cut.whole") | F.col("word").rlike("[-_.]")).withColumn("term", F.lower("word"))
+    words = _maybe(words, _marks(terms))
+    start = F.col("cut.at") + F.length(F.array_join(F.slice("cut.parts", F.lit(1), F.col("i")), ""))
+    words = words.select("d", "k", "term", "cut.whole", start.alias("start"), (start + F.length("word")).alias("end"))
+    placed = words.join(terms, "term").select("d", "k", "whole", F.struct(
+        "start", "end", (F.col("share") >= REMOVE).alias("removed")).alias("s"))
+    placed = placed.groupBy("d", "k").agg(
+        F.collect_set(F.when(~F.col("whole"), F.col("s"))).alias("runs"),
+        F.collect_set(F.when(F.col("whole"), F.col("s"))).alias("wholes"))
+    alone = F.filter("runs", lambda r: ~F.exists(
+        "wholes", lambda w: (w["start"] <= r["start"]) & (r["end"] <= w["end"])))
+    return written(placed.select("d", "k", F.sort_array(F.concat("wholes", alone)).alias("term")), "spans")
 
 
 _TERM = "array<struct<start:int,end:int,removed:boolean>>"
@@ -269,14 +320,16 @@ def sanitised(docs: DataFrame) -> DataFrame:
         *map(_labelled, KINDS),
         F.transform("term", lambda s: F.struct(s["start"], s["end"], F.when(s["removed"], "").otherwise("[TERM]").alias("by"))))
     places = places.select(F.col("doc_id").alias("_d"), F.col("key").alias("_k"), F.sort_array(marks).alias("_m"))
-    key = F.md5(F.coalesce("text", F.lit("")))
-    rows = docs.join(places, docs["doc_id"].cast("long").eqNullSafe(places["_d"]) & (key == places["_k"]))
+    # the table's columns stay within one, so that none clashes with those beside it
+    rows = docs.select(F.struct(*(docs[c] for c in docs.columns)).alias("row"))
+    key = F.md5(F.coalesce("row.text", F.lit("")))
+    rows = rows.join(places, F.col("row.doc_id").cast("long").eqNullSafe(F.col("_d")) & (key == F.col("_k")))
     # where the text goes on after each mark, whatever came before
     ends = F.aggregate("_m", F.array(F.lit(0)), lambda acc, m: F.concat(
         acc, F.array(F.greatest(F.element_at(acc, -1), m["end"]))))
     text = _let(ends, lambda at: F.concat(
         F.array_join(F.zip_with("_m", F.slice(at, F.lit(1), F.size("_m")), lambda m, a: F.when(
-            m["start"] >= a, F.concat(F.substr(F.col("text"), a + 1, m["start"] - a), m["by"])).otherwise("")), ""),
-        F.substr(F.col("text"), F.element_at(at, -1) + 1, F.length("text"))))
-    text = F.when(F.size("_m") == 0, F.col("text")).otherwise(text)
-    return rows.select(*(text.alias(c) if c == "text" else docs[c] for c in docs.columns))
+            m["start"] >= a, F.concat(F.substr(F.col("row.text"), a + 1, m["start"] - a), m["by"])).otherwise("")), ""),
+        F.substr(F.col("row.text"), F.element_at(at, -1) + 1, F.length("row.text"))))
+    text = F.when(F.size("_m") == 0, F.col("row.text")).otherwise(text)
+    return rows.select(*(text.alias(c) if c == "text" else F.col("row").getField(c).alias(c) for c in docs.columns))
