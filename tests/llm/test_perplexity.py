@@ -81,6 +81,33 @@ def test_filter_and_edge_cases(spark, documents, scratch):
     assert sum(by[i] for i in range(150, 200)) >= 45
 
 
+def test_other_input_splits_in_each_scan(spark, documents, scratch, monkeypatch):
+    rng = random.Random(6)
+    texts = ["".join(rng.choices(["an", "er", "ti", "lo", " ", "ma"], k=40)) for _ in range(400)]
+    labels = spark.createDataFrame([(i, 1, 0) for i in range(0, 400, 2)], "doc_id long, quality int, toxic int")
+    path = f"{scratch}/documents.parquet"
+    monkeypatch.setattr(perplexity, "RUN", 64)
+    documents(list(enumerate(texts))).repartition(2).write.option("parquet.block.size", 4096).parquet(path)
+    want = {r["doc_id"]: tuple(r) for r in perplexity.perplexities(spark.read.parquet(path), labels).collect()}
+    sizes = iter([2_000, 50_000, 900, 7_000, 1_500] * 20)
+    plain, old = perplexity.written, spark.conf.get("spark.sql.files.maxPartitionBytes")
+
+    def other(*a, **k):
+        spark.conf.set("spark.sql.files.maxPartitionBytes", str(next(sizes)))
+        spark.conf.set("spark.sql.files.openCostInBytes", "0")
+        return plain(*a, **k)
+
+    monkeypatch.setattr(perplexity, "written", other)
+    try:
+        rows = perplexity.perplexities(spark.read.parquet(path), labels)
+        spark.conf.set("spark.sql.files.maxPartitionBytes", "1100")
+        out = {r["doc_id"]: tuple(r) for r in rows.collect()}
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+    assert out == want and sum(r[-1] for r in out.values()) == 200
+
+
 def test_without_trust_or_rows(spark, documents, scratch):
     none = spark.createDataFrame([], "doc_id long, quality int, toxic int")
     out = perplexity.classify(table(spark, documents, [(1, "abc"), (2, None)], scratch), none).collect()

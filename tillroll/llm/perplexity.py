@@ -6,13 +6,14 @@ Tasks count what they read, Spark adds the counts up by gram; lower orders
 count the distinct bytes that come before a gram.  Each order has its own three
 discounts, from its counts of counts.
 
-Scoring joins counts, shard by shard, never text: every input split asks for
-the grams it holds, once each; the distinct grams meet the count tables of all
-orders in hash joins, from the lowest order up, and the logarithms go back to
-the splits that asked.  A split's answers lie in a file of their own in the
-shared folder (written under its key, the same bytes by any attempt), which
-the tasks that read that split again load.  So the texts are not shuffled, and
-a task holds the grams of one split at most.
+Scoring joins counts, shard by shard, never text: every run of ``RUN`` rows of
+an input file ("split" below) asks for the grams it holds, once each; the
+distinct grams meet the count tables of all orders in hash joins, from the
+lowest order up, and the logarithms go back to the splits that asked.  A
+split's answers lie in a file of their own in the shared folder (written under
+its key, the same bytes by any attempt), which the tasks that read rows of that
+split again load.  So the texts are not shuffled, and a task holds the grams of
+one split at most.  A gram without an answer is an error, never another gram's.
 
 A document is kept if its perplexity lies between two quantiles of the trusted
 documents of its language (of all trusted ones, if the language has none):
@@ -34,12 +35,18 @@ from tillroll.llm.common import file_system, runs, shared_dir, written
 ORDER = 5
 LOW, HIGH = 0.005, 0.995
 HELD_GRAMS = 4_000_000
+#: Rows of a file that ask together.
+RUN = 16_384
 BLOCK = 4 << 20
 
 
 def _split() -> Column:
-    """A key of the input split that a row comes from."""
-    return F.xxhash64(F.col("_metadata.file_path"), F.col("_metadata.file_block_start"))
+    """A key of the run of rows, within its file, that a row belongs to.
+
+    It depends on the file alone.  Where tasks cut a file changes with the number of executors, so a scan may
+    meet a run in two tasks; both then hold the same key.
+    """
+    return F.xxhash64(F.col("_metadata.file_path"), F.floor(F.col("_metadata.row_index") / RUN))
 
 
 def grams(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -77,7 +84,11 @@ def _write_files(rows: DataFrame, folder: str, columns: list[str]) -> None:
             with out_store.open_output_stream(draft) as sink:
                 with pa.ipc.new_file(sink, group.select(columns).schema) as file:
                     file.write_table(group.select(columns))
-            out_store.move(draft, name)
+            try:
+                out_store.move(draft, name)
+            except OSError:  # another attempt's file is there, with the same rows; some stores refuse to replace it
+                if out_store.get_file_info(name).type.name == "NotFound":
+                    raise
             done += 1
         yield pa.RecordBatch.from_pydict({"n": pa.array([done], pa.int64())})
 
@@ -206,7 +217,7 @@ def _answers(counts: DataFrame, wanted: DataFrame) -> DataFrame:
 def perplexities(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """Per row of ``docs`` (``doc_id``, ``lang``, ``text``): ``doc_id, lang, n_bytes, perplexity, trusted``.
 
-    ``docs`` has to be read from files.  Perplexity is per byte; an empty or null
+    ``docs`` has to be read from Parquet files, whose rows are known by file and number.  Perplexity is per byte; an empty or null
     text has none (null).  Without a trusted text, every byte is as likely as any.
     An id labelled more than once is trusted if all of its labels say so.
     """
@@ -236,7 +247,10 @@ def perplexities(docs: DataFrame, labels: DataFrame) -> DataFrame:
             total = np.zeros(len(sizes))
             some = np.flatnonzero(sizes)
             if len(some):
-                total[some] = np.add.reduceat(lp[np.searchsorted(g, code)].astype(np.float64), first[:-1][some])
+                at = np.minimum(np.searchsorted(g, code), len(g) - 1) if g is not None and len(g) else None
+                if at is None or not np.array_equal(g[at], code):
+                    raise ValueError(f"split {split} changed between two scans: grams without answers")
+                total[some] = np.add.reduceat(lp[at].astype(np.float64), first[:-1][some])
             value = np.exp(-total / np.maximum(sizes, 1))
             ids = part.column(1)
             good = np.isin(pa.compute.fill_null(ids, 0).to_numpy(), trusted) & ~ids.is_null().to_numpy(False)
