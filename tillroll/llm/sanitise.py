@@ -51,6 +51,8 @@ JOINED = rf"(?<![{TERM}])[{TERM}]++(?:[-_.][{TERM}]++)++"
 RUNS = rf"[{TERM}]++|[^{TERM}]++"
 WHOLES = rf"[{TERM}]++(?:[-_.][{TERM}]++)*+|[^{TERM}]++"
 CHUNK = 256
+#: A word is placed by those before it in its array, which its row carries until it is known to be a term or not.
+PARTS = 32
 #: Bits of the hash by which words that are no terms are told before they are moved.
 HASH_BITS = 24
 
@@ -233,10 +235,10 @@ def _maybe(words: DataFrame, marks: DataFrame) -> DataFrame:
 
 
 def _cut(text: Column, pattern: str, whole: bool) -> Column:
-    """``at, parts, whole``: the matches of a pattern that covers the text, in arrays of CHUNK, and where each begins."""
+    """``at, parts, whole``: the matches of a pattern that covers the text, in arrays of PARTS, and where each begins."""
     def cut(parts):
-        last = F.greatest(F.floor((F.size(parts) - 1) / CHUNK).cast("int"), F.lit(0))
-        return F.transform(F.sequence(F.lit(0), last), lambda c: F.slice(parts, c * CHUNK + 1, F.lit(CHUNK)))
+        last = F.greatest(F.floor((F.size(parts) - 1) / PARTS).cast("int"), F.lit(0))
+        return F.transform(F.sequence(F.lit(0), last), lambda c: F.slice(parts, c * PARTS + 1, F.lit(PARTS)))
 
     def placed(chunks):
         ahead = _prefix(F.transform(chunks, lambda c: F.length(F.array_join(c, ""))))
