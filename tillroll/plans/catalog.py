@@ -25,6 +25,8 @@ RUN_VARYING = {"loaded_time", "process_time", "processed_timestamp", "load_times
 # Fixed parameters of the registered time-travel queries.
 AS_OF_TIMESTAMP = "1998-06-30 23:59:59"
 AS_OF_OFFSET_SECONDS = 30 * 24 * 3600
+# Commit times that part the order change log into the loads of the registered commit queries.
+COMMIT_CUTS = ("1996-01-01 00:00:00", "1999-01-01 00:00:00")
 # Load times that part the order log into the batches of the registered MERGE queries.
 MERGE_CUTS = ["1994-07-01 00:00:00", "1997-01-01 00:00:00"]
 
@@ -213,6 +215,38 @@ def q_before_version(spark, d):
     return _order_state(log, changes.last_commit(log), inclusive=False)
 
 
+def _committed_orders(spark, d):
+    """The order change log loaded in three commits; its folder."""
+    import uuid
+
+    from tillroll.operators import commits
+    from tillroll.session import state_path
+    root = state_path(spark, "committed", uuid.uuid4().hex)
+    log = tm.order_change_log(spark, d)
+    cuts = [F.lit(c).cast("timestamp_ntz") for c in COMMIT_CUTS]
+    # undated versions come with the last load
+    load = F.when(F.col("commit_ts") < cuts[0], 0).when(F.col("commit_ts") < cuts[1], 1).otherwise(2)
+    for i in range(len(cuts) + 1):
+        commits.append(root, log.where(load == i), i)
+    return root
+
+
+@register("before_commit")
+def q_before_commit(spark, d):
+    """T3 ``BEFORE(STATEMENT => last load)`` over the log kept by commits: the last load's folder is not read."""
+    from tillroll.operators import commits
+    root = _committed_orders(spark, d)
+    return commits.state_at_commit(spark, root, "order_id", commits.last_commit(spark, root), inclusive=False,
+                                   tie_cols=("source_file",))
+
+
+@register("commit_index")
+def q_commit_index(spark, d):
+    """V1/T1 rows and times of each load, observed while it was written."""
+    from tillroll.operators import commits
+    return commits.index(spark, _committed_orders(spark, d))
+
+
 @register("changes_diff")
 def q_changes_diff(spark, d):
     """C3 standard change stream between the T2 state and the current state."""
