@@ -126,6 +126,12 @@ def test_refresh_takes_in_changes_and_leaves_other_days_alone(spark, scratch):
     refreshed = content()
     at = {t: _files(lake, t) for t in GOLD}
     assert jobs.refresh_gold(spark, lake) == {"pos": set(), "iot": set()} and at == {t: _files(lake, t) for t in GOLD}
+    # the distinct counts that the two refreshes kept are those of all lines
+    month = F.trunc("transaction_date", "MM").alias("sales_month")
+    lines = jobs.silver_tables(spark, lake)["silver_csv_transaction"]
+    plain = lines.groupBy(month).agg(F.count_distinct("transaction_id").alias("unique_transaction_id"),
+                                     F.count_distinct("customer_id").alias("unique_customer_id"))
+    assert rows(jobs.gold_tables(spark, lake)["distinct_by_month"]) == rows(plain)
     jobs.build_gold(spark, lake)
     assert content() == refreshed
     assert len(refreshed["fact_gross_margin"]) > 0 and len(refreshed["fact_sales_verses_iot"]) > 0

@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from tillroll import schemas
+from tillroll.operators.distinct_state import DistinctState
 from tillroll.plans import gold, publish
 from tillroll.session import state_path
 from tillroll.streaming import pipes, tasks
@@ -52,6 +53,11 @@ class Lake:
     def gold(self, t: str) -> str:
         return f"{self.root}/gold/{t}"
 
+    def distinct(self) -> DistinctState:
+        """Distinct transactions and customers of the POS lines, kept by the refreshes."""
+        return DistinctState(self.gold("_distinct"), ("transaction_id", "customer_id"), "transaction_date",
+                             "payment_method string")
+
     def checkpoint(self, spark: SparkSession, job: str) -> str:
         """Stream state of one job; each root has its own, whatever its name."""
         of = hashlib.sha256(self.root.rstrip("/").encode()).hexdigest()[:16]
@@ -160,6 +166,10 @@ def gold_tables(spark: SparkSession, lake: Lake) -> dict[str, DataFrame]:
         "payment_share": gold.payment_share(pos),
         "monthly_revenue": gold.monthly_revenue(pos),
     })
+    if exists(spark, lake.distinct().root):
+        # counts of whole months come from the days' bitmaps, not from the lines
+        month = F.trunc("transaction_date", "MM").alias("sales_month")
+        out["distinct_by_month"] = lake.distinct().counts(spark, (month,))
     out["row_counts"] = gold.row_counts({k: out[k] for k in (
         "silver_csv_transaction", "silver_iot_events", "silver_erp_orders",
         "fact_decisions", "fact_iot_store_daily", "fact_sales_verses_iot")})
@@ -198,8 +208,11 @@ def refresh_gold(spark: SparkSession, lake: Lake) -> dict[str, set]:
         return s[name] if first else tasks.only_days(s[name], column, days)
 
     if taken["pos"] or first:
-        publish.replace_days(gold.fact_decisions(lines_of("silver_csv_transaction", "transaction_date", taken["pos"])),
-                             lake.gold("fact_decisions"), "report_date")
+        lines = lines_of("silver_csv_transaction", "transaction_date", taken["pos"])
+        publish.replace_days(gold.fact_decisions(lines), lake.gold("fact_decisions"), "report_date")
+        if newest["pos"] >= 0:
+            # lines that the state holds already change nothing in it
+            lake.distinct().append(lines, newest["pos"])
     fact = spark.read.parquet(lake.gold("fact_decisions"))
     if taken["iot"] or first:
         publish.replace_days(gold.iot_store_daily(lines_of("silver_iot_events", "event_ts", taken["iot"])),

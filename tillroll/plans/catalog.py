@@ -502,3 +502,43 @@ def q_orders_merge(spark, d):
 def q_orders_merge_changes(spark, d):
     """C3 the change rows that the three MERGEs themselves put out."""
     return _merged_orders(spark, d)[1]
+
+
+# ---------------------------------------------------------------- distinct counts that merge
+# Sale days that part the POS lines into the batches of the registered queries.
+DISTINCT_CUTS = ["1994-07-01", "1997-01-01"]
+
+
+def _distinct_state(spark, d):
+    """The POS lines taken into a bitmap state in three batches, undated lines with the last."""
+    import uuid
+
+    from tillroll.operators.distinct_state import DistinctState
+    from tillroll.session import state_path
+    state = DistinctState(state_path(spark, "distinct", uuid.uuid4().hex), ("transaction_id", "customer_id"),
+                          "transaction_date", "payment_method string")
+    lines = tm.pos_silver(spark, d)
+    day = F.col("transaction_date")
+    lows, highs = [None, *DISTINCT_CUTS], [*DISTINCT_CUTS, None]
+    for i, (low, high) in enumerate(zip(lows, highs, strict=True)):
+        batch = lines
+        if low:
+            batch = batch.filter(day >= F.lit(low).cast("date") if high else day.isNull() | (day >= F.lit(low).cast("date")))
+        if high:
+            batch = batch.filter(day < F.lit(high).cast("date"))
+        state.append(batch, i)
+    return state
+
+
+@register("distinct_by_month")
+def q_distinct_by_month(spark, d):
+    """A6 exact distinct counts per month and payment method, merged from the days' bitmaps."""
+    month = F.trunc("transaction_date", "MM").alias("sales_month")
+    return _distinct_state(spark, d).counts(spark, (month, F.col("payment_method")))
+
+
+@register("daily_revenue_merged")
+def q_daily_revenue_merged(spark, d):
+    """G5 with its distinct counts out of the bitmap state."""
+    uniques = _distinct_state(spark, d).counts(spark, (F.col("transaction_date"),))
+    return gold.daily_revenue_from(tm.pos_silver(spark, d), uniques)

@@ -98,6 +98,21 @@ def daily_revenue(pos: DataFrame) -> DataFrame:
                .orderBy(R("transaction_date").desc_nulls_first()))
 
 
+def daily_revenue_from(pos: DataFrame, uniques: DataFrame) -> DataFrame:
+    """G5 with the distinct counts out of a state (``transaction_date, unique_transaction_id,
+    unique_customer_id``): the lines are aggregated once, without an Expand."""
+    sums = (pos.groupBy(F.to_date("transaction_date").alias("transaction_date"))
+               .agg(exact_sum("total_orderline").alias("daily_revenue"),
+                    F.count("transaction_id").alias("number_of_transactions"),
+                    F.avg("total_orderline").alias("avg_cart_size")))
+    u = uniques.select(R("transaction_date").alias("_day"), "unique_transaction_id", "unique_customer_id")
+    return (sums.join(u, R("transaction_date").eqNullSafe(R("_day")))
+                .select("transaction_date", "daily_revenue", "number_of_transactions",
+                        R("unique_transaction_id").alias("unique_transactions"),
+                        R("unique_customer_id").alias("unique_customers"), "avg_cart_size")
+                .orderBy(R("transaction_date").desc_nulls_first()))
+
+
 def daily_revenue_by_payment(pos: DataFrame) -> DataFrame:
     """G6 per day × payment method, with the largest line."""
     return (pos.groupBy(F.to_date("transaction_date").alias("transaction_date"),
