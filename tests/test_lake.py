@@ -126,6 +126,10 @@ def test_refresh_takes_in_changes_and_leaves_other_days_alone(spark, scratch):
     refreshed = content()
     at = {t: _files(lake, t) for t in GOLD}
     assert jobs.refresh_gold(spark, lake) == {"pos": set(), "iot": set()} and at == {t: _files(lake, t) for t in GOLD}
+    # every landed file is accounted for, and all rows are in some file
+    found = jobs.load_outcomes(spark, lake)
+    assert {r.status for r in found.collect()} == {"LOADED"}
+    assert found.agg(F.sum("rows_loaded")).first()[0] == sum(spark.read.parquet(lake.bronze(t)).count() for t in ("pos", "iot", "orders"))
     # the distinct counts that the two refreshes kept are those of all lines
     month = F.trunc("transaction_date", "MM").alias("sales_month")
     lines = jobs.silver_tables(spark, lake)["silver_csv_transaction"]

@@ -13,6 +13,7 @@ from __future__ import annotations
 import hashlib
 import json
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -22,7 +23,8 @@ from tillroll import schemas
 from tillroll.operators.distinct_state import DistinctState
 from tillroll.plans import gold, publish
 from tillroll.session import state_path
-from tillroll.streaming import pipes, tasks
+from tillroll.sources import landing
+from tillroll.streaming import outcomes, pipes, tasks
 from tillroll.streaming.commit import exists, put_file, read_json
 
 
@@ -84,6 +86,19 @@ def ingest(spark: SparkSession, lake: Lake, trigger: str | None = None,
     return qs
 
 
+def load_outcomes(spark: SparkSession, lake: Lake) -> DataFrame:
+    """What became of every file in the landing folders, read off bronze and the quarantines
+    (``outcomes.file_outcomes``); ``outcomes.outcome_events`` of it is the ledger."""
+    stages = ((lake.json_stage, landing.FEED_DRIVE), (lake.csv_stage, landing.FEED_FTP), (lake.parquet_stage, landing.FEED_FTP))
+    files = reduce(DataFrame.unionByName, [outcomes.landed_files(spark, path, feed) for path, feed in stages])
+
+    def tables(suffix: str) -> list[DataFrame]:
+        named = [lake.bronze(f"{t}{suffix}") for t in ("pos", "iot", "orders", "inventory")]
+        return [spark.read.schema("source_file string, loaded_time timestamp").parquet(path) for path in named]
+
+    return outcomes.file_outcomes(files, tables(""), tables("_quarantine"))
+
+
 def refine(spark: SparkSession, lake: Lake, trigger: str | None = None) -> list[StreamingQuery]:
     """Tasks: bronze → silver POS lines, sensor readings, orders (MERGE)."""
     return [

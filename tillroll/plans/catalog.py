@@ -473,6 +473,48 @@ def q_orders_mixed_load(spark, d):
     return good.unionByName(bad)
 
 
+def _outcomes(spark, d):
+    """Sensor events landed by day, some of them spoilt, taken in by the JSON pipe: what became of each file.
+
+    On the 13th of a month all lines break off, on other odd days those of event ids that end in 7."""
+    from tillroll.sources import landing
+    from tillroll.streaming import outcomes, pipes
+    day = F.to_date(F.substring("event.timestamp", 1, 10))
+    line = F.to_json("event")
+    spoilt = (F.dayofmonth(day) == 13) | ((F.dayofmonth(day) % 2 == 1) & F.col("event.event_id").endswith("7"))
+    lines = tm.iot_events(spark, d).select(
+        day.alias("day"), F.when(spoilt, F.substring(line, 1, F.length(line) - 3)).otherwise(line).alias("value"))
+    src = tm.landed(spark, "json-days", lines.hint("rebalance", "day"), "text", by=("day",))
+    bronze, held = f"{src}-bronze", f"{src}-held"
+    for q in pipes.json_pipe(spark, src, bronze, f"{src}-state", "lines", quarantine=held):
+        q.awaitTermination()
+    tables = [spark.read.parquet(path).select("source_file", "loaded_time") for path in (bronze, held)]
+    return outcomes.file_outcomes(outcomes.landed_files(spark, src, landing.FEED_DRIVE), [tables[0]], [tables[1]])
+
+
+def _landed_day(ref):
+    return F.regexp_extract(ref, "/day=([^/]*)/", 1).try_cast("date").alias("landed_day")
+
+
+@register("load_outcomes")
+def q_load_outcomes(spark, d):
+    """S6 rows loaded and quarantined of the files of each landing day, read off the tables."""
+    return _outcomes(spark, d).groupBy(_landed_day("file_ref")).agg(
+        F.sum("rows_loaded").alias("rows_loaded"), F.sum("rows_quarantined").alias("rows_quarantined"),
+        F.count_if(F.col("status") == "NO_ROWS").alias("files_without_rows"))
+
+
+@register("load_status")
+def q_load_status(spark, d):
+    """S6 the current status of each landing day's files, from the ledger of what happened to them."""
+    from tillroll.sources import landing
+    from tillroll.streaming import outcomes
+    now = landing.current_status(outcomes.outcome_events(_outcomes(spark, d)))
+    every = [F.when(F.bool_and(F.col("status") == s), s) for s in (outcomes.LOADED, outcomes.QUARANTINED)]
+    return now.groupBy(_landed_day("original_file_id")).agg(
+        F.coalesce(*every, F.lit(outcomes.PARTLY_LOADED)).alias("status"))
+
+
 def _merged_orders(spark, d):
     """The order log merged in three batches, as its files' days would bring them; (table, change rows)."""
     import uuid

@@ -115,14 +115,14 @@ def stored_feed(spark: SparkSession, sf_dir: str, name: str, build) -> DataFrame
     return _FEED_FRAMES[memo]
 
 
-def landed(spark: SparkSession, feed: str, rows: DataFrame, fmt: str, **options) -> str:
-    """Land ``rows`` as files of a feed's own format in a new folder and return it:
-    the registered load queries read real files through the library's readers."""
+def landed(spark: SparkSession, feed: str, rows: DataFrame, fmt: str, by: tuple[str, ...] = (), **options) -> str:
+    """Land ``rows`` as files of a feed's own format in a new folder (with sub-folders ``by`` columns)
+    and return it: the registered load queries read real files through the library's readers."""
     import uuid
 
     from tillroll.session import state_path
     path = state_path(spark, "landed", f"{feed}-{uuid.uuid4().hex}")
-    rows.write.format(fmt).options(**options).save(path)
+    rows.write.format(fmt).options(**options).partitionBy(*by).save(path)
     return path
 
 

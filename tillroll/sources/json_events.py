@@ -42,10 +42,17 @@ _CLOSE[[ord("]"), ord("}")]] = True
 
 
 def open_file(path: str):
+    """The file of a path as a listing names it: without escapes, whatever signs are in it."""
+    from urllib.parse import quote
+
     import pyarrow.fs as pafs
-    if path.startswith("file:") and "://" not in path:
-        path = "file://" + path[len("file:"):]
-    store, inner = pafs.FileSystem.from_uri(path) if "://" in path else (pafs.LocalFileSystem(), path)
+    scheme, sign, rest = path.partition(":")
+    if not sign or "/" in scheme:
+        return pafs.LocalFileSystem().open_input_file(path)
+    if scheme == "file":
+        return pafs.LocalFileSystem().open_input_file("/" + rest.lstrip("/"))
+    host, _, inner = rest.removeprefix("//").partition("/")
+    store, inner = pafs.FileSystem.from_uri(f"{scheme}://{host}/{quote(inner)}")
     return store.open_input_file(inner)
 
 
