@@ -37,6 +37,21 @@ def test_round_trip(spark):
     assert sorted(map(tuple, got), key=str) == expected(ROWS)
 
 
+def test_reading_back_is_spread_by_the_archives_bytes(spark, monkeypatch):
+    import os
+    rows = [(i, f"http://h{i}.example.com/", os.urandom(2000).hex()) for i in range(200)]
+    files = warc.write_index(warc.write_archives(pages(spark, rows)))
+    assert warc.reading_tasks(files) == 1
+    monkeypatch.setattr(warc, "TASK_BYTES", 40_000)
+    tasks = warc.reading_tasks(files)
+    assert tasks == -(-files.agg(F.sum("bytes")).first()[0] // 40_000) > 8
+    back = warc.read_records(warc.scan_index(files), tasks)
+    assert back.select(F.spark_partition_id().alias("p"), "page_id").groupBy("p").count().count() > 4
+    assert sorted(map(tuple, back.drop("payload", "url").collect()), key=str) == expected(rows)
+    monkeypatch.setattr(warc, "MOST_TASKS", 3)
+    assert warc.reading_tasks(files) == 3
+
+
 def test_empty(spark):
     assert warc.archived(pages(spark, [])).collect() == []
     none = warc.write_index(warc.write_archives(pages(spark, [])))

@@ -38,6 +38,8 @@ LEAST_REVISIT = 100
 BLOCK_CAPTURES = 500
 #: A new archive is begun beyond this size; ranges up to READ_BYTES are read at once.
 ARCHIVE_BYTES, READ_BYTES = 1 << 30, 4 << 20
+#: Bytes of archives that a task should read back, and the most tasks it may take.
+TASK_BYTES, MOST_TASKS = 8 << 20, 20_000
 DATE = "1970-01-01T00:00:00Z"
 TAIL = "<2q8s"
 MAGIC = b"TILLCDX1"
@@ -155,7 +157,7 @@ def write_index(captures: DataFrame) -> DataFrame:
         part = TaskContext.get().partitionId()
         name = f"part-{part:06d}-{uuid.uuid4().hex}.cdx"
         pack = zstandard.ZstdCompressor(level=3)
-        directory, lines, first, last, at, n = [], [], None, None, len(MAGIC), 0
+        directory, lines, first, last, at, n, size = [], [], None, None, len(MAGIC), 0, 0
         out_store, out_path = file_system(folder)
         stream = None
 
@@ -173,7 +175,7 @@ def write_index(captures: DataFrame) -> DataFrame:
                     stream = out_store.open_output_stream(f"{out_path}/{name}", compression=None)
                     stream.write(MAGIC)
                     first = row[0]
-                last, n = row[0], n + 1
+                last, n, size = row[0], n + 1, size + row[4]
                 lines.append(json.dumps(row))
                 if len(lines) == BLOCK_CAPTURES:
                     flush()
@@ -187,9 +189,10 @@ def write_index(captures: DataFrame) -> DataFrame:
         stream.close()
         yield pa.RecordBatch.from_pydict({
             "part": pa.array([part], pa.int64()), "file": [f"{folder}/{name}"], "first_key": [first],
-            "last_key": [last], "n": pa.array([n], pa.int64())})
+            "last_key": [last], "n": pa.array([n], pa.int64()), "bytes": pa.array([size], pa.int64())})
 
-    return written(rows.mapInArrow(work, "part long, file string, first_key string, last_key string, n long"), "cdx-files")
+    schema = "part long, file string, first_key string, last_key string, n long, bytes long"
+    return written(rows.mapInArrow(work, schema), "cdx-files")
 
 
 class IndexFile:
@@ -274,7 +277,14 @@ def lookup(files: DataFrame, urls: DataFrame) -> DataFrame:
     return rows.mapInArrow(work, "url string, " + _CAPTURE)
 
 
-def read_records(captures: DataFrame) -> DataFrame:
+def reading_tasks(files: DataFrame) -> int:
+    """Tasks that read back all that the index lists: by the bytes of the archives, as the captures
+    themselves are too small to tell."""
+    total = files.agg(F.sum("bytes")).first()[0] or 0
+    return max(1, min(MOST_TASKS, -(-total // TASK_BYTES)))
+
+
+def read_records(captures: DataFrame, tasks: int | None = None) -> DataFrame:
     """Reads captures from the archives: ``page_id, url, payload_bytes, payload_digest, record_type, refers_to, payload``.
 
     Captures are dealt by stretches of their archive and read in order, touching
@@ -283,8 +293,9 @@ def read_records(captures: DataFrame) -> DataFrame:
     payload is null.
     """
     rows = captures.select("file", "offset", "length")
-    near = F.xxhash64("file", F.floor(F.col("offset") / (8 * READ_BYTES)))
-    rows = rows.repartition(near).sortWithinPartitions("file", "offset")
+    near = F.xxhash64("file", F.floor(F.col("offset") / TASK_BYTES))
+    rows = rows.repartition(near) if tasks is None else rows.repartition(tasks, near)
+    rows = rows.sortWithinPartitions("file", "offset")
 
     def ranges(batches):
         """Archive and touching captures of up to READ_BYTES."""
@@ -333,4 +344,4 @@ def archived(pages: DataFrame) -> DataFrame:
     Per row: ``page_id, payload_bytes, payload_digest, record_type, refers_to``.
     """
     files = write_index(write_archives(pages))
-    return read_records(scan_index(files)).drop("payload", "url")
+    return read_records(scan_index(files), reading_tasks(files)).drop("payload", "url")
