@@ -28,7 +28,8 @@ from tillroll.llm.common import written
 
 SCALE, TOP = 1024, 10
 HEAD, LEADING, CHUNK, QUERIES = 1024, 16, 2048, 256
-BLOCK_ROWS = 250_000
+#: Bytes of the vectors of one block, as doubles; a worker holds a few times as much.
+BLOCK_BYTES = 128_000_000
 #: Doubles from here on are whole, and sums of products below are exact in doubles.
 WHOLE = float(1 << 53)
 #: Sums of products below are exact in 64-bit integers.
@@ -182,7 +183,7 @@ def search(table: DataFrame, every: int = 100) -> DataFrame:
     schema = "query_id long, vec_id long, score long"
     if not count or not width:
         width = 1
-    blocks = max(2 * spark.sparkContext.defaultParallelism, -(-count // BLOCK_ROWS))
+    blocks = max(2 * spark.sparkContext.defaultParallelism, -(-count * 8 * width // BLOCK_BYTES))
     turn = rotation(vectors, width)
     order = [F.col("norm2").desc(), F.col("vec_id")]
     head = vectors.orderBy(*order).limit(HEAD).select("vec_id", "v").toArrow()  # HEAD vectors
