@@ -202,7 +202,8 @@ def revealing_terms(docs: DataFrame, base: DataFrame) -> DataFrame | None:
     if wanted.isEmpty():
         return None
     words = docs.select(F.explode(F.array_distinct(_words(F.col("text")))).alias("term"))
-    counts = _maybe(words, _marks(wanted)).join(wanted, "term", "left_semi").groupBy("term").agg(F.count("*").alias("dt"))
+    # counted before the join, which then meets one row per term, however often it occurs
+    counts = _maybe(words, _marks(wanted)).groupBy("term").agg(F.count("*").alias("dt")).join(wanted, "term", "left_semi")
     whole = docs.agg(F.count("*").cast("double").alias("total"))  # one row
     share = F.log(F.col("n") * F.col("total") / (F.col("dt") * F.col("dc"))) / F.log(F.col("total") / F.col("dc"))
     scored = pairs.join(counts, "term").crossJoin(F.broadcast(whole)).where("dc < total")
