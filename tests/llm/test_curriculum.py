@@ -101,3 +101,13 @@ def test_mixed_keeps_columns_named_like_its_own(spark):
     for r in held:
         got[r["doc_id"]] += size(r["text"])
     assert got == taken
+
+
+def test_mix_comes_in_training_order(documents):
+    rows = corpus(3)
+    out = [(r["position"], r["doc_id"], r["taken"]) for r in curriculum.mix(documents(rows)).collect()]
+    taken = [(p, -1 if d is None else d) for p, d, _ in out if p is not None]
+    assert len(out) == len(rows) and 0 < len(taken) < len(out)
+    assert taken == sorted(taken)
+    # untaken rows follow
+    assert all(p is None and n == 0 for p, _, n in out[len(taken):])

@@ -112,17 +112,38 @@ def _position(begin: Column) -> Column:
     return F.when(s == 0, share).otherwise(2 * share / ((1 - s) + root))
 
 
+def _pieces(plan: DataFrame) -> DataFrame:
+    """Each piece that the mix takes, one row per document and pass, with its words and training position."""
+    passes = plan.where("size > 0").withColumn("pass", F.explode(F.sequence(F.lit(0), F.lit(MOST - 1))))
+    pieces = passes.withColumn("words", _taken(F.col("pass"))).where("words > 0")
+    begin = F.col("start") + F.col("pass") * F.col("source_size")
+    return pieces.select("doc_id", "source", "tie", "start", "size", "words", _position(begin).alias("position"))
+
+
+def _in_order(rows: DataFrame, position: str, doc_id: str) -> DataFrame:
+    """Range-sorted into training order; rows without a position come last."""
+    order = [F.col(position).asc_nulls_last(), F.col(doc_id).asc_nulls_first()]
+    return rows.repartitionByRange(*order).sortWithinPartitions(*order)
+
+
 def mix(docs: DataFrame) -> DataFrame:
-    """Per row: ``doc_id, size, source_size, target, taken, position``.
+    """Per row, in training order: ``doc_id, size, source_size, target, taken, position``.
 
-    ``taken`` counts the words the mix takes, repeats included; ``position`` is
-    the time of the first piece, null if nothing is taken.  A null text has size
-    0; a null source is a source, the last; repeated rows are rows of their own.
-    An empty table gives no rows; if all sizes are 0, nothing is taken.
+    The pieces of the mix are range-sorted by position and written; a row's
+    ``taken``, the words the mix takes of it with repeats, and ``position``, the
+    time of its first piece (null if nothing is taken), are read off them.  A null
+    text has size 0; a null source is a source, the last; repeated rows are rows of
+    their own.  An empty table gives no rows; if all sizes are 0, nothing is taken.
     """
-    rows = planned(docs).withColumn("taken", sum((_taken(p) for p in range(MOST)), F.lit(0)).cast("long"))
-    return rows.select("doc_id", "size", "source_size", "target", "taken",
-                       F.when(F.col("taken") > 0, _position(F.col("start"))).alias("position"))
+    plan = written(planned(docs), "planned")
+    ordered = written(_in_order(_pieces(plan), "position", "doc_id"), "ordered")
+    # rows with words start at words of their own on their source's line
+    per = ordered.groupBy("source", "start").agg(F.sum("words").alias("taken"), F.min("position").alias("position"))
+    p, d = plan.alias("p"), per.alias("d")
+    same = F.col("p.source").eqNullSafe(F.col("d.source")) & (F.col("p.start") == F.col("d.start")) & (F.col("p.size") > 0)
+    rows = p.join(d, same, "left").select(
+        "p.doc_id", "p.size", "p.source_size", "p.target", F.coalesce("d.taken", F.lit(0)).cast("long").alias("taken"), "d.position")
+    return _in_order(rows, "position", "doc_id")
 
 
 def mixed(docs: DataFrame) -> DataFrame:
@@ -132,14 +153,9 @@ def mixed(docs: DataFrame) -> DataFrame:
     target holds its first words; ``n_chars``, if there, then counts them.  Rows
     that share a ``doc_id`` and a text are taken as often as planned for each.
     """
-    rows = planned(docs).where("size > 0")
-    pieces = rows.select(
-        "doc_id", "source", "tie", "start", "size", "source_size", "target", "slope",
-        F.explode(F.sequence(F.lit(0), F.lit(MOST - 1))).alias("pass"))
-    pieces = pieces.withColumn("words", _taken(F.col("pass"))).where("words > 0")
-    begin = F.col("start") + F.col("pass") * F.col("source_size")
-    pieces = pieces.select(F.col("doc_id").alias("_id"), F.col("source").alias("_source"), F.col("tie").alias("_tie"),
-                           _position(begin).alias("_position"), F.col("words").alias("_words"), F.col("size").alias("_size"))
+    pieces = _pieces(planned(docs)).select(
+        F.col("doc_id").alias("_id"), F.col("source").alias("_source"), F.col("tie").alias("_tie"),
+        F.col("position").alias("_position"), F.col("words").alias("_words"), F.col("size").alias("_size"))
     pieces = written(pieces, "pieces")
     # the table's columns stay within one, so that none clashes with those beside it
     one = docs.select(F.struct(*(docs[c] for c in docs.columns)).alias("row"))
@@ -165,5 +181,4 @@ def mixed(docs: DataFrame) -> DataFrame:
     if "n_chars" in docs.columns:
         made["n_chars"] = F.when(whole, F.col("row.n_chars")).otherwise(
             F.length("_text").cast(docs.schema["n_chars"].dataType))
-    out = out.repartitionByRange("_position", "_id").sortWithinPartitions("_position", "_id")
-    return out.select(*(made.get(c, F.col("row").getField(c)).alias(c) for c in docs.columns))
+    return _in_order(out, "_position", "_id").select(*(made.get(c, F.col("row").getField(c)).alias(c) for c in docs.columns))
