@@ -101,3 +101,20 @@ def test_a_merge_that_broke_off_is_done_again(spark, scratch, monkeypatch):
     whole = silver.upsert_orders(first.unionByName(second)).select(*SILVER_COLS)
     assert rows(tasks.read_current(spark, root).select(*SILVER_COLS)) == rows(whole)
     assert {r.batch_id for r in commit.load_figures(spark, log).collect()} == {0, 1}
+
+
+def test_a_merge_moves_each_row_once_and_caches_none(spark, scratch, monkeypatch):
+    from pyspark.sql import DataFrame
+    first, second = _batches(spark)
+    root, log = f"{scratch}/orders", f"{scratch}/changes"
+    monkeypatch.setattr(DataFrame, "persist", lambda *a: 1 / 0)
+    monkeypatch.setattr(merge, "PART_ROWS", 40, raising=False)                     # a bucket is several files
+    for i, batch in enumerate((first, second)):
+        tasks.merge_batch(spark, root, batch, i, log)
+    whole = silver.upsert_orders(first.unionByName(second)).select(*SILVER_COLS)
+    assert rows(tasks.read_current(spark, root).select(*SILVER_COLS)) == rows(whole)
+    assert len(merge.manifest(spark, root)["gens"]) < len(tasks.read_current(spark, root).inputFiles())
+    old, new = tasks.read_current(spark, root, before=1), tasks.read_current(spark, root)
+    diff = changes.snapshot_diff(old, new, "order_id", [c for c in SILVER_COLS if c != "order_id"])
+    got = tasks.read_changes(spark, log, 0).select(*SILVER_COLS, "change_action", "change_isupdate")
+    assert rows(got) == rows(diff.select(*got.columns))

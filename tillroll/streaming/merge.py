@@ -1,15 +1,20 @@
 """MERGE of micro-batches into a keyed table that rewrites only what a batch touches.
 
 Rows live in hash buckets of their key, ``bucket=<b>/gen=<batch>``.  A batch
-reads the buckets that its keys fall into, joins its last version per key to
-them once, and writes these buckets anew under its own batch id; all other
-buckets stay where they are.  A small manifest per batch names the generation
-of each bucket, so a reader opens exactly the current files, without listing
-older ones.  Rows without key match nothing: each batch's are a folder of their own.
-
-The same join yields the batch's change rows (what a stream on the table
+reads the buckets that its keys fall into and writes these anew under its own
+batch id; all other buckets stay where they are.  Its rows and the rows held are
+moved once, to the parts of the buckets that will be written; there one
+aggregation finds each key's last version and the row held before it, and the
+result is written as it comes.  Nothing is cached and no row is moved again.  A small
+manifest per batch names the generation of each bucket, so a reader opens exactly
+the current files, without listing older ones.  Rows without key match nothing:
+each batch's are a folder of their own.
+
+The same aggregation yields the batch's change rows (what a stream on the table
 would return): an INSERT for a new key, a DELETE of the old values and an
-INSERT of the new ones, both flagged as an update, for a changed row.  They are
+INSERT of the new ones, both flagged as an update, for a changed row.  What a
+generation changed is written beside its rows, in columns that readers of the
+table do not ask for; the change rows are read off them, task by task, and
 appended to a change table under the batch id.
 
 A replayed batch starts from the manifest before it and so writes the same
@@ -22,18 +27,22 @@ import json
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StringType, StructField, StructType
 
 from tillroll.operators.changes import ACTION_DELETE, ACTION_INSERT
-from tillroll.operators.latest import latest_per_key
 from tillroll.streaming.commit import commit, file_system, put_file, read_json
 
 #: Buckets of a new table; a bucket should be what a task can rewrite at ease.
 BUCKETS = 64
+#: Rows of a part: a bucket with more is written as several files, by as many tasks.
+PART_ROWS = 100_000
 MANIFESTS, UNKEYED = "_manifests", "unkeyed"
 _NAME = "batch-{:012d}.json"
 #: Partition column of the change rows: the batch that made them.
 CHANGE_BATCH = "change_batch"
+#: Columns of a generation beside the table's: what its batch did to a row (null: nothing) and the row it replaced.
+_CHANGE, _OLD = "_change", "_old"
+_INSERTED, _UPDATED = "insert", "update"
 
 
 def bucket_of(key: str, buckets: int) -> Column:
@@ -82,52 +91,72 @@ def merge(batch: DataFrame, batch_id: int, root: str, schema: StructType, key: s
     n = before["buckets"] or buckets
     cols = [f.name for f in schema.fields]
     rows = batch.select(*[c for c in cols if c != stamp])
-    keyed = latest_per_key(rows.filter(F.col(key).isNotNull()), key, order)
-    keyed = keyed.withColumn(stamp, F.current_timestamp()).withColumn("_bucket", bucket_of(key, n)).persist()
-    loose = rows.filter(F.col(key).isNull()).withColumn(stamp, F.current_timestamp()).select(*cols).persist()
-    try:
-        touched = sorted(r[0] for r in keyed.select("_bucket").distinct().collect())  # at most the number of buckets
+    keyed = rows.filter(F.col(key).isNotNull())
+    loose = rows.filter(F.col(key).isNull())
+    met = {r[0]: r[1] for r in keyed.groupBy(bucket_of(key, n)).count().collect()}  # at most the number of buckets
+    touched = sorted(met)
+    unkeyed = list(before["unkeyed"])
+    if not loose.isEmpty():
+        loose.withColumn(stamp, F.current_timestamp()).select(*cols).write.mode("overwrite").parquet(f"{root}/{UNKEYED}/gen={batch_id}")
+        unkeyed.append(batch_id)
+    if touched:
         held = [f"{root}/bucket={b}/gen={before['gens'][str(b)]}" for b in touched if str(b) in before["gens"]]
         old = _read(spark, held, schema)
-        pairs = old.select(F.col(key).alias("_k"), F.struct(*cols).alias("_o")).join(
-            keyed.select(F.col(key).alias("_n_k"), F.struct(*cols).alias("_n")), F.col("_k") == F.col("_n_k"), "full_outer")
-        pairs = pairs.select("_o", "_n").persist()
-        try:
-            if changes:
-                compared = [c for c in cols if c not in (key, stamp, *ignore)]
-                fresh = loose.select(*cols, F.lit(ACTION_INSERT).alias("change_action"), F.lit(False).alias("change_isupdate"))
-                rows = _changes(pairs, cols, compared).unionByName(fresh).withColumn(CHANGE_BATCH, F.lit(batch_id))
-                commit({changes: rows}, batch_id, (CHANGE_BATCH,))
-            if touched:
-                state = pairs.select(F.coalesce("_n", "_o").alias("r")).select("r.*").withColumn("bucket", bucket_of(key, n))
-                _write(state.repartition(len(touched), "bucket"), root, batch_id, touched)
-        finally:
-            pairs.unpersist()
-        unkeyed = list(before["unkeyed"])
-        if not loose.isEmpty():
-            loose.write.mode("overwrite").parquet(f"{root}/{UNKEYED}/gen={batch_id}")
-            unkeyed.append(batch_id)
-        gens = before["gens"] | {str(b): batch_id for b in touched}
-        put_file(spark, f"{root}/{MANIFESTS}/{_NAME.format(batch_id)}", json.dumps({"buckets": n, "gens": gens, "unkeyed": unkeyed}))
-    finally:
-        keyed.unpersist()
-        loose.unpersist()
-
-
-def _changes(pairs: DataFrame, cols: list[str], compared: list[str]) -> DataFrame:
-    old, new = F.col("_o"), F.col("_n")
+        parts = 1 + (sum(met.values()) + old.count()) // (len(touched) * PART_ROWS)
+        compared = [c for c in cols if c not in (key, stamp, *ignore)]
+        state = _state(old, keyed, cols, key, order, stamp, compared, n, parts, len(touched))
+        _write(state, root, batch_id, touched)
+    if changes:
+        made = [f"{root}/bucket={b}/gen={batch_id}" for b in touched]
+        fresh = _read(spark, [f"{root}/{UNKEYED}/gen={batch_id}"] if batch_id in unkeyed else [], schema)
+        fresh = fresh.select(*cols, F.lit(ACTION_INSERT).alias("change_action"), F.lit(False).alias("change_isupdate"))
+        rows = _changes(_read(spark, made, _with_changes(schema)), cols).unionByName(fresh).withColumn(CHANGE_BATCH, F.lit(batch_id))
+        commit({changes: rows}, batch_id, (CHANGE_BATCH,))
+    gens = before["gens"] | {str(b): batch_id for b in touched}
+    put_file(spark, f"{root}/{MANIFESTS}/{_NAME.format(batch_id)}", json.dumps({"buckets": n, "gens": gens, "unkeyed": unkeyed}))
+
+
+def _with_changes(schema: StructType) -> StructType:
+    return StructType([*schema.fields, StructField(_CHANGE, StringType()), StructField(_OLD, schema)])
+
+
+def _state(old: DataFrame, batch: DataFrame, cols: list[str], key: str, order: list[str], stamp: str, compared: list[str],
+           buckets: int, parts: int, touched: int) -> DataFrame:
+    """The touched buckets after the batch: columns ``cols``, what was done to the row, and the bucket.
+
+    All versions of a key meet in one part of its bucket, sorted (a sort that spills), and
+    are aggregated there; parts keep what a task sorts bounded, and files come in key order."""
+    ranked = [*order, *[c for c in cols if c not in (key, stamp, *order)]]
+    both = old.select(*cols, F.lit(False).alias("_new")).unionByName(
+        batch.withColumn(stamp, F.current_timestamp()).select(*cols, F.lit(True).alias("_new")))
+    part = F.pmod(F.xxhash64(F.lit("part"), F.col(key)), F.lit(parts)).cast("int")
+    both = both.withColumn("bucket", bucket_of(key, buckets)).withColumn("_part", part)
+    both = both.repartition(touched * parts, "bucket", "_part")
+    rest = F.struct(*[F.col(c) for c in ranked], F.col(stamp))
+    pairs = both.groupBy(key, "bucket", "_part").agg(
+        F.max(F.when(~F.col("_new"), rest)).alias("_o"), F.max(F.when(F.col("_new"), rest)).alias("_n"))
+    o, n = F.col("_o"), F.col("_n")
     same = F.lit(True)
     for c in compared:
-        same = same & old.getField(c).eqNullSafe(new.getField(c))
-    update = old.isNotNull() & ~same
+        same = same & o.getField(c).eqNullSafe(n.getField(c))
+    change = F.when(n.isNotNull() & o.isNull(), _INSERTED).when(n.isNotNull() & ~same, _UPDATED)
+
+    def side(row):
+        return [F.col(key) if c == key else row.getField(c).alias(c) for c in cols]
+
+    now = F.coalesce("_n", "_o")
+    return pairs.select(*side(now), change.alias(_CHANGE), F.when(change == _UPDATED, F.struct(*side(o))).alias(_OLD), "bucket")
+
+
+def _changes(rows: DataFrame, cols: list[str]) -> DataFrame:
+    update = F.col(_CHANGE) == _UPDATED
 
-    def side(row, action, emit):
-        return F.when(emit, F.struct(*[row.getField(c).alias(c) for c in cols], F.lit(action).alias("change_action"),
-                                     update.alias("change_isupdate")))
+    def side(row, action):
+        return F.struct(*[row(c).alias(c) for c in cols], F.lit(action).alias("change_action"), update.alias("change_isupdate"))
 
-    rows = F.array(side(old, ACTION_DELETE, update), side(new, ACTION_INSERT, old.isNull() | update))
-    pairs = pairs.filter(new.isNotNull())
-    return pairs.select(F.explode(F.filter(rows, lambda r: r.isNotNull())).alias("c")).select("c.*")
+    new, old = side(F.col, ACTION_INSERT), side(F.col(_OLD).getField, ACTION_DELETE)
+    both = F.when(update, F.array(old, new)).otherwise(F.array(new))
+    return rows.filter(F.col(_CHANGE).isNotNull()).select(F.explode(both).alias("c")).select("c.*")
 
 
 def _write(state: DataFrame, root: str, batch_id: int, touched: list[int]) -> None:
