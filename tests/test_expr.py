@@ -1,3 +1,5 @@
+import re
+
 from pyspark.sql import functions as F
 
 from tillroll.functions.expr import (
@@ -79,3 +81,26 @@ def test_identity_tells_nulls_apart_and_sums_leave_nothing_out(spark):
     money = spark.createDataFrame([(1.5,), (1e31,), (None,)], "v double")
     assert money.agg(expr.exact_sum("v")).first()[0] == 1e31
     assert money.where("v < 2").agg(expr.exact_sum("v")).first()[0] == 1.5
+
+
+def test_short_decimal_text_is_rounded_without_a_decimal(spark):
+    import random
+    from decimal import ROUND_HALF_UP, Decimal
+
+    from pyspark.sql.types import StringType
+    from tillroll.functions import expr
+    rng = random.Random(5)
+    plain = [f"{rng.choice(['', '-'])}{rng.randrange(10 ** rng.randint(1, 9))}.{tail}" for _ in range(300)
+             for tail in ("0", "5", "500000", "499999", "500001", str(rng.randrange(10 ** 6)))]
+    plain += ["999999999.999999", "999999999.5", "-0.5", "-0.4", "0.499999", "007.50"]
+    odd = ["12.0d", "1e3.0", " 12.0", "12.0\n", "12.", ".5", "+3.7", "NaN", "", None, "0.4999999999999999999", "9223372036854775807.4",
+           "9223372036854775808.0", "1" * 40]
+    df = spark.createDataFrame([(t,) for t in plain + odd], "t string")
+    by_decimal = F.round(F.col("t").try_cast("decimal(38,18)")).try_cast("bigint")
+    out = df.select("t", expr.to_long_rounded("t", StringType()).alias("got"),
+                    F.coalesce(F.col("t").try_cast("bigint"), by_decimal).alias("want")).collect()
+    assert [r.t for r in out if r.got != r.want] == []
+    assert all(r.got == int(Decimal(r.t).quantize(Decimal(1), ROUND_HALF_UP)) for r in out[:len(plain)])
+    # the decimal is asked for only where the text is not of that form
+    assert all(re.search(expr.FEW_DIGITS.replace(r"\z", r"\Z"), t) for t in plain)
+    assert "RLIKE" in df.select(expr.to_long_rounded("t", StringType()))._jdf.queryExecution().analyzed().toString()

@@ -24,14 +24,19 @@ def clamp_non_negative(x) -> Column:
     return F.when(x < 0, F.lit(0)).otherwise(x)
 
 
+#: Text of a decimal number whose DOUBLE rounds to the same whole number.
+FEW_DIGITS = r"\A-?[0-9]{1,9}[.][0-9]{1,6}\z"
+
+
 def to_long_rounded(x, source: DataType | None = None) -> Column:
     """Numeric/text → BIGINT rounding half away from zero (``'3.7'`` → 4).
 
     Junk text and overflow give NULL instead of failing the load.  The value
     goes through DECIMAL, which holds every BIGINT exactly (a double does not
     beyond 2**53).  A known ``source`` type takes a shorter way to the same value:
-    whole numbers are kept, doubles are split at their point (exact), and
-    text of plain digits is read as it is.
+    whole numbers are kept, doubles are split at their point (exact), text of plain
+    digits is read as it is, and text of few digits with a point (``'12.0'``) is read as
+    a DOUBLE, which is nearer to it than the closest half is.
     """
     x = _c(x)
     if isinstance(source, IntegralType):
@@ -43,7 +48,9 @@ def to_long_rounded(x, source: DataType | None = None) -> Column:
         whole = below + (size - below >= 0.5).cast("bigint")
         return F.when(size < 2.0 ** 52, F.when(x < 0, -whole).otherwise(whole)).otherwise(by_decimal)
     if isinstance(source, StringType):
-        return F.coalesce(x.try_cast("bigint"), by_decimal)
+        nearest = F.floor(F.abs(x.try_cast("double")) + 0.5)
+        return F.when(x.rlike(FEW_DIGITS), F.when(x.startswith("-"), -nearest).otherwise(nearest)).otherwise(
+            F.coalesce(x.try_cast("bigint"), by_decimal))
     return by_decimal
 
 

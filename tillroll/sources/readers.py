@@ -157,7 +157,7 @@ def quarantine_reason(raw: DataFrame) -> Column:
     reasons = [F.when(F.col(CORRUPT).isNotNull(), F.lit("malformed_row"))]
     for c in _NUMERIC:
         number = F.col(c).try_cast("double")
-        fits = number.isNotNull() & ~F.isnan(number) & (F.abs(number) < OUT_OF_RANGE)
+        fits = F.coalesce(F.abs(number) < OUT_OF_RANGE, F.lit(False))  # NaN is above every number
         reasons.append(F.when(F.col(c).isNotNull() & ~fits, F.lit(f"bad_{c}")))
     ts_text = F.concat(F.col("transaction_date"), F.lit(" "), F.col("transaction_time"))
     reasons.append(F.when(F.col("transaction_date").isNotNull()
