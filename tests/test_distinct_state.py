@@ -94,3 +94,20 @@ def test_plan_has_no_expand_and_reads_only_the_months(spark, tmp_path):
     plan = state.counts(spark, (F.col("d"),), "2024-02-01", "2024-02-28")._jdf.queryExecution().executedPlan().toString()
     assert "Expand" not in plan
     assert "PartitionFilters: [isnotnull(month" in plan
+
+
+def test_lines_are_read_once_per_id_column(spark, tmp_path):
+    state = _state(tmp_path)
+    read = spark.sparkContext.accumulator(0)
+
+    def seen(batches):
+        for batch in batches:
+            read.add(batch.num_rows)
+            yield batch
+
+    loads = [_lines(i, n=200) for i in range(2)]
+    for i, load in enumerate(loads):
+        state.append(spark.createDataFrame(load, SCHEMA).mapInArrow(seen, SCHEMA), i)
+    assert read.value == 2 * 400                                                       # two id columns
+    every = spark.createDataFrame(loads[0] + loads[1], SCHEMA)
+    assert rows(state.counts(spark, (F.col("pay"),))) == rows(_plain(every, ("pay",)))

@@ -12,6 +12,8 @@ or, so a count over any period reads only state, and only that of its months.
   between batches.
 * A bitmap holds 32,768 numbers (4 KB).  A day holds at most one per block of
   numbers that it touches, never more than it has ids.
+* A batch's lines are read once per id column: its distinct ids per day and group are written
+  aside, and both its new ids and its bitmaps are made from them.
 * A batch is committed under its number (:mod:`tillroll.streaming.commit`), the ids
   before the bitmaps; a replay finds what is there and adds the rest.  Adding the
   same lines again changes no count, so late lines and lines read twice need no care.
@@ -63,6 +65,13 @@ class DistinctState:
     def _group_names(self, spark: SparkSession) -> list[str]:
         return spark.createDataFrame([], self.groups).columns if self.groups else []
 
+    def _met(self, rows: DataFrame, name: str, folder: str) -> DataFrame:
+        """The batch's ids per day and group, once each, written: new ids and bitmaps both come from them."""
+        by = [self.day, *self._group_names(rows.sparkSession)]
+        met = rows.select(*by, F.col(name).cast("string").alias(name)).distinct()
+        met.write.mode("overwrite").parquet(folder)
+        return rows.sparkSession.read.schema(met.schema).parquet(folder)
+
     def _new_ids(self, rows: DataFrame, name: str) -> DataFrame:
         """Ids that have no number yet, numbered behind the last of their shard."""
         known = self._numbers(rows.sparkSession, name)
@@ -75,10 +84,11 @@ class DistinctState:
         return new.join(last, "shard", "left").select(
             "id", "shard", (F.coalesce("last", F.lit(0)) + F.row_number().over(order)).cast("long").alias("number"))
 
-    def _new_bits(self, rows: DataFrame, name: str) -> DataFrame:
-        """One bitmap for each day, group and block of numbers of the batch."""
+    def _new_bits(self, rows: DataFrame, name: str, once: bool = False) -> DataFrame:
+        """One bitmap for each day, group and block of numbers of the batch (``once``: rows are distinct)."""
         by = [self.day, *self._group_names(rows.sparkSession)]
-        met = rows.groupBy(*by, F.col(name).cast("string").alias("id")).agg(F.count(F.lit(1)).alias("lines"))
+        met = rows.select(*by, F.col(name).cast("string").alias("id"))
+        met = met if once else met.distinct()
         met = met.join(self._numbers(rows.sparkSession, name), "id", "left")
         number = F.when(F.col("id").isNull() | F.col("number").isNotNull(), F.col("number")).otherwise(
             F.raise_error(F.concat(F.lit(f"{name} without a number: "), "id")).cast("long"))
@@ -90,10 +100,17 @@ class DistinctState:
 
     def append(self, rows: DataFrame, batch_id: int) -> None:
         """Take in a batch of rows with the day, the groups and the ids.  A batch that is there stays as it is."""
+        spark = rows.sparkSession
         for name in self.ids:
-            narrow = rows.select(self.day, *self._group_names(rows.sparkSession), name)
-            commit.commit({self._ids_at(name): self._new_ids(narrow, name)}, batch_id)
-            commit.commit({self._bits_at(name): self._new_bits(narrow, name)}, batch_id, (MONTH,))
+            if commit.exists(spark, commit.marker(self._bits_at(name), batch_id)):
+                commit.publish(spark, self._bits_at(name), batch_id)
+                continue  # its ids were committed before
+            folder = f"{self.root}/_met/{name}/batch-{batch_id:012d}"
+            met = self._met(rows, name, folder)
+            commit.commit({self._ids_at(name): self._new_ids(met, name)}, batch_id)
+            commit.commit({self._bits_at(name): self._new_bits(met, name, once=True)}, batch_id, (MONTH,))
+            fs, path = commit.file_system(spark, folder)
+            fs.delete(path, True)
 
     def counts(self, spark: SparkSession, by: Sequence[Column] = (), first=None, last=None) -> DataFrame:
         """Distinct ids per ``by`` (named expressions over the day and the groups; none: one row),
