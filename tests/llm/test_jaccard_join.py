@@ -4,6 +4,7 @@ import random
 import numpy as np
 import pytest
 
+from tillroll.llm import common
 from tillroll.llm import jaccard_join as jj
 
 
@@ -113,3 +114,19 @@ def test_linked_sets_always_share_a_tile():
                 x, y = (np.frombuffer(jj.bitmap(s), np.uint8) for s in (a, b))
                 w = min(len(x), len(y))
                 assert jj.most_overlap(jj._folded(x, w), len(a), jj._folded(y, w)[None, :], np.array([len(b)]))[0] >= both
+
+
+def test_later_links_only_work_through_what_they_tie(spark, monkeypatch):
+    made = []
+
+    def counted(df, purpose, write=common.written):
+        out = write(df, purpose)
+        made.append((purpose, out.count()))
+        return out
+
+    found = spark.createDataFrame([(i, i % 5) for i in range(300)], "node long, component long")
+    later = spark.createDataFrame([(3, 299), (8, 500), (601, 600)], "a long, b long")  # 299 lies with 4
+    monkeypatch.setattr(common, "written", counted)
+    got = {r["node"]: r["component"] for r in jj.with_links(found, later).collect()}
+    assert got == {i: 3 if i % 5 == 4 else i % 5 for i in range(300)} | {500: 3, 600: 600, 601: 600}
+    assert max(n for _, n in made) <= 6  # ends of the three links

@@ -92,9 +92,11 @@ def connected_components(edges: DataFrame) -> DataFrame:
     """``(node, component)`` for every node of the links ``(a, b)`` of BIGINT ids.
 
     The component is its smallest node.  Each round hooks every node to the
-    neighbour (or itself) that comes first in an order drawn anew from a hash,
-    and replaces the nodes of all links by what they hook to; links inside one
-    node vanish.  Rounds grow with the logarithm of the largest component.
+    neighbour (or itself) that comes first in an order, follows the hook that this
+    one has, and replaces the nodes of all links by what they reach; links inside
+    one node vanish.  The first order is that of the ids, as links mostly lead to
+    a group's smallest; later ones are drawn anew from a hash.  Rounds grow with
+    the logarithm of the largest component.
     Joins are between written tables, so a hub's rows can be split at run time.
     """
     edges = edges.where("a is not null and b is not null and a <> b").select("a", "b").distinct()
@@ -105,10 +107,17 @@ def connected_components(edges: DataFrame) -> DataFrame:
     while not edges.isEmpty():
         around = edges.select(F.col("a").alias("x"), F.col("b").alias("y")).union(
             edges.select("b", "a"))
-        first = F.min(F.struct(F.xxhash64(F.col("y"), F.lit(turn)).alias("h"), F.col("y")))
-        own = F.struct(F.xxhash64(F.col("x"), F.lit(turn)).alias("h"), F.col("x").alias("y"))
+
+        def order(c, turn=turn):
+            return F.xxhash64(F.col(c), F.lit(turn)) if turn else F.col(c)
+
+        first = F.min(F.struct(order("y").alias("h"), F.col("y")))
+        own = F.struct(order("x").alias("h"), F.col("x").alias("y"))
         hooks = written(around.groupBy("x").agg(first.alias("n"))
                         .select("x", F.least("n", own)["y"].alias("to")), "hooks")
+        # the links of x to its hook and on lead along all that it passes, so nothing comes apart
+        onward = hooks.select(F.col("x").alias("to"), F.col("to").alias("then"))
+        hooks = written(hooks.join(onward, "to").select("x", F.col("then").alias("to")), "hooks")
         labels = written(
             labels.join(hooks, labels["root"] == hooks["x"], "left")
             .select("node", F.coalesce("to", "root").alias("root")), "labels")
@@ -120,3 +129,15 @@ def connected_components(edges: DataFrame) -> DataFrame:
         turn += 1
     least = written(labels.groupBy("root").agg(F.min("node").alias("component")), "least")
     return labels.join(least, "root").select("node", "component")
+
+
+def with_links(components: DataFrame, links: DataFrame) -> DataFrame:
+    """Components after more links: only what these tie together is worked through again."""
+    of = {side: components.select(F.col("node").alias(f"n{side}"), F.col("component").alias(f"c{side}")) for side in "ab"}
+    tied = links.join(of["a"], F.col("a") == F.col("na"), "left").join(of["b"], F.col("b") == F.col("nb"), "left")
+    tied = tied.select(F.coalesce("ca", "a").alias("a"), F.coalesce("cb", "b").alias("b"))
+    merged = connected_components(tied).select(F.col("node").alias("was"), F.col("component").alias("now"))
+    merged = written(merged, "merged")
+    moved = components.join(merged, F.col("component") == F.col("was"), "left")
+    fresh = merged.join(components, F.col("was") == F.col("node"), "left_anti")
+    return moved.select("node", F.coalesce("now", "component").alias("component")).union(fresh.select("was", "now"))

@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tillroll.llm import text as tx
-from tillroll.llm.common import connected_components, runs, written
+from tillroll.llm.common import connected_components, runs, with_links, written
 
 #: Bytes of texts that one side of a block holds (a longer text alone).
 BLOCK_BYTES = 8 << 20
@@ -391,8 +391,7 @@ def components(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
             more = _across(rows, sets, texts, k, percent)
         more = written(more, "links")
         if not more.isEmpty():
-            links = links.union(more)
-            found = written(connected_components(links), "components")
+            found = written(with_links(found, more), "components")
 
     rows = table.join(classes, "digest", "left")
     rows = rows.join(found.withColumnRenamed("node", "at"), F.col("node") == F.col("at"), "left")
