@@ -1,7 +1,7 @@
 import random
 import re
 
-from tillroll.llm import minhash
+from tillroll.llm import common, minhash
 from tillroll.llm.common import connected_components
 
 LOWER = {i: i + 32 for i in range(65, 91)}
@@ -109,3 +109,48 @@ def test_components(spark):
             up[max(x, y)] = min(x, y)
     found = {r["node"]: r["component"] for r in connected_components(spark.createDataFrame(edges, "a long, b long")).collect()}
     assert found == {n: root(n) for n in up}
+
+
+def test_open_buckets_close_in_one_pass_of_small_blocks(documents, monkeypatch):
+    """Pairs that link with each other but with none of the smaller documents of their buckets."""
+    rng = random.Random(2)
+    base = [f"b{i}" for i in range(120)]
+
+    def changed(words, n):
+        words = list(words)
+        for i in rng.sample(range(120), n):
+            words[i] = f"x{rng.randrange(10**9)}"
+        return words
+
+    rows = [(i, " ".join(changed(base, 4))) for i in range(80)]
+    for i in range(10):
+        one = changed(base, 4)
+        rows += [(1000 + 2 * i, " ".join(one)), (1001 + 2 * i, " ".join(changed(one, 1)))]
+    made = []
+
+    def counted(df, purpose, write=minhash.written):
+        out = write(df, purpose)
+        made.append((purpose, out.count()))
+        return out
+
+    monkeypatch.setattr(minhash, "written", counted)
+    monkeypatch.setattr(minhash, "BLOCK_BYTES", 9000)
+    monkeypatch.setattr(minhash, "STREAMED", 5)
+    assert got(minhash.near_duplicates(documents(rows), 2, 80)) == brute(rows, 2, 80)
+    first, closing = (n for purpose, n in made if purpose == "links")  # with the smallest, then one pass for the rest
+    assert closing > 0
+    assert dict(made)["stored"] <= len(rows)  # a text is joined once, however many buckets its document is in
+
+
+def test_links_to_the_smallest_close_in_one_round(spark, monkeypatch):
+    made = []
+
+    def counted(df, purpose, write=common.written):
+        made.append(purpose)
+        return write(df, purpose)
+
+    monkeypatch.setattr(common, "written", counted)
+    edges = [(7, i) for i in range(100, 400)] + [(8, i) for i in range(400, 500)]
+    found = connected_components(spark.createDataFrame(edges, "a long, b long"))
+    assert {r["node"]: r["component"] for r in found.collect()} == {**dict.fromkeys([7, *range(100, 400)], 7), **dict.fromkeys([8, *range(400, 500)], 8)}
+    assert made.count("labels") == 2  # as they begin, and after one round

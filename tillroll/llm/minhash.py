@@ -13,17 +13,17 @@ none with a probability of 3e-6, and one at 0.1 shares some with 4e-5.
 Work is on distinct sets only; equal sets form a class whose members are
 linked by definition.  In every bucket of a band, all are compared with its
 smallest document first, on full sets.  Buckets that then still hold several
-components are closed in two more rounds: each document outside the largest
-component meets the most similar one of each other component, then all that
-are left, in blocks of bounded size, with 8 bits of every coordinate as a
-filter (a link passes with all but a probability of 1e-6) before the exact
-comparison.  Pairs inside a component are never compared, and only links leave
-a block.
+components are closed: each document outside the largest component streams by
+the bucket's members, held in blocks of bounded bytes, with 8 bits of every
+coordinate as a filter (a link passes with all but a probability of 1e-6) before
+the exact comparison.  Pairs inside a component are never compared, those that
+a block has tied together neither, and only links leave a block.
 """
 
 from __future__ import annotations
 
 import hashlib
+import itertools
 from collections.abc import Iterator
 
 import numpy as np
@@ -32,14 +32,17 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tillroll.llm import text as tx
-from tillroll.llm.common import connected_components, runs, written
+from tillroll.llm.common import connected_components, with_links, written
 
 PLACES = 1 << 20
 ROWS, BANDS = 6, 42
 COORDINATES = ROWS * BANDS
 #: Share of equal coordinates below which a pair is not compared: five deviations under 0.8.
 LEAST_AGREEMENT = 0.68
-SALTS, CHUNK = 64, 1024
+NEED = LEAST_AGREEMENT + (1 - LEAST_AGREEMENT) / 256
+SALTS = 64
+#: A block holds so many bytes of texts and sketches (a longer text alone), and at most so many documents stream by it.
+BLOCK_BYTES, STREAMED = 4 << 20, 8192
 
 _SIGNED = "doc_id long, n_shingles long, digest binary, keys array<long>, sketch binary"
 _perms: list[np.ndarray] = []
@@ -155,88 +158,132 @@ def _linked(a: np.ndarray, b: np.ndarray, percent: int) -> bool:
     return 100 * both >= percent * (len(a) + len(b) - both)
 
 
-def _across(buckets: DataFrame, sets: DataFrame, texts: DataFrame, labels: DataFrame, k: int, percent: int,
-            best: bool) -> DataFrame:
+class _Block:
+    """Part of a bucket's members, held; the others stream by and meet them."""
+
+    def __init__(self, k: int, percent: int):
+        self.k, self.percent = k, percent
+        self.parts: list[pa.RecordBatch] = []
+        self.same: dict[int, int] = {}  # components that links of this block tie together
+        self.held: dict[int, np.ndarray] = {}
+
+    def add(self, rows: pa.RecordBatch) -> None:
+        self.parts.append(rows)
+
+    def _build(self) -> None:
+        rows, self.parts = pa.Table.from_batches(self.parts).combine_chunks(), []
+        self.node, self.part, self.outside, self.bits, self.keys = _columns(rows)
+        self.part = self.part.copy()
+        self.text = rows["text"].chunk(0)
+
+    def _full(self, i: int) -> np.ndarray:
+        if i not in self.held:
+            self.held[i] = next(_sets(self.text.slice(i, 1), self.k))
+        return self.held[i]
+
+    def meet(self, rows: pa.RecordBatch) -> list[tuple[int, int]]:
+        """Links between ``rows`` and held members of other components; likely ones are tried first."""
+        if self.parts:
+            self._build()
+        node, part, _, bits, keys = _columns(rows)
+        bucket, text = rows.column("bucket").to_numpy(), rows.column("text")
+        links = []
+        for m in range(rows.num_rows):
+            own = int(part[m])
+            while own in self.same:
+                own = self.same[own]
+            like = (self.bits == bits[m]).mean(axis=1)
+            # two that are both outside the largest component meet as the smaller one streams by
+            hit = np.flatnonzero((like >= NEED) & (self.part != own) & (self.node != node[m])
+                                 & (~self.outside | (self.node > node[m])))
+            if not len(hit):
+                continue
+            first = (self.keys[hit] == keys[m]).argmax(axis=1)
+            hit = hit[keys[m][first] == bucket[m]]
+            full = None
+            for i in hit[np.lexsort((self.node[hit], -like[hit]))].tolist():
+                if self.part[i] == own:
+                    continue
+                if full is None:
+                    full = next(_sets(text.slice(m, 1), self.k))
+                if _linked(self._full(i), full, self.percent):
+                    links.append((int(min(self.node[i], node[m])), int(max(self.node[i], node[m]))))
+                    other = int(self.part[i])
+                    self.same[other] = own
+                    self.part[self.part == other] = own
+        return links
+
+
+def _columns(rows: pa.Table | pa.RecordBatch) -> tuple[np.ndarray, ...]:
+    node, part, outside = (rows.column(c).to_numpy(zero_copy_only=False) if isinstance(rows, pa.RecordBatch)
+                           else rows.column(c).to_numpy() for c in ("node", "component", "outside"))
+    bits = np.frombuffer(b"".join(rows.column("sketch").to_pylist()), np.uint8).reshape(-1, COORDINATES)
+    keys = rows.column("keys")
+    keys = (keys if isinstance(keys, pa.Array) else keys.chunk(0)).flatten().to_numpy().reshape(-1, BANDS)
+    return node, part, outside, bits, keys
+
+
+def _across(buckets: DataFrame, sets: DataFrame, texts: DataFrame, labels: DataFrame, k: int, percent: int) -> DataFrame:
     """Links ``(a, b)`` between different components that share a bucket.
 
-    Blocks of a bucket's members hold their sketches, keys and texts.  A pair whose
-    sketches agree enough is compared on full sets there, in the first band that it
-    shares, so it is compared once and only links leave the block.  ``best``: of
-    each component, a document outside the bucket's largest component meets only
-    the most similar one (within its block).
+    Of a bucket, what is outside its largest component streams by the members,
+    held in blocks of bounded bytes with their sketches, keys and texts.  A pair whose
+    sketches agree enough is compared on full sets in the first band that it shares,
+    so it is compared once and only links leave the block; what a block has linked
+    it does not compare again.  Sketches and texts are joined once per node.
     """
-    rows = buckets.join(labels, "node", "left").withColumn("component", F.coalesce("component", "node"))
-    rows = written(rows, "open")
-    per = rows.groupBy("bucket", "component").agg(F.count("*").alias("n"))
+    stored = sets.select("node", "sketch", "keys").join(texts, "node")
+    stored = written(stored.withColumn("bytes", F.lit(COORDINATES + 8 * BANDS) + F.octet_length("text")), "stored")
+    nodes = stored.groupBy("node").agg(F.sum("bytes").alias("bytes")).join(labels, "node", "left")
+    nodes = nodes.select("node", "bytes", F.coalesce("component", "node").alias("component"))
+    rows = written(buckets.join(written(nodes, "nodes"), "node", "left"), "open")
+    per = rows.groupBy("bucket", "component").agg(F.count("*").alias("n"), F.sum("bytes").alias("bytes"))
     most = F.max(F.struct("n", "component"))
     major = per.groupBy("bucket").agg(
-        most["component"].alias("major"), (F.sum("n") - most["n"]).alias("minors"), F.sum("n").alias("all"))
+        most["component"].alias("major"), (F.sum("n") - most["n"]).alias("minors"), F.sum("n").alias("all"),
+        F.ceil(F.sum("bytes") / BLOCK_BYTES).cast("int").alias("blocks"))
     # two members have met already; one component needs nothing
-    rows = rows.join(written(major.where("minors > 0 and all > 2"), "major"), "bucket")
-
-    def chunk(size):
-        return F.pmod(F.xxhash64("node"), F.ceil(F.col(size) / CHUNK)).cast("int")
-
-    def chunks(size):
-        return F.explode(F.sequence(F.lit(0), (F.ceil(F.col(size) / CHUNK) - 1).cast("int")))
-
-    # block (i, j): the i-th chunk of the minors against the j-th of all
-    minors = rows.where("component <> major").withColumn("i", chunk("minors")).withColumn("j", chunks("all"))
-    others = rows.withColumn("j", chunk("all")).withColumn("i", chunks("minors"))
-    cols = ["node", "component", "bucket", F.xxhash64("bucket", "i", "j").alias("g")]
-    blocks = minors.select(*cols, F.lit(True).alias("minor")).union(others.select(*cols, F.lit(False).alias("minor")))
-    blocks = blocks.join(sets.select("node", "sketch", "keys"), "node").join(texts, "node")
-    blocks = blocks.repartition("g").sortWithinPartitions("g")
-    need = LEAST_AGREEMENT + (1 - LEAST_AGREEMENT) / 256
+    major = major.where("minors > 0 and all > 2").withColumn("streams", F.ceil(F.col("minors") / STREAMED).cast("int"))
+    rows = rows.join(written(major, "major"), "bucket").select(
+        "node", "component", F.struct("bucket", (F.col("component") != F.col("major")).alias("outside"), "blocks", "streams").alias("at"))
+    rows = rows.groupBy("node", "component").agg(F.collect_set("at").alias("at"))  # at most the node's bands
+    rows = rows.join(stored.drop("bytes"), "node").withColumn("at", F.explode("at"))
+
+    def own(n):
+        return F.pmod(F.xxhash64("node"), F.col(n)).cast("int")
+
+    def each(n, row):
+        return F.transform(F.sequence(F.lit(0), F.col(n) - 1), row)
+
+    # block (i, j): the i-th stream of those outside by the j-th part of all
+    held = each("at.streams", lambda i: F.struct(i.alias("i"), own("at.blocks").alias("j"), F.lit(False).alias("streams")))
+    stream = each("at.blocks", lambda j: F.struct(own("at.streams").alias("i"), j.alias("j"), F.lit(True).alias("streams")))
+    rows = rows.withColumn("in", F.explode(F.when(F.col("at.outside"), F.concat(held, stream)).otherwise(held)))
+    blocks = rows.select("node", "component", "at.bucket", "at.outside", "sketch", "keys", "text", "in.streams",
+                         F.xxhash64("at.bucket", "in.i", "in.j").alias("g"))
+    blocks = blocks.repartition("g").sortWithinPartitions("g", "streams")
 
     def work(batches):
-        for group in runs(batches, "g"):
-            node = group["node"].to_numpy()
-            part = group["component"].to_numpy()
-            bucket = group["bucket"].to_numpy()
-            minor = group["minor"].to_numpy()
-            bits = np.frombuffer(b"".join(group["sketch"].to_pylist()), np.uint8).reshape(-1, COORDINATES)
-            keys = group["keys"].combine_chunks().flatten().to_numpy().reshape(-1, BANDS)
-            text = group["text"]
-            held: dict[int, np.ndarray] = {}
-
-            def full(i):
-                if i not in held:
-                    held[i] = next(_sets(text.slice(i, 1).combine_chunks(), k))
-                return held[i]
-
-            rest = np.flatnonzero(~minor)
+        last, block = None, None
+        for batch in batches:
+            g = batch.column("g").to_numpy()
+            streams = batch.column("streams").to_numpy(zero_copy_only=False)
+            cuts = np.flatnonzero((g[1:] != g[:-1]) | (streams[1:] != streams[:-1])) + 1
             links = []
-            for m in np.flatnonzero(minor).tolist():
-                like = (bits[rest] == bits[m]).mean(axis=1)
-                hit = np.flatnonzero((like >= need) & (part[rest] != part[m]) & (node[rest] != node[m]))
-                if best and len(hit):
-                    hit = hit[np.lexsort((node[rest][hit], -like[hit], part[rest][hit]))]
-                    hit = hit[np.unique(part[rest][hit], return_index=True)[1]]
-                elif len(hit):
-                    first = (keys[rest[hit]] == keys[m]).argmax(axis=1)
-                    hit = hit[keys[m][first] == bucket[m]]
-                for i in rest[hit].tolist():
-                    if _linked(full(i), full(m), percent):
-                        links.append((int(min(node[i], node[m])), int(max(node[i], node[m]))))
+            for lo, hi in itertools.pairwise([0, *cuts.tolist(), batch.num_rows]):
+                if lo == hi:
+                    continue
+                if block is None or g[lo] != last:
+                    last, block = g[lo], _Block(k, percent)
+                if streams[lo]:
+                    links += block.meet(batch.slice(lo, hi - lo))
+                else:
+                    block.add(batch.slice(lo, hi - lo))
             if links:
                 yield pa.RecordBatch.from_arrays(
                     [pa.array([x[j] for x in links], pa.int64()) for j in range(2)], names=["a", "b"])
 
-    columns = ["node", "component", "bucket", "minor", "sketch", "keys", "text", "g"]
-    return blocks.select(*columns).mapInArrow(work, "a long, b long").distinct()
-
-
-def _joined(components: DataFrame, links: DataFrame) -> DataFrame:
-    """Components after more links: only what these tie together is worked through again."""
-    of = {side: components.select(F.col("node").alias(f"n{side}"), F.col("component").alias(f"c{side}")) for side in "ab"}
-    tied = links.join(of["a"], F.col("a") == F.col("na"), "left").join(of["b"], F.col("b") == F.col("nb"), "left")
-    tied = tied.select(F.coalesce("ca", "a").alias("a"), F.coalesce("cb", "b").alias("b"))
-    merged = connected_components(tied).select(F.col("node").alias("was"), F.col("component").alias("now"))
-    merged = written(merged, "merged")
-    moved = components.join(merged, F.col("component") == F.col("was"), "left")
-    fresh = merged.join(components, F.col("was") == F.col("node"), "left_anti")
-    return moved.select("node", F.coalesce("now", "component").alias("component")).union(fresh.select("was", "now"))
+    return blocks.mapInArrow(work, "a long, b long").distinct()
 
 
 def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
@@ -277,10 +324,9 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame
     several = ids.join(several, "doc_id").select(F.col("lo").alias("a"), F.col("node").alias("b"))
     links = links.union(written(several, "ties"))
     components = written(connected_components(links), "components")
-    for best in (True, False):
-        more = written(_across(buckets.select("bucket", "node"), sets, texts, components, k, percent, best), "links")
-        if not more.isEmpty():
-            components = written(_joined(components, more), "components")
+    more = written(_across(buckets.select("bucket", "node"), sets, texts, components, k, percent), "links")
+    if not more.isEmpty():
+        components = written(with_links(components, more), "components")
 
     rows = table.join(classes, "digest", "left")
     rows = rows.join(components.withColumnRenamed("node", "at"), F.col("node") == F.col("at"), "left")
