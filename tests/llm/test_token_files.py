@@ -51,3 +51,17 @@ def test_single_documents(documents, plain):
 
 def test_empty_table(documents):
     assert token_files.read_token_files(token_files.write_token_files(documents([]), tokenizer_path(), 2)).collect() == []
+
+
+def test_words_with_digits_and_signs_skip_the_whole_tokenizer(plain, monkeypatch):
+    enc = token_files.Encoder(tokenizer_path(), 2)
+    text = "les&&& ab12 x.., (word) ément### 3.14 a-b, Été*** [x] it's <|endoftext|>x ~"
+    assert np.frombuffer(enc.text(text), "<u2").tolist() == plain(text)
+    monkeypatch.setattr(enc, "encode", None)
+    enc.text("mots%%% cd34 y.., (words) étés### 2.71 c-d, été*** [y] ~")
+
+
+def test_long_documents_are_sampled_by_their_beginning(documents):
+    docs = documents([(i, f"w{i} " * token_files.SAMPLE_CHARS) for i in range(3)])
+    sample = token_files._sample(docs, tokenizer_path(), 2)
+    assert len(sample) == 3

@@ -1,8 +1,8 @@
 """Token-id files: each document's ids compressed by itself with a shared dictionary.
 
 A zstandard dictionary is trained on the serialized id arrays of a bounded
-sample of documents (``SAMPLE_DOCS`` by hash, of at most ``SAMPLE_CHARS``
-characters each).  Documents are encoded, sorted by ``doc_id`` and written to
+sample of documents (``SAMPLE_DOCS`` by hash, the first ``SAMPLE_CHARS``
+characters of each).  Documents are encoded, sorted by ``doc_id`` and written to
 files; one frame per document, so that a short document is read by one small
 range read.  A file is
 
@@ -45,11 +45,13 @@ FOOTER = "<4q32s8s"
 DICTIONARY_BYTES = 64 << 10
 SAMPLE_DOCS, SAMPLE_CHARS = 2000, 8000
 LEVEL = 3
-#: Words of which each of a worker's two tables keeps the ids, about 25 MB; longer words are encoded each time.
-KEPT_WORDS, KEPT_LENGTH = 150_000, 48
+#: Words of which a worker keeps the ids, after a blank and at a line's start, about 50 MB; longer words are encoded each time.
+KEPT_WORDS, KEPT_STARTS, KEPT_LENGTH = 250_000, 50_000, 48
 
 _LINE = re.compile(r"\n(?<=\S\n)(?=\S)")
 _WORD = re.compile(r" (?<=\S )(?=\S)")
+#: What is surely one piece for the tokenizer: Latin letters, digits or signs; an apostrophe may begin an English ending.
+_PIECE = re.compile("[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f]+|[0-9]+|[!-&(-/:-@\\[-`{-~]+")
 
 
 def _byte_letters() -> dict[int, str]:
@@ -62,23 +64,24 @@ def _byte_letters() -> dict[int, str]:
 class WordIds(dict):
     """Serialized ids of words, encoded when first met.
 
-    A word of Latin letters is one piece for the tokenizer, so its model is asked
-    directly; a point or comma after it is a piece of its own.
+    A word of Latin letters, digits and signs is cut into pieces as the tokenizer
+    does it, so its model is asked for each piece directly.
     """
 
-    def __init__(self, encoder: Encoder, prefix: str):
+    def __init__(self, encoder: Encoder, prefix: str, kept: int):
         super().__init__()
-        self.encoder, self.prefix = encoder, prefix
+        self.encoder, self.prefix, self.kept = encoder, prefix, kept
 
     def __missing__(self, word: str) -> bytes:
-        if len(word) > 1 and word[-1] in ",." and word[:-1].isalpha() and max(word) < "\u0250":
+        latin = word.isascii() or max(word) < "\u0250"
+        if latin and len(word) > 1 and word[-1] in ",." and word[:-1].isalpha():
             return self[word[:-1]] + self.encoder.marks[word[-1]]
-        if word.isalpha() and max(word) < "\u0250":
+        if latin and word.isalpha():
             found = self.encoder.letters(self.prefix + word)
         else:
-            found = self.encoder.encode(self.prefix + word)
+            found = self.encoder.pieces(self.prefix, word)
         if len(word) <= KEPT_LENGTH:
-            if len(self) >= KEPT_WORDS:
+            if len(self) >= self.kept:
                 self.clear()
             self[word] = found
         return found
@@ -99,18 +102,28 @@ class Encoder:
         self.end = self.pack[end_id]
         self.newline = self.encode("\n")
         self.alphabet = _byte_letters()
+        self.blank = self.alphabet[32]
         self.marks = {c: self.encode(c) for c in ",."}
-        self.first, self.later = WordIds(self, ""), WordIds(self, " ")
+        self.whole = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+        self.first, self.later = WordIds(self, "", KEPT_STARTS), WordIds(self, " ", KEPT_WORDS)
 
     def letters(self, piece: str) -> bytes:
-        spelt = piece.encode().decode("latin-1").translate(self.alphabet)
+        spelt = piece.replace(" ", self.blank) if piece.isascii() else piece.encode().decode("latin-1").translate(self.alphabet)
         return b"".join([self.pack[t.id] for t in self.model.tokenize(spelt)])
 
+    def pieces(self, prefix: str, word: str) -> bytes:
+        found = _PIECE.findall(word)
+        if sum(map(len, found)) != len(word) or any(t in word for t in self.whole):
+            return self.encode(prefix + word)
+        return self.letters(prefix + found[0]) + b"".join(map(self.letters, found[1:]))
+
     def encode(self, text: str) -> bytes:
         return b"".join([self.pack[i] for i in self.tokenizer.encode(text, add_special_tokens=False).ids])
 
     def line(self, line: str) -> bytes:
-        words = _WORD.split(line)
+        words = line.split()
+        if not words or " ".join(words) != line:
+            words = _WORD.split(line)
         return self.first[words[0]] + b"".join(map(self.later.__getitem__, words[1:]))
 
     def text(self, text: str | None) -> bytes:
@@ -142,11 +155,10 @@ def _dictionary(content: bytes) -> zstandard.ZstdCompressionDict | None:
 
 
 def _sample(docs: DataFrame, path: str, end_id: int) -> list[bytes]:
-    picked = docs.where(F.length("text") <= SAMPLE_CHARS).where("doc_id is not null")
-    picked = picked.select(F.col("doc_id").alias("picked")).distinct()
+    picked = docs.where("doc_id is not null").select(F.col("doc_id").alias("picked")).distinct()
     picked = picked.orderBy(F.xxhash64("picked"), "picked").limit(SAMPLE_DOCS)
     rows = docs.join(F.broadcast(picked), F.col("doc_id") == F.col("picked"), "left_semi")  # SAMPLE_DOCS ids
-    rows = rows.where(F.length("text") <= SAMPLE_CHARS).select("doc_id", "text")
+    rows = rows.select("doc_id", F.substring("text", 1, SAMPLE_CHARS).alias("text"))
     rows = rows.groupBy("doc_id").agg(F.min("text").alias("text")).orderBy("doc_id").collect()
     enc = encoder(path, end_id)
     return [enc.text(r["text"]) for r in rows]
