@@ -1,8 +1,12 @@
 import random
+import tracemalloc
 import zlib
 
+import numpy as np
+import pyarrow as pa
 import pytest
 
+from tillroll.llm import text as tx
 from tillroll.llm import toxicity
 
 ORDINARY = ["the", "river", "over", "stone", "bridge", "light", "under", "table", "green", "market", "winter", "carry",
@@ -76,3 +80,20 @@ def test_without_labels_or_documents(spark, documents):
 def test_copies_are_no_evidence():
     text = " ".join(f"rare{i}" for i in range(50))
     assert len(toxicity._words([text, text + " more", "other words"])) == 2
+
+
+def test_memory_of_scoring_does_not_grow_with_the_batch(labelled):
+    texts = pa.array([r[1] for r in labelled[0]] * 32, pa.string())
+    assert texts.nbytes > 8 << 20
+    model = toxicity.Model(b"the river " * 50, b"moronic " * 50, 2.0, np.ones(4))
+    tx._powers.clear()
+    gains = toxicity.Gains(model.ordinary, model.toxic)
+    whole = model.features(texts.slice(0, 500), gains)
+    tracemalloc.start()
+    try:
+        many = model.features(texts, gains)
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert peak < 100 << 20 and sum(p.nbytes for p in tx._powers) < 20 << 20
+    assert (many.reshape(32, 500, 3) == whole).all()

@@ -44,7 +44,8 @@ SUPPORT = 3
 #: Ordinary words that this share of documents has are common.
 COMMON = 0.01
 REPEATED = 0.3
-WINDOW_BYTES, BATCH_BYTES = 64, 4 << 20
+#: Hashing takes some 50 bytes of memory for each byte of a block, and a table as long as the longest block stays.
+WINDOW_BYTES, BATCH_BYTES = 64, tx.BLOCK
 #: Lengths in bytes at which words of toxic documents are compared: whole, and their beginnings.
 STEMS = (WINDOW_BYTES, 8, 6, 5, 4)
 KEPT_WINDOWS = 1_000_000
