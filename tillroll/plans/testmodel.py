@@ -157,14 +157,18 @@ def pos_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     n = table(spark, sf_dir, "nation").select("n_nationkey", "n_name", "n_regionkey")
     r = table(spark, sf_dir, "region").select("r_regionkey", "r_name")
     p = table(spark, sf_dir, "part").select("p_partkey", "p_name", "p_type", "p_brand")
-    j = (li.join(o, F.col("l_orderkey") == F.col("o_orderkey"))
-           .join(c, F.col("o_custkey") == F.col("c_custkey"))
+    # what belongs to an order is put together per order, so that lines are moved twice, not three times
+    oc = (o.withColumn("transaction_date", F.date_format("o_orderdate", "yyyy-MM-dd")).drop("o_orderdate")
+           .join(c, F.col("o_custkey") == F.col("c_custkey")))
+    j = (li.join(p, F.col("l_partkey") == F.col("p_partkey"))
+           .join(oc, F.col("l_orderkey") == F.col("o_orderkey"))
            .join(n, F.col("c_nationkey") == F.col("n_nationkey"))
-           .join(r, F.col("n_regionkey") == F.col("r_regionkey"))
-           .join(p, F.col("l_partkey") == F.col("p_partkey")))
+           .join(r, F.col("n_regionkey") == F.col("r_regionkey")))
     secs = (F.col("l_orderkey") * 7 + F.col("l_linenumber") * 13) % 86400
-    clock = F.format_string("%02d:%02d:%02d", (secs / 3600).cast("bigint"),
-                            ((secs / 60).cast("bigint")) % 60, secs % 60)
+    hms = ((secs / 3600).cast("bigint"), ((secs / 60).cast("bigint")) % 60, secs % 60)
+    # the same text as the format's, at less than half its time; keys under zero would be cut
+    clock = F.when(secs >= 0, F.concat_ws(":", *[F.lpad(x.cast("string"), 2, "0") for x in hms])).otherwise(
+        F.format_string("%02d:%02d:%02d", *hms))
     bad_time = (F.col("l_linenumber") == 7) & (F.col("l_returnflag") == "N")
     price = F.col("l_extendedprice") / F.nullif(F.col("l_quantity"), F.lit(0.0))
     return j.select(
@@ -175,7 +179,7 @@ def pos_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("r_name").alias("store_region"),
         F.col("l_suppkey").cast("string").alias("cashier_id"),
         F.col("o_custkey").cast("string").alias("customer_id"),
-        F.date_format("o_orderdate", "yyyy-MM-dd").alias("transaction_date"),
+        "transaction_date",
         F.when(bad_time, F.lit(BAD_TIME_TEXT)).otherwise(clock).alias("transaction_time"),
         F.col("l_partkey").cast("string").alias("product_sku"),
         F.col("p_name").alias("product_name"),
