@@ -1,7 +1,7 @@
 """How the feeds are derived: what is moved, and the texts that stay the same."""
 from pyspark.sql import functions as F
 
-from helpers import SF001
+from helpers import SF001, rows
 from tillroll.plans import testmodel as tm
 
 
@@ -42,3 +42,14 @@ def test_clock_text(spark, tmp_path):
     for (k, n), text in got.items():
         s = part(k * 7 + n * 13, 86400)
         assert text == "%02d:%02d:%02d" % (int(s / 3600), part(int(s / 60), 60), part(s, 60))
+
+
+def test_the_order_feed_is_the_same_in_parts(spark, monkeypatch):
+    import uuid
+    whole = tm.build_erp_bronze(spark, SF001)
+    monkeypatch.setattr(tm, "FEED_LINES_JOINED", 2000)
+    monkeypatch.setattr(tm, "_input_signature", lambda *a: uuid.uuid4().hex)
+    parts, stored = [], tm.stored_feed
+    monkeypatch.setattr(tm, "stored_feed", lambda s, d, n, build, **o: stored(s, d, n, lambda: parts.extend(build()) or parts, **o))
+    assert rows(tm.erp_bronze(spark, SF001)) == rows(whole) and len(parts) > 2
+    assert all(0 < p.count() < 3000 for p in parts)

@@ -118,3 +118,73 @@ def test_a_merge_moves_each_row_once_and_caches_none(spark, scratch, monkeypatch
     diff = changes.snapshot_diff(old, new, "order_id", [c for c in SILVER_COLS if c != "order_id"])
     got = tasks.read_changes(spark, log, 0).select(*SILVER_COLS, "change_action", "change_isupdate")
     assert rows(got) == rows(diff.select(*got.columns))
+
+
+def _shuffled(spark):
+    """Bytes that shuffles hold on the executor's disks."""
+    import glob
+    import os
+    dirs = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirs()
+    total = 0
+    for f in [f for d in dirs for f in glob.glob(f"{d.getPath()}/*/shuffle_*")]:
+        try:
+            total += os.path.getsize(f)
+        except FileNotFoundError:                                                # goes just now
+            pass
+    return total
+
+
+def test_moved_rows_leave_the_disk_with_their_merge(spark, scratch, monkeypatch):
+    import time
+    batch = tm.erp_bronze(spark, SF001).localCheckpoint()
+    name, seen, write = "spark.sql.classic.shuffleDependency.fileCleanup.enabled", [], merge._write
+    monkeypatch.setattr(merge, "_write", lambda *a: seen.append(spark.conf.get(name)) or write(*a))
+    before = _shuffled(spark)
+    tasks.merge_batch(spark, f"{scratch}/orders", batch, 0, f"{scratch}/changes")
+    assert seen == ["true"] and spark.conf.get(name) == "false"                  # not left to the driver's garbage
+    for _ in range(50):
+        if _shuffled(spark) - before < 100_000:
+            break
+        time.sleep(0.1)
+    assert _shuffled(spark) - before < 100_000                                   # about 700 KB are moved
+
+
+def test_a_large_batch_moves_some_buckets_at_a_time(spark, scratch, monkeypatch):
+    first, second = _batches(spark)
+    root, log, groups = f"{scratch}/orders", f"{scratch}/changes", []
+    write = merge._write
+    monkeypatch.setattr(merge, "_write", lambda *a: groups.append(a[-1]) or write(*a))
+    monkeypatch.setattr(merge, "MOVED_ROWS", 1000)
+    for i, batch in enumerate((first, second)):
+        tasks.merge_batch(spark, root, batch, i, log)
+        assert len(groups) > 2 and sorted(sum(groups, [])) == list(range(merge.BUCKETS))
+        assert max(map(len, groups)) < merge.BUCKETS / 2
+        groups.clear()
+    whole = silver.upsert_orders(first.unionByName(second)).select(*SILVER_COLS)
+    old, new = tasks.read_current(spark, root, before=1), tasks.read_current(spark, root)
+    assert rows(new.select(*SILVER_COLS)) == rows(whole)
+    assert new.filter(F.col("process_time") > old.agg(F.max("process_time")).first()[0]).select("process_time").distinct().count() == 1
+    diff = changes.snapshot_diff(old, new, "order_id", [c for c in SILVER_COLS if c != "order_id"])
+    got = tasks.read_changes(spark, log, 0).select(*SILVER_COLS, "change_action", "change_isupdate")
+    assert got.filter("change_isupdate").count() > 0 and rows(got) == rows(diff.select(*got.columns))
+    assert merge._groups({1: 999, 2: 1, 3: 5000, 4: 600, 5: 600}) == [[1, 2], [3], [4], [5]]
+
+
+def test_a_merge_that_keeps_one_state_drops_the_others(spark, scratch):
+    import glob
+
+    import pytest
+    first, second = _batches(spark)
+    root, log = f"{scratch}/orders", f"{scratch}/changes"
+    for i, batch in enumerate((first, second, first.limit(0))):
+        tasks.merge_batch(spark, root, batch, i, log, keep=1)
+    whole = silver.upsert_orders(first.unionByName(second)).select(*SILVER_COLS)
+    assert rows(tasks.read_current(spark, root).select(*SILVER_COLS)) == rows(whole)
+    gens = glob.glob(f"{root}/bucket=*/gen=*")
+    assert len(gens) == len(merge.manifest(spark, root)["gens"])                  # none that no state reads
+    assert not glob.glob(f"{root}/{merge.REPLACED}/gen=*") and not glob.glob(f"{root}/_aside/gen=*")
+    assert tasks.read_changes(spark, log).filter("change_action = 'DELETE'").count() > 0
+    assert "_old" not in spark.read.parquet(gens[0]).columns
+    tasks.merge_batch(spark, root, first, 2, log, keep=1)                         # a replay does nothing
+    with pytest.raises(ValueError):
+        tasks.merge_batch(spark, root, first, 0, log)                             # its state is gone

@@ -530,7 +530,7 @@ def _merged_orders(spark, d):
             batch = batch.filter(F.col("loaded_time") >= F.lit(low).cast("timestamp"))
         if high:
             batch = batch.filter(F.col("loaded_time") < F.lit(high).cast("timestamp"))
-        tasks.merge_batch(spark, f"{root}/orders", batch, i, f"{root}/changes")
+        tasks.merge_batch(spark, f"{root}/orders", batch, i, f"{root}/changes", keep=1)  # only the newest state is asked for
     return tasks.read_current(spark, f"{root}/orders"), tasks.read_changes(spark, f"{root}/changes").drop("change_batch")
 
 

@@ -30,6 +30,7 @@ from pyspark.sql import functions as F
 from tillroll import schemas
 from tillroll.functions.expr import to_long_rounded
 from tillroll.plans import silver
+from tillroll.session import shuffles_dropped
 from tillroll.sources.tables import read_columns
 
 # Fixed values of the model.
@@ -39,6 +40,7 @@ EVENT_TYPE_MAP = {"click": "entrance_gate", "view": "cold_storage",
                   "purchase": "energy_meter"}   # others → pos_terminal
 EVENT_TYPE_OTHER = "pos_terminal"
 EVENT_DAY_SHIFT = 9496               # 2024-01-01 → 1998-01-01, meets order dates
+FEED_LINES_JOINED = 75_000_000       # order lines shuffled at a time while a feed is derived
 FEED_ROWS_PER_FILE = 40_000          # a derived feed comes in files, as a landed one does
 EVENTS_PER_FILE = 16                 # events nested per payload array
 BAD_TIME_TEXT = "99:99:99"
@@ -83,8 +85,9 @@ def _input_signature(spark: SparkSession, sf_dir: str, tables: list[str]) -> str
 _FEED_FRAMES: dict[tuple, DataFrame] = {}
 
 
-def stored_feed(spark: SparkSession, sf_dir: str, name: str, build) -> DataFrame:
-    """Write ``build()`` once per input state and code version, then read it.
+def stored_feed(spark: SparkSession, sf_dir: str, name: str, build, **options) -> DataFrame:
+    """Write ``build()`` (a frame, or parts that are written one after the other) once per input state
+    and code version, then read it.
 
     The feed is written to a unique sibling path and renamed into place, so
     a concurrent session never reads a half-written feed; if another session
@@ -104,7 +107,10 @@ def stored_feed(spark: SparkSession, sf_dir: str, name: str, build) -> DataFrame
     success = jvm.org.apache.hadoop.fs.Path(f"{path}/_SUCCESS")
     if not fs.exists(success):
         tmp = f"{path}.tmp-{uuid.uuid4().hex}"
-        build().write.mode("overwrite").option("maxRecordsPerFile", FEED_ROWS_PER_FILE).parquet(tmp)
+        built = build()
+        for part in built if isinstance(built, list) else [built]:
+            with shuffles_dropped(spark):
+                part.write.mode("append").options(maxRecordsPerFile=FEED_ROWS_PER_FILE, **options).parquet(tmp)
         tmp_path = jvm.org.apache.hadoop.fs.Path(tmp)
         if fs.exists(target) and not fs.exists(success):
             fs.delete(target, True)                     # a partial copy from a failed run
@@ -334,17 +340,24 @@ def iot_silver(spark: SparkSession, sf_dir: str) -> DataFrame:
 def erp_bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``iot_raw_bronze``: the S16 per-column load transform over the order
     files' rows (stored once, with their file name and load time)."""
-    files = stored_feed(spark, sf_dir, "erp_order_files", lambda: build_erp_bronze(spark, sf_dir))
+    def build():
+        lines = table(spark, sf_dir, "lineitem").count()
+        parts = 1 + lines // FEED_LINES_JOINED
+        return [build_erp_bronze(spark, sf_dir, (i, parts)) for i in range(parts)]
+    files = stored_feed(spark, sf_dir, "erp_order_files", build, compression="zstd")
     return silver.stage_orders(files, source_file=F.col("source_file"),
                                loaded_time=F.col("loaded_time"))
 
 
-def build_erp_bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
+def build_erp_bronze(spark: SparkSession, sf_dir: str, part: tuple[int, int] = (0, 1)) -> DataFrame:
     """``iot_raw_bronze`` (the ERP order log): one row per order version.
-    ``loaded_time`` = ship day (UTC midnight), so later days overwrite."""
+    ``loaded_time`` = ship day (UTC midnight), so later days overwrite.
+    ``part``: the i-th of n parts of the lines, by a hash of the order."""
     li = read_columns(spark, f"{sf_dir}/lineitem.parquet", [
         "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity",
         "l_extendedprice", "l_returnflag", "l_linestatus", "l_shipdate"])
+    if part[1] > 1:
+        li = li.filter(F.pmod(F.xxhash64("l_orderkey"), F.lit(part[1])) == part[0])
     s = table(spark, sf_dir, "supplier").select("s_suppkey", "s_name", "s_nationkey")
     p = table(spark, sf_dir, "part").select("p_partkey", "p_type", "p_retailprice")
     n = table(spark, sf_dir, "nation").select("n_nationkey", "n_name")

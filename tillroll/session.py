@@ -10,6 +10,7 @@ from __future__ import annotations
 import os
 import re
 import tempfile
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -74,3 +75,19 @@ def checkpoint_dir(spark: SparkSession) -> str:
 def state_path(spark: SparkSession, *parts: str) -> str:
     """A path under the shared checkpoint folder (stream state, generations)."""
     return os.path.join(checkpoint_dir(spark), *parts)
+
+
+@contextmanager
+def shuffles_dropped(spark: SparkSession):
+    """What a write in this block shuffles goes when the write ends.  Else it stays on the executors' disks until
+    the driver happens to collect its garbage, one job's beside the next one's."""
+    name = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(name, None)
+    spark.conf.set(name, "true")
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(name)
+        else:
+            spark.conf.set(name, before)

@@ -66,8 +66,9 @@ def marker(root: str, batch_id: int) -> str:
 
 
 def stage(rows: DataFrame, root: str, batch_id: int, partition_by: tuple[str, ...] = (),
-          measures: dict | None = None) -> None:
-    """Write one output's rows where no reader looks; their figures are observed on the way."""
+          measures: dict | None = None, codec: str | None = None) -> None:
+    """Write one output's rows where no reader looks; their figures are observed on the way.
+    ``codec``: of the files, else the session's."""
     spark = rows.sparkSession
     folder = f"{root}/{STAGING}/batch-{batch_id:012d}"
     if exists(spark, marker(root, batch_id)) or exists(spark, f"{folder}/_figures.json"):
@@ -75,6 +76,8 @@ def stage(rows: DataFrame, root: str, batch_id: int, partition_by: tuple[str, ..
     seen = Observation()
     figures = {"rows": F.count(F.lit(1)), **(measures or {})}
     writer = rows.observe(seen, *[c.alias(n) for n, c in figures.items()]).write.mode("overwrite")
+    if codec:
+        writer = writer.option("compression", codec)
     # all partitions of an earlier, incomplete attempt go
     writer.option("partitionOverwriteMode", "static").partitionBy(*partition_by).parquet(folder)
     put_file(spark, f"{folder}/_figures.json", json.dumps({"batch_id": batch_id, **seen.get}, default=str))
@@ -106,11 +109,11 @@ def publish(spark: SparkSession, root: str, batch_id: int) -> None:
 
 
 def commit(outputs: dict[str, DataFrame], batch_id: int, partition_by: tuple[str, ...] = (),
-           measures: dict | None = None) -> None:
+           measures: dict | None = None, codec: str | None = None) -> None:
     """Write a batch's outputs (folder → rows), all staged before the first is shown."""
     spark = next(iter(outputs.values())).sparkSession
     for root, rows in outputs.items():
-        stage(rows, root, batch_id, partition_by, measures)
+        stage(rows, root, batch_id, partition_by, measures, codec)
     for root in outputs:
         publish(spark, root, batch_id)
 

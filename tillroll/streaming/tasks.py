@@ -108,14 +108,14 @@ def read_current(spark: SparkSession, root: str, schema=schemas.ERP_ORDERS_SILVE
 
 
 def merge_batch(spark: SparkSession, root: str, batch: DataFrame, batch_id: int,
-                changes: str | None = None, buckets: int = merge.BUCKETS) -> None:
+                changes: str | None = None, buckets: int = merge.BUCKETS, keep: int | None = None) -> None:
     """Apply one bronze micro-batch (MERGE: update all on match, else insert).
 
     Within the batch the last processed version of a key wins (same total
     order as the definition form); NULL keys never match and are inserted.  With
-    ``changes`` the batch's change rows go to that folder."""
+    ``changes`` the batch's change rows go to that folder; with ``keep`` older states go."""
     merge.merge(batch, batch_id, root, schemas.ERP_ORDERS_SILVER, silver.ORDER_KEY, silver.ORDER_SEQUENCE,
-                "process_time", changes, buckets=buckets)
+                "process_time", changes, buckets=buckets, keep=keep)
 
 
 def read_changes(spark: SparkSession, path: str, after: int = -1) -> DataFrame:
